@@ -20,9 +20,8 @@ def pack(matrix: DataFrame, by: list[str]) -> DataFrame:
 
 def unpack(packed: DataFrame, by: list[str], lenient: bool = False) -> DataFrame:
     """Rows of packed matrices. A broken entry fails the query unless ``lenient``."""
-    parts = packed.select(
-        *by, F.split(F.explode(F.split("confusion_matrix", "[|]")), ":").alias("parts")
-    )
+    entries = packed.select(*by, F.explode(F.split("confusion_matrix", "[|]")).alias("entry"))
+    parts = entries.select(*by, F.split("entry", ":").alias("parts"))
     if lenient:
         cells = [F.get("parts", F.lit(i)) for i in range(3)]
         count = cells[2].try_cast("bigint")

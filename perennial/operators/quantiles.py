@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from perennial.session import stage
 
 ACCURACY = 10_000
+SMALL_GROUP = 20_000
 
 
 def exact_percentiles(
@@ -20,7 +21,8 @@ def exact_percentiles(
     The built-in exact aggregate keeps every distinct value of a group in one
     buffer. Here a mergeable sketch first brackets each percentile; a second
     read counts what lies below the bracket and sorts only the few values
-    inside it. The sketch's rank error is far below the bracket's margin, and a
+    inside it. Groups up to ``SMALL_GROUP`` rows are sorted whole; above it the
+    bracket's margin is ten ranks or more, several times the sketch's error. A
     bracket that missed would fail the query rather than return a wrong value.
     """
     by = list(by)
@@ -31,8 +33,11 @@ def exact_percentiles(
         edges += [max(0.0, p - margin), min(1.0, p + margin)]
     sketch = present.groupBy(*by).agg(
         F.count("*").alias("n"),
+        F.min("v").alias("least"),
+        F.max("v").alias("most"),
         F.percentile_approx("v", edges, ACCURACY).alias("edges"),
     )
+    small = F.col("n") <= SMALL_GROUP
     brackets = stage(
         sketch.select(
             *by,
@@ -42,8 +47,12 @@ def exact_percentiles(
                         F.struct(
                             F.lit(name).alias("point"),
                             (F.lit(float(p)) * (F.col("n") - 1)).alias("at"),
-                            F.col("edges")[2 * i].alias("low"),
-                            F.col("edges")[2 * i + 1].alias("high"),
+                            F.when(small, F.col("least"))
+                            .otherwise(F.col("edges")[2 * i])
+                            .alias("low"),
+                            F.when(small, F.col("most"))
+                            .otherwise(F.col("edges")[2 * i + 1])
+                            .alias("high"),
                         )
                         for i, (name, p) in enumerate(points.items())
                     ]

@@ -532,8 +532,9 @@ def scale_pixels(spark, sf_dir):
 
 
 def _event_stream(spark, sf_dir) -> DataFrame:
+    """The table's files as a stream; a glob, since a stream starts from a folder or a glob."""
     schema = views.table(spark, sf_dir, "events").schema
-    return views.prediction_log(streams.read_stream(spark, f"{sf_dir}/events.parquet", schema))
+    return views.prediction_log(streams.read_stream(spark, f"{sf_dir}/events[.]parquet", schema))
 
 
 def _run(query_) -> None:
