@@ -40,14 +40,10 @@ def words(label: Column, alias_mode: str = "literal") -> Column:
     """
     if alias_mode not in ("literal", "normalized"):
         raise ValueError(f"unknown alias mode {alias_mode!r}")
+    spell = _plain if alias_mode == "normalized" else (lambda c: c)
+    entries = [spell(F.lit(text)) for pair in ALIASES.items() for text in pair]
     plain = _plain(label)
-    found = plain
-    for spelled, target in ALIASES.items():
-        key = F.lit(spelled)
-        value = F.lit(target)
-        if alias_mode == "normalized":
-            key, value = _plain(key), _plain(value)
-        found = F.when(plain == key, value).otherwise(found)
+    found = F.coalesce(F.try_element_at(F.create_map(*entries), plain), plain)
     return F.array_sort(F.array_distinct(F.array_remove(F.split(found, r"\s+"), "")))
 
 
@@ -121,14 +117,18 @@ def with_matches(df: DataFrame, actual: str = "actual", predicted: str = "predic
     broadcast threshold rows look them up without being shuffled, beyond it the
     join is a shuffled one whose hot pairs adaptive execution splits.
     """
-    pairs = df.select(F.col(actual).alias("a_"), F.col(predicted).alias("p_")).distinct()
+    pairs = (
+        df.select(F.col(actual).alias("a_"), F.col(predicted).alias("p_"))
+        .filter(F.col("a_").isNotNull() & F.col("p_").isNotNull())
+        .distinct()
+    )
     split = pairs.withColumn("wa_", words(F.col("a_"))).withColumn("wp_", words(F.col("p_")))
     verdicts = stage(
         split.select(
             "a_",
             "p_",
             _base_ladder(F.col("a_"), F.col("p_"), F.col("wa_"), F.col("wp_")).alias("base_match"),
-        ).filter(F.col("base_match").isNotNull()),
+        ),
         "label-pairs",
     )
     same = (F.col(actual) == F.col("a_")) & (F.col(predicted) == F.col("p_"))

@@ -1,11 +1,11 @@
 """Exact ranks, shares and positions by a seeded hash, without a single-task sort.
 
 Rows are ordered by ``md5(seed|key)``, then key. The first hex digits of the
-hash cut that order into at most 65,536 consecutive ranges of about equal size,
-so counts per range give every range its offset and only rows of one range are
-ever sorted together. The order depends on seed and key alone, not on
-partitioning, retries or cluster size. ``key`` is meant to be an object path,
-which is unique in a store; repeated keys are still ranked one by one.
+hash cut that order into consecutive ranges of about equal size, so counts per
+range give every range its offset and only rows of one range are ever sorted
+together. The order depends on seed and key alone, not on partitioning, retries
+or cluster size. ``key`` is meant to be an object path, which is unique in a
+store; repeated keys are still ranked one by one.
 """
 
 from __future__ import annotations
@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from perennial.session import stage
 
-HEX_DIGITS = 4
+# 4,096 ranges per group find a cut: few enough for counting to shrink the data on
+# the map side. Positions sort every range, so they use 65,536 smaller ones.
+CUT_DIGITS = 3
+POSITION_DIGITS = 4
 DEFAULT_SEED = 42
 
 
@@ -25,10 +28,10 @@ def seeded_hash(key: Column, seed: int = DEFAULT_SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key))
 
 
-def _with_range(df: DataFrame, key: str, seed: int) -> DataFrame:
+def _with_range(df: DataFrame, key: str, seed: int, digits: int) -> DataFrame:
     hashed = df.withColumn("hash_", seeded_hash(F.col(key), seed))
     return hashed.withColumn(
-        "range_", F.conv(F.substring("hash_", 1, HEX_DIGITS), 16, 10).cast("int")
+        "range_", F.conv(F.substring("hash_", 1, digits), 16, 10).cast("int")
     )
 
 
@@ -40,7 +43,7 @@ def share_size(total: Column, fraction: float) -> Column:
 def _cut_points(hashed: DataFrame, fraction: float, by: Sequence[str]) -> DataFrame:
     """Per group: the range in which the share ends and how many of its rows belong.
 
-    The windows run over at most 65,536 counted rows per group.
+    The windows run over at most 4,096 counted rows per group.
     """
     group = [F.col(c) for c in by] or [F.lit(0)]
     counts = hashed.groupBy(*by, "range_").agg(F.count("*").alias("n"))
@@ -67,12 +70,12 @@ def mark_share(
     """Flag exactly ``int(n * fraction)`` rows of every group.
 
     Rows outside the range of the cut are decided by a comparison, without a
-    shuffle; only the rows of that one range, about 1 in 65,536, are sorted.
+    shuffle; only the rows of that one range, about 1 in 4,096, are sorted.
     The input is read three times, so stage it first when it is costly.
     """
     if not 0 <= fraction < 1:
         raise ValueError("fraction must be in [0, 1)")
-    hashed = _with_range(df, key, seed)
+    hashed = _with_range(df, key, seed, CUT_DIGITS)
     if by:
         cuts = stage(_cut_points(hashed, fraction, by), "cut-points")
         cut_rows = hashed.join(cuts, list(by))
@@ -100,7 +103,7 @@ def with_position(
 
     The offsets are at most 65,536 rows by construction, hence the broadcast.
     """
-    hashed = _with_range(df, key, seed)
+    hashed = _with_range(df, key, seed, POSITION_DIGITS)
     counts = hashed.groupBy("range_").agg(F.count("*").alias("n"))
     running = Window.partitionBy(F.lit(0)).orderBy("range_")
     offsets = counts.select(

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perennial import schemas
 from perennial.functions import matching, paths, text, vectors, versions
 from perennial.operators import (
     confusion,
@@ -22,6 +23,7 @@ from perennial.operators import (
 )
 from perennial.plans import jobs, views
 from perennial.session import fresh_path, stage
+from perennial.sources import objects, sinks, tables
 from perennial.streaming import metrics as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,8 +84,6 @@ def list_label_files(spark, sf_dir):
 
 @query
 def list_json_capped(spark, sf_dir):
-    from perennial.sources import objects
-
     shouted = F.when(F.col("doc_id") % 2 == 0, F.upper("label_path")).otherwise(F.col("label_path"))
     return objects.list_json(views.label_objects(spark, sf_dir).select(shouted.alias("path")), 50)
 
@@ -283,16 +283,10 @@ def file_stats(spark, sf_dir):
 # --- metrics --------------------------------------------------------------------------
 
 
-def _state(log: DataFrame, scores: DataFrame) -> DataFrame:
-    """One row naming champion and challenger."""
-    one = scores.sparkSession.range(1)
-    return one.select(F.lit(CHAMPION).alias("champion"), F.lit(CURRENT).alias("challenger"))
-
-
 def _evaluated(spark, sf_dir) -> DataFrame:
     log = views.prediction_metrics(spark, sf_dir)
-    scores = metrics.accuracy_by_version(log, [CHAMPION, CURRENT])
-    return promotion.evaluate(_state(log, scores), scores)
+    state = spark.createDataFrame([(CHAMPION, CURRENT)], "champion string, challenger string")
+    return promotion.evaluate(state, metrics.accuracy_by_version(log, [CHAMPION, CURRENT]))
 
 
 @query
@@ -528,6 +522,130 @@ def scale_pixels(spark, sf_dir):
     )
 
 
+# --- sinks: written, read back -----------------------------------------------------------
+
+
+@query
+def write_distribution(spark, sf_dir):
+    """A retried append stores every row twice; the newest row per class is still right."""
+    target = fresh_path(spark, "distribution")
+    rows = views.class_distribution(spark, sf_dir).withColumn(
+        "run_timestamp", paths.as_utc(F.col("run_timestamp"))
+    )
+    sinks.append_distribution(rows, target)
+    sinks.append_distribution(rows, target)
+    return metrics.latest_distribution(tables.read_distribution(spark, target)).select(
+        "model_version",
+        "class_label",
+        "label_id",
+        "example_count",
+        F.col("run_timestamp").cast("timestamp_ntz").alias("run_timestamp"),
+    )
+
+
+@query
+def write_predictions(spark, sf_dir):
+    target = fresh_path(spark, "predictions")
+    log = views.prediction_metrics(spark, sf_dir)
+    sinks.append_predictions(log.withColumn("timestamp", paths.as_utc(F.col("ts"))), target)
+    stored = tables.read_metrics(spark, target)
+    return _rounded(stored, "latency", "confidence").withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp_ntz")
+    )
+
+
+@query
+def write_routed(spark, sf_dir):
+    target = fresh_path(spark, "routed")
+    log = views.prediction_metrics(spark, sf_dir).withColumn("ts", paths.as_utc(F.col("ts")))
+    sinks.write_routed(scoring.routed(log), target)
+    return spark.read.parquet(target).select(
+        "model_version", "outcome", "image_path", "label_path", "label_json"
+    )
+
+
+@query
+def write_label_map(spark, sf_dir):
+    target = fresh_path(spark, "label-map-document")
+    sinks.save_label_map(views.label_map(spark, sf_dir), target)
+    return tables.read_label_map(spark, target)
+
+
+@query
+def write_dataset_size(spark, sf_dir):
+    root = fresh_path(spark, "size")
+    size = curation.dataset_size(_counted(spark, sf_dir))
+    return tables.read_dataset_size(spark, sinks.write_dataset_size(size, root, CURRENT))
+
+
+@query
+def write_listing(spark, sf_dir):
+    target = fresh_path(spark, "listing")
+    listed = objects.list_json(
+        views.label_objects(spark, sf_dir).select(F.col("label_path").alias("path"))
+    )
+    sinks.save_listing(listed, target)
+    return spark.read.text(target).withColumnRenamed("value", "path")
+
+
+@query
+def write_training_metrics(spark, sf_dir):
+    target = fresh_path(spark, "training-metrics")
+    sinks.append_training_metrics(training_metrics(spark, sf_dir), target)
+    return spark.read.schema(schemas.TRAINING_METRICS).parquet(target)
+
+
+@query
+def promotion_state(spark, sf_dir):
+    """Judge the log, save the next state document, read the newest one back."""
+    folder = fresh_path(spark, "state")
+    slot = "struct<model_version:string,deployed_at:string>"
+    first = spark.range(1).select(
+        F.struct(F.lit(CHAMPION), F.lit("2024-01-01T00:00:00Z")).cast(slot).alias("champion"),
+        F.struct(F.lit(CURRENT), F.lit(None).cast("string")).cast(slot).alias("challenger"),
+    )
+    sinks.save_state(first, folder, "20240101-000000")
+    jobs.promote(
+        spark,
+        views.prediction_metrics(spark, sf_dir),
+        folder,
+        "20240201-000000",
+        "2024-02-01T00:00:00Z",
+    )
+    return tables.read_state(spark, folder).select(
+        F.col("champion.model_version").alias("champion"),
+        F.col("champion.deployed_at").alias("champion_since"),
+        F.col("challenger.model_version").alias("challenger"),
+        F.col("challenger.deployed_at").alias("challenger_since"),
+    )
+
+
+@query
+def prediction_log(spark, sf_dir):
+    """Score, decode, compare and append in one job; class names stand for the true labels."""
+    label_map = views.stored_label_map(spark, sf_dir)
+    vec = F.col("vec_id")
+    truth = label_map.select(F.col("class_name").alias("actual"), F.col("label_id").alias("label"))
+    scored = (
+        views.scores(spark, sf_dir)
+        .join(truth, "label")
+        .select(
+            vec.alias("event_id"),
+            F.timestamp_seconds(vec + 1_700_000_000).alias("ts"),
+            F.concat(F.lit("v3_"), (vec % 2).cast("string")).alias("model_version"),
+            "actual",
+            (vec % 7 / F.lit(100.0)).alias("latency"),
+            "scores",
+        )
+    )
+    target = fresh_path(spark, "prediction-log")
+    jobs.score_and_log(scored, label_map, target)
+    stored = tables.read_metrics(spark, target).withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp_ntz")
+    )
+    return _rounded(stored, "latency", "confidence")
+
+
 # --- streams --------------------------------------------------------------------------
 
 

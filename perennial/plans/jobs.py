@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennial.functions import matching, paths, text, versions
+from perennial.functions import matching, paths, versions
 from perennial.operators import (
     curation,
     images,
@@ -33,9 +33,19 @@ def build_training_set(
     seed: int = DEFAULT_SEED,
     outcomes: Iterable[str] = (paths.INCORRECT,),
 ) -> DataFrame:
-    """Current and replayed images with their class: ``path, origin, filename, class_name, label_id``."""
+    """Current and replayed images with their class: ``path, origin, filename, class_name, label_id``.
+
+    Label documents of other versions and outcomes are dropped before the join,
+    which cannot tell from an image path that they will never match.
+    """
+    outcomes = tuple(outcomes)
     chosen = replay.training_paths(inventory, version, seed=seed, outcomes=outcomes)
-    return curation.examples(curation.pair(chosen, labels), label_map).select(
+    owner = paths.version_of(F.col("label_path"))
+    candidates = labels.filter(
+        ((owner == version) | versions.is_earlier(owner, version))
+        & paths.outcome_of(F.col("label_path")).isin(*outcomes)
+    )
+    return curation.examples(curation.pair(chosen, candidates), label_map).select(
         "path", "origin", "filename", "class_name", "label_id"
     )
 
@@ -68,10 +78,11 @@ def preprocess(
     inventory = objects.list_objects(spark, root, family, outcomes, "*" + paths.IMAGE_SUFFIX)
     labels = objects.read_label_files(spark, root, family, outcomes)
     wanted = build_training_set(inventory, labels, label_map, version, seed, outcomes)
-    decoded = images.to_rgb(objects.read_images(spark, root, family, outcomes).join(
-        # Narrow and settled before any pixel moves.
-        stage(wanted, "training-set"), "path"
-    ))
+    # Narrow and settled before any pixel moves: its size decides how pixels are joined.
+    settled = stage(wanted, "training-set")
+    decoded = images.to_rgb(
+        objects.read_images(spark, root, family, outcomes).join(settled, "path")
+    )
     stored = decoded.select(
         "path",
         "filename",
@@ -184,16 +195,3 @@ def deployed_at(now) -> str:
     """ISO time with a closing ``Z``, as the promotion state holds it."""
     return now.isoformat() + "Z"
 
-
-__all__ = [
-    "Preprocessed",
-    "build_training_set",
-    "deployed_at",
-    "preprocess",
-    "promote",
-    "refresh_vocabulary",
-    "score_and_log",
-    "text",
-    "training_input",
-    "validation_report",
-]

@@ -577,6 +577,61 @@ def oracle_sql() -> dict[str, str]:
         "select vec_id, round(list_min(px), 6) as min_v, round(list_max(px), 6) as max_v from pixel_rows",
         "pixel_rows",
     )
+    # sinks
+    add(
+        "write_distribution",
+        """select model_version, class_label, label_id, example_count, run_timestamp from newest""",
+        "newest",
+    )
+    add(
+        "write_predictions",
+        """select ts as timestamp, actual, predicted, is_correct, round(latency, 6) as latency,
+ round(confidence, 6) as confidence, model_version from prediction_metrics""",
+        "prediction_metrics",
+    )
+    add(
+        "write_routed",
+        """select model_version, outcome, concat(stem, '.jpg') as image_path,
+ concat(stem, '_labels.json') as label_path,
+ concat('{"model_label":"', predicted, '","api_label":"', actual, '"}') as label_json
+ from (select *, concat(model_version, '/', outcome, '/', case when is_correct then predicted else actual end,
+  '_', cast(cast(floor(epoch(ts)) as bigint) as varchar), '_', cast(event_id as varchar)) as stem
+ from (select *, case when is_correct then 'correct_predictions' else 'incorrect_predictions' end as outcome
+ from prediction_metrics where model_version <> 'v3_0' and is_correct is not null) t) u""",
+        "prediction_metrics",
+    )
+    sql["write_label_map"] = sql["label_map_explode"]
+    sql["write_dataset_size"] = sql["dataset_size"]
+    add("write_listing", "select label_path as path from label_objects", "label_objects")
+    sql["write_training_metrics"] = sql["training_metrics"]
+    add(
+        "promotion_state",
+        """select winner as champion,
+ case when winner = champion then '2024-01-01T00:00:00Z' else '2024-02-01T00:00:00Z' end as champion_since,
+ 'v3_11' as challenger, cast(null as varchar) as challenger_since
+ from (select *, case when challenger_score > champion_score then challenger else champion end as winner
+ from evaluated) t""",
+        "evaluated",
+    )
+    add(
+        "prediction_log",
+        f"""select make_timestamp((vec_id + 1700000000) * 1000000) as timestamp, actual, predicted,
+ case when model_version = 'v3_0' then case when a = p then true
+  when len(a) = 0 or len(p) = 0 then lower(actual) = lower(predicted)
+  when s >= 0.75 * len(a) and s >= 0.75 * len(p) then true
+  when s = len(a) or s = len(p) then true else ratio >= 85 end
+ else actual = predicted end as is_correct,
+ round((vec_id % 7) / 100.0::double, 6) as latency, round(list_max(scores), 6) as confidence, model_version
+ from (select *, len(list_intersect(a, p)) as s from (
+  select x.*, t.class_name as actual, m.class_name as predicted,
+  {_words('t.class_name')} as a, {_words('m.class_name')} as p,
+  {_ratio('lower(t.class_name)', 'lower(m.class_name)')} as ratio
+  from (select *, concat('v3_', cast(vec_id % 2 as varchar)) as model_version,
+   list_position(scores, list_max(scores)) - 1 as predicted_id from scores) x
+  join label_map t on t.label_id = x.label join label_map m on m.label_id = x.predicted_id) y) z""",
+        "scores",
+        "label_map",
+    )
     # streams
     add(
         "stream_ingest",

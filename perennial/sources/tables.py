@@ -53,7 +53,8 @@ def read_dataset_size(spark: SparkSession, path: str) -> DataFrame:
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The newest promotion state: saved states never overwrite each other."""
-    states = spark.read.schema(schemas.PROMOTION_STATE).option("multiLine", True).json(path)
+    reader = spark.read.schema(schemas.PROMOTION_STATE).option("multiLine", True)
+    states = reader.option("recursiveFileLookup", True).json(path)
     return (
         states.select("champion", "challenger", F.col("_metadata.file_path").alias("file"))
         .orderBy(F.desc("file"))
