@@ -10,14 +10,20 @@ def parse_label_json(value: Column) -> Column:
     """Strict parse of a label document: ``(valid, model_label, api_label)``.
 
     One parse serves all three; broken text gives ``valid = false`` and nulls.
+    Spark's parser stops after the first value, so the text is parsed as the only
+    element of an array: anything after the document then shows.
     """
-    doc = F.try_parse_json(value)
-    return F.struct(
-        doc.isNotNull().alias("valid"),
-        F.try_variant_get(doc, "$.model_label", "string").alias("model_label"),
-        F.try_variant_get(doc, "$.api_label", "string").alias("api_label"),
+    docs = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+    valid = (
+        F.try_variant_get(docs, "$[0]", "variant").isNotNull()
+        & F.try_variant_get(docs, "$[1]", "variant").isNull()
     )
 
+    def field(name: str) -> Column:
+        return F.when(valid, F.try_variant_get(docs, f"$[0].{name}", "string")).alias(name)
+
+    return F.struct(valid.alias("valid"), field("model_label"), field("api_label"))
+
 
 def label_json(model_label: Column, api_label: Column) -> Column:
     return F.to_json(F.struct(model_label.alias("model_label"), api_label.alias("api_label")))

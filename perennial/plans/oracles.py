@@ -580,7 +580,7 @@ def oracle_sql() -> dict[str, str]:
     # sinks
     add(
         "write_distribution",
-        """select model_version, class_label, label_id, example_count, run_timestamp from newest""",
+        """select model_version, class_label, label_id::bigint as label_id, example_count, run_timestamp from newest""",
         "newest",
     )
     add(
