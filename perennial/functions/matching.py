@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perennial.functions.binding import let
 from perennial.session import stage
 
 # Label aliases of the base model.
@@ -47,28 +48,62 @@ def words(label: Column, alias_mode: str = "literal") -> Column:
     return F.array_sort(F.array_distinct(F.array_remove(F.split(found, r"\s+"), "")))
 
 
+# A bigint holds one bit per character and stays positive.
+_MAX_BITS = 61
+
+
 def common_subsequence(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence of two texts.
+    """Length of the longest common subsequence of two texts of any length."""
+    return F.when(F.length(b) <= _MAX_BITS, _by_bits(a, b)).otherwise(_by_rows(a, b))
+
+
+def _characters(text: Column) -> Column:
+    return F.array_remove(F.split(text, ""), "")
+
+
+def _by_bits(a: Column, b: Column) -> Column:
+    """One row of the table as the bits of a number, updated once per character of ``a``.
 
-    The usual table, one row per character of ``a``, as a fold over arrays.
+    A zero bit marks a column where the row's value grows by one.
     """
-    chars = F.filter(F.split(a, ""), lambda c: c != "")
-    other = F.filter(F.split(b, ""), lambda c: c != "")
-    first = F.transform(F.concat(F.array(F.lit("")), other), lambda _: F.lit(0))
-
-    def next_row(row: Column, ch: Column) -> Column:
-        # diagonal[j] = row[j] + 1 where characters agree, else the value above
-        best = F.transform(
-            other,
-            lambda c, j: F.when(c == ch, F.get(row, j) + 1).otherwise(F.get(row, j + 1)),
-        )
-        return F.aggregate(
-            best,
-            F.array(F.lit(0)),
-            lambda acc, v: F.concat(acc, F.array(F.greatest(v, F.element_at(acc, -1)))),
-        )
-
-    return F.element_at(F.aggregate(chars, first, next_row), -1)
+    full = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(b)) - 1
+
+    def last_row(backwards: Column) -> Column:
+        def next_row(row: Column, ch: Column) -> Column:
+            places = F.aggregate(
+                backwards,
+                F.lit(0).cast("bigint"),
+                lambda acc, c: F.shiftleft(acc, 1).bitwiseOR((c == ch).cast("bigint")),
+            )
+            return let(
+                row.bitwiseAND(places),
+                lambda kept: (row + kept).bitwiseOR(row - kept).bitwiseAND(full),
+            )
+
+        return F.aggregate(_characters(a), full, next_row)
+
+    return F.length(b) - F.bit_count(let(F.reverse(_characters(b)), last_row))
+
+
+def _by_rows(a: Column, b: Column) -> Column:
+    """The usual table, one row per character of ``a``, as a fold over arrays."""
+
+    def last_row(other: Column) -> Column:
+        def next_row(row: Column, ch: Column) -> Column:
+            # diagonal[j] = row[j] + 1 where characters agree, else the value above
+            best = F.transform(
+                other,
+                lambda c, j: F.when(c == ch, F.get(row, j) + 1).otherwise(F.get(row, j + 1)),
+            )
+            return F.aggregate(
+                best,
+                F.array(F.lit(0)),
+                lambda acc, v: F.concat(acc, F.array(F.greatest(v, F.element_at(acc, -1)))),
+            )
+
+        return F.aggregate(_characters(a), F.array_repeat(F.lit(0), F.size(other) + 1), next_row)
+
+    return F.element_at(let(_characters(b), last_row), -1)
 
 
 def fuzzy_ratio(a: Column, b: Column) -> Column:

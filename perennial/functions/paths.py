@@ -12,11 +12,11 @@ LABEL_SUFFIX = "_labels.json"
 
 
 def version_of(path: Column) -> Column:
-    return F.split_part(path, F.lit("/"), F.lit(1))
+    return F.substring_index(path, "/", 1)
 
 
 def outcome_of(path: Column) -> Column:
-    return F.split_part(path, F.lit("/"), F.lit(2))
+    return F.substring_index(F.substring_index(path, "/", 2), "/", -1)
 
 
 def base_name(path: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from perennial.functions.binding import let
+
 # Fixed value: probabilities are clipped to [EPSILON, 1 - EPSILON] before the logarithm.
 EPSILON = 1e-7
 
@@ -24,8 +26,7 @@ def is_top_1(scores: Column, label: Column) -> Column:
 
 def is_top_k(scores: Column, label: Column, k: int = 5) -> Column:
     """Fewer than ``k`` scores are strictly above the true one."""
-    true_score = F.get(scores, label)
-    return F.size(F.filter(scores, lambda x: x > true_score)) < k
+    return let(F.get(scores, label), lambda t: F.size(F.filter(scores, lambda x: x > t)) < k)
 
 
 def cross_entropy(scores: Column, label: Column) -> Column:
@@ -38,7 +39,5 @@ def to_unit_range(pixels: Column) -> Column:
     return F.transform(pixels, lambda x: x / F.lit(127.5) - F.lit(1.0))
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    return F.aggregate(
-        F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, d: acc + d
-    )
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, p: acc + p)

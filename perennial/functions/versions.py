@@ -25,7 +25,7 @@ def minor(version: Column) -> Column:
 
 def directory_number(version: Column) -> Column:
     """Second ``_`` field of a directory name as a number, null when malformed."""
-    return F.get(F.split(version, "_"), F.lit(1)).try_cast("int")
+    return F.substring_index(F.substring_index(version, "_", 2), "_", -1).try_cast("int")
 
 
 def is_earlier(version: Column, current: str) -> Column:

@@ -82,16 +82,26 @@ def augment(images: DataFrame, key: str, seed: int) -> DataFrame:
 
 def _augment(image: bytes, height: int, width: int, channels: int, seed: int) -> bytes:
     rng = np.random.default_rng(seed & 0xFFFFFFFFFFFFFFFF)
-    pixels = np.frombuffer(image, dtype=np.uint8).reshape(height, width, channels).astype(float)
-    if rng.random() < 0.5:
-        pixels = pixels[:, ::-1]
-    for axis, size in ((0, height), (1, width)):
-        shift = round(rng.uniform(-MAX_SHIFT, MAX_SHIFT) * size)
-        pad = [(0, 0)] * 3
-        pad[axis] = (max(shift, 0), max(-shift, 0))
-        moved = np.pad(pixels, pad, mode="symmetric")
-        pixels = np.take(moved, range(max(-shift, 0), max(-shift, 0) + size), axis=axis)
-    pixels = np.clip(pixels + 255 * rng.uniform(-MAX_BRIGHTNESS, MAX_BRIGHTNESS), 0, 255)
-    mean = pixels.mean(axis=(0, 1))
-    pixels = (pixels - mean) * rng.uniform(1 - MAX_CONTRAST, 1 + MAX_CONTRAST) + mean
-    return np.clip(pixels, 0, 255).round().astype(np.uint8).tobytes()
+    flip, down, right, light, contrast = rng.random(5)
+    rows = _shifted(height, round((2 * down - 1) * MAX_SHIFT * height))
+    columns = _shifted(width, round((2 * right - 1) * MAX_SHIFT * width))
+    if flip < 0.5:
+        columns = columns[::-1]
+    flat = np.frombuffer(image, dtype=np.uint8).reshape(height, width, channels)
+    pixels = flat[rows][:, columns].reshape(-1, channels)
+    # Light and contrast map each of the 256 levels of a channel to one level.
+    levels = np.clip(np.arange(256) + 255 * MAX_BRIGHTNESS * (2 * light - 1), 0, 255)
+    stretch = 1 + MAX_CONTRAST * (2 * contrast - 1)
+    out = np.empty_like(pixels)
+    for c in range(channels):
+        mean = np.bincount(pixels[:, c], minlength=256) @ levels / len(pixels)
+        table = np.clip(np.rint((levels - mean) * stretch + mean), 0, 255).astype(np.uint8)
+        out[:, c] = table[pixels[:, c]]
+    return out.tobytes()
+
+
+def _shifted(size: int, by: int) -> np.ndarray:
+    """Source index of every place after a shift; the gap mirrors the edge."""
+    index = np.arange(size) - by
+    index = np.where(index < 0, -index - 1, index)
+    return np.where(index >= size, 2 * size - 1 - index, index)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perennial.session import stage
 
 ACCURACY = 10_000
-SMALL_GROUP = 20_000
+# Rows of a group -> margin around each percentile: at least five ranks, many times
+# the sketch's error. Groups below the first size are sorted whole.
+WIDE, WIDE_FROM = 0.02, 250
+NARROW, NARROW_FROM = 0.0005, 20_000
 
 
 def exact_percentiles(
@@ -21,44 +24,42 @@ def exact_percentiles(
     The built-in exact aggregate keeps every distinct value of a group in one
     buffer. Here a mergeable sketch first brackets each percentile; a second
     read counts what lies below the bracket and sorts only the few values
-    inside it. Groups up to ``SMALL_GROUP`` rows are sorted whole; above it the
-    bracket's margin is ten ranks or more, several times the sketch's error. A
-    bracket that missed would fail the query rather than return a wrong value.
+    inside it. A bracket that missed would fail the query rather than return a
+    wrong value.
     """
     by = list(by)
     present = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("v"))
-    margin = 5.0 / ACCURACY
-    edges = []
-    for p in points.values():
-        edges += [max(0.0, p - margin), min(1.0, p + margin)]
+    edges = [
+        min(1.0, max(0.0, p + side * margin))
+        for p in points.values()
+        for margin in (WIDE, NARROW)
+        for side in (-1, 1)
+    ]
     sketch = present.groupBy(*by).agg(
         F.count("*").alias("n"),
         F.min("v").alias("least"),
         F.max("v").alias("most"),
         F.percentile_approx("v", edges, ACCURACY).alias("edges"),
     )
-    small = F.col("n") <= SMALL_GROUP
+
+    def bracket(i: int, name: str, p: float) -> Column:
+        def edge(whole: str, place: int) -> Column:
+            return (
+                F.when(F.col("n") < WIDE_FROM, F.col(whole))
+                .when(F.col("n") < NARROW_FROM, F.col("edges")[4 * i + place])
+                .otherwise(F.col("edges")[4 * i + 2 + place])
+            )
+
+        return F.struct(
+            F.lit(name).alias("point"),
+            (F.lit(float(p)) * (F.col("n") - 1)).alias("at"),
+            edge("least", 0).alias("low"),
+            edge("most", 1).alias("high"),
+        )
+
+    found = [bracket(i, name, p) for i, (name, p) in enumerate(points.items())]
     brackets = stage(
-        sketch.select(
-            *by,
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(name).alias("point"),
-                            (F.lit(float(p)) * (F.col("n") - 1)).alias("at"),
-                            F.when(small, F.col("least"))
-                            .otherwise(F.col("edges")[2 * i])
-                            .alias("low"),
-                            F.when(small, F.col("most"))
-                            .otherwise(F.col("edges")[2 * i + 1])
-                            .alias("high"),
-                        )
-                        for i, (name, p) in enumerate(points.items())
-                    ]
-                )
-            ).alias("b"),
-        ).select(*by, "b.*"),
+        sketch.select(*by, F.inline(F.array(*found))),
         "percentile-brackets",
     )
     # Equal values collapse before the shuffle; all values below a bracket collapse to one row.
@@ -78,7 +79,7 @@ def exact_percentiles(
         "start", F.col("upto") - F.col("c")
     )
 
-    def value_at(rank):
+    def value_at(rank: Column) -> Column:
         here = (F.col("start") <= rank) & (rank < F.col("upto")) & F.col("v").isNotNull()
         return F.max(F.when(here, F.col("v")))
 

@@ -30,9 +30,7 @@ def seeded_hash(key: Column, seed: int = DEFAULT_SEED) -> Column:
 
 def _with_range(df: DataFrame, key: str, seed: int, digits: int) -> DataFrame:
     hashed = df.withColumn("hash_", seeded_hash(F.col(key), seed))
-    return hashed.withColumn(
-        "range_", F.conv(F.substring("hash_", 1, digits), 16, 10).cast("int")
-    )
+    return hashed.withColumn("range_", F.substring("hash_", 1, digits))
 
 
 def share_size(total: Column, fraction: float) -> Column:

@@ -72,24 +72,36 @@ def replay_sample(
     return mark_share(pool, "path", share, by=["version"], seed=seed).filter("taken").drop("taken")
 
 
-def pooled_replay_sample(
-    objects: DataFrame,
+def pooled_sample(
+    files: DataFrame,
     family: str,
     excluded: str,
     share: float = REPLAY_SHARE,
     seed: int = DEFAULT_SEED,
-    outcomes: Iterable[str] = (paths.CORRECT, paths.INCORRECT),
 ) -> DataFrame:
-    """Exactly ``int(N * share)`` images of all versions of a family together.
+    """Exactly ``int(N * share)`` files of all versions of a family together.
 
-    ``family`` is matched as a plain text prefix of the version directory.
+    ``files`` has ``path`` and ``version``; ``family`` is a plain text prefix of the
+    version directory.
     """
-    pool = images_of(objects, outcomes).filter(
+    pool = files.filter(
         F.startswith(F.col("version"), F.lit(family)) & (F.col("version") != excluded)
     )
     return mark_share(pool, "path", share, seed=seed).filter("taken").drop("taken")
 
 
+def pooled_replay_sample(
+    objects: DataFrame,
+    family: str,
+    excluded: str,
+    share: float = REPLAY_SHARE,
+    seed: int = DEFAULT_SEED,
+    outcomes: Iterable[str] = (paths.CORRECT, paths.INCORRECT),
+) -> DataFrame:
+    """The pooled sample over images of both outcomes."""
+    return pooled_sample(images_of(objects, outcomes), family, excluded, share, seed)
+
+
 def training_paths(
     objects: DataFrame,
     version: str,

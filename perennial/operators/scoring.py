@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perennial.functions import paths, vectors
+from perennial.functions.binding import let
 from perennial.operators import vocabulary
 
 
@@ -71,18 +72,23 @@ def nearest_centroid(
 ) -> DataFrame:
     """Label of the closest centroid; the lowest label wins a tie.
 
-    The centroids, classes x dimensions numbers, enter as one scalar subquery
-    value, so rows are neither joined nor shuffled.
+    A row's own length is the same for all centroids, so ``|c|^2 - 2 v.c`` ranks
+    them. The centroids, classes x dimensions numbers, enter as one scalar
+    subquery value, so rows are neither joined nor shuffled.
     """
-    packed = centers.agg(F.array_sort(F.collect_list(F.struct("label", "centroid")))).scalar()
-    v = F.transform(F.col(vector), lambda x: x.cast("double"))
-    ranked = F.transform(
-        "centers_",
-        lambda c: F.struct(
-            vectors.squared_distance(v, c["centroid"]).alias("d"), c["label"].alias("l")
-        ),
-    )
-    best = F.array_min(ranked)["l"].cast("int")
+    sized = centers.withColumn("norm", vectors.dot(F.col("centroid"), F.col("centroid")))
+    packed = sized.agg(F.array_sort(F.collect_list(F.struct("label", "norm", "centroid")))).scalar()
+    doubled = F.transform(F.col(vector), lambda x: x.cast("double") * 2)
+
+    def ranked(v: Column) -> Column:
+        return F.transform(
+            "centers_",
+            lambda c: F.struct(
+                (c["norm"] - vectors.dot(v, c["centroid"])).alias("d"), c["label"].alias("l")
+            ),
+        )
+
+    best = F.array_min(let(doubled, ranked))["l"].cast("int")
     return rows.withColumn("centers_", packed).withColumn(name, best).drop("centers_")
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from perennial.functions import matching, paths, versions
 from perennial.operators import (
@@ -145,23 +146,45 @@ def refresh_vocabulary(
     return tables.read_label_map(spark, target)
 
 
+def judge(scored: DataFrame, label_map: DataFrame) -> DataFrame:
+    """Decode the best class of every row and compare it with the true label."""
+    named = scoring.decode(scoring.predict(scored).drop("scores"), label_map)
+    return matching.with_matches(named).withColumn(
+        "is_correct", matching.is_match(F.col("model_version"))
+    )
+
+
 def score_and_log(
     scored: DataFrame, label_map: DataFrame, log_path: str, routed_path: str | None = None
 ) -> None:
-    """Compare scored rows with their true label, keep images and append the log.
+    """Judge scored rows, keep their images and append the log.
 
     ``scored`` has ``event_id, ts, model_version, actual, latency, scores`` and may
     carry the image ``content``.
     """
-    named = scoring.decode(scoring.predict(scored).drop("scores"), label_map)
-    judged = matching.with_matches(named).withColumn(
-        "is_correct", matching.is_match(F.col("model_version"))
-    )
+    judged = judge(scored, label_map)
     if routed_path:
         sinks.write_routed(scoring.routed(judged), routed_path)
     sinks.append_predictions(judged.withColumnRenamed("ts", "timestamp"), log_path)
 
 
+def score_stream(
+    scored: DataFrame, label_map: DataFrame, log_path: str, checkpoint: str
+) -> StreamingQuery:
+    """The same on a stream: one folder per batch, so a retried batch rewrites its own rows."""
+
+    def log(batch: DataFrame, batch_id: int) -> None:
+        rows = judge(batch, label_map).withColumnRenamed("ts", "timestamp")
+        sinks.write_prediction_batch(rows, log_path, batch_id)
+
+    return (
+        scored.writeStream.foreachBatch(log)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def promote(
     spark: SparkSession, log: DataFrame, state_path: str, saved_at: str, deployed_at: str
 ) -> DataFrame:

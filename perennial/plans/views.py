@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from perennial.functions.binding import let
 from perennial.operators import confusion, vocabulary
 from perennial.session import stage
 
@@ -135,15 +136,15 @@ def label_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Softmax of the first ten dimensions."""
     weights = F.transform(F.slice("embedding", 1, 10), lambda x: F.exp(x.cast("double")))
-    total = F.aggregate("e", F.lit(0.0), lambda a, y: a + y)
-    return (
-        table(spark, sf_dir, "embeddings")
-        .select("vec_id", "label", weights.alias("e"))
-        .withColumn("total", total)
-        .select(
-            "vec_id", "label", F.transform("e", lambda x: x / F.col("total")).alias("scores")
-        )
+
+    def shares(e):
+        total = F.aggregate(e, F.lit(0.0), lambda a, y: a + y)
+        return let(total, lambda t: F.transform(e, lambda x: x / t))
+
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", "label", let(weights, shares).alias("scores")
     )
 
 

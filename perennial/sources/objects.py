@@ -66,6 +66,13 @@ def list_objects(
     return found.withColumn("path", relative(F.col("path")))
 
 
+def list_example_files(spark: SparkSession, root: str) -> DataFrame:
+    """Stored example files of all versions: ``path`` below ``processed/`` and ``version``."""
+    found = discover(spark, f"{root}/processed/*/data", "*.parquet")
+    inside = F.substring_index("path", "/", -3)
+    return found.select(inside.alias("path"), paths.version_of(inside).alias("version"))
+
+
 def list_json(objects: DataFrame, max_files: int | None = None) -> DataFrame:
     """JSON objects whatever the case of the suffix; 0 or None lists all of them."""
     found = objects.filter(paths.is_json(F.col("path"))).select("path")

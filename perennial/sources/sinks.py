@@ -33,6 +33,11 @@ def append_predictions(rows: DataFrame, path: str) -> None:
     schemas.conform(rows, schemas.PREDICTION_METRICS).write.mode("append").parquet(path)
 
 
+def write_prediction_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    checked = schemas.conform(rows, schemas.PREDICTION_METRICS)
+    checked.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
 def append_training_metrics(rows: DataFrame, path: str) -> None:
     schemas.conform(rows, schemas.TRAINING_METRICS).write.mode("append").parquet(path)
 

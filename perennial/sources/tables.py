@@ -64,7 +64,8 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PREDICTION_METRICS).parquet(path)
+    stored = spark.read.schema(schemas.PREDICTION_METRICS).parquet(path)
+    return stored.select(schemas.PREDICTION_METRICS.fieldNames())
 
 
 def read_distribution(spark: SparkSession, path: str) -> DataFrame:

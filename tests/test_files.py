@@ -234,6 +234,29 @@ def test_scored_rows_are_routed_and_logged(spark, tmp_path):
     assert json.loads(wrong.label_json) == {"model_label": "pug", "api_label": "akita"}
 
 
+def test_scored_stream_logs_each_batch_once(spark, tmp_path):
+    schema = "event_id long, ts timestamp, model_version string, actual string, latency double, scores array<double>"
+    label_map = spark.createDataFrame([("pug", 0), ("akita", 1)], schemas.LABEL_MAP)
+    folder, log, state = str(tmp_path / "in"), str(tmp_path / "log"), str(tmp_path / "state")
+    for i in range(2):
+        spark.createDataFrame([(i, None, "v3_1", "pug", 0.1, [0.9, 0.1])], schema).write.mode("append").parquet(folder)
+        jobs.score_stream(spark.readStream.schema(schema).parquet(folder), label_map, log, state).awaitTermination()
+    stored = tables.read_metrics(spark, log)
+    assert [r.is_correct for r in stored.collect()] == [True, True]
+    assert stored.columns == schemas.PREDICTION_METRICS.fieldNames()
+
+
+def test_pooled_sample_of_example_files(spark, tmp_path):
+    for version, n in (("v3_1", 7), ("v3_2", 4), ("v3_3", 9)):
+        spark.range(n).repartition(n).write.option("maxRecordsPerFile", 1).parquet(f"{tmp_path}/processed/{version}/data")
+    files = objects.list_example_files(spark, str(tmp_path))
+    assert files.groupBy("version").count().count() == 3
+    sample = replay.pooled_sample(files, "v3", "v3_3").collect()
+    eligible = files.filter("version <> 'v3_3'").count()
+    assert len(sample) == int(eligible * 0.2)
+    assert {r.version for r in sample} <= {"v3_1", "v3_2"}
+
+
 def test_training_metrics_row(spark, tmp_path):
     row = {"model_version": "m_net_s_v3.1", "accuracy": 0.85, "top_k_accuracy": 0.95}
     target = str(tmp_path / "training_metrics")

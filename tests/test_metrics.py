@@ -83,12 +83,16 @@ def expected_percentile(values, p):
     return float(np.percentile(np.array(values), p * 100))
 
 
-@pytest.mark.parametrize("small", [20_000, 0])
-def test_percentiles_with_a_hot_group(spark, monkeypatch, small):
-    """``small = 0`` sends every group through the bracket."""
-    monkeypatch.setattr(quantiles, "SMALL_GROUP", small)
+def test_percentiles_with_a_hot_group(spark):
+    """Groups of every size class, one with a single value."""
     rng = np.random.default_rng(1)
-    groups = {"hot": np.round(rng.lognormal(0, 2, 30_000), 4), "flat": np.full(25_000, 2.5), "two": rng.random(30_000)}
+    groups = {
+        "hot": np.round(rng.lognormal(0, 2, 60_000), 4),
+        "flat": np.full(25_000, 2.5),
+        "middle": rng.random(5_000),
+        "few": rng.random(260),
+        "whole": rng.random(249),
+    }
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("hot", None)]
     df = spark.createDataFrame(rows, "g string, x double").repartition(6)
     points = {"p5": 0.05, "p50": 0.5, "p95": 0.95, "p100": 1.0}
