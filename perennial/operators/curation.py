@@ -15,12 +15,12 @@ def pair(images: DataFrame, labels: DataFrame, how: str = "inner") -> DataFrame:
     """
     wanted = images.withColumn("label_path", paths.label_path(F.col("path")))
     parsed = labels.select("label_path", text.parse_label_json(F.col("value")).alias("doc"))
-    return (
-        wanted.join(parsed, "label_path", how)
-        .withColumn("valid_json", F.col("doc.valid"))
-        .withColumn("model_label", F.col("doc.model_label"))
-        .withColumn("api_label", F.col("doc.api_label"))
-        .drop("doc")
+    return wanted.join(parsed, "label_path", how).select(
+        "label_path",
+        *images.columns,
+        F.col("doc.valid").alias("valid_json"),
+        "doc.model_label",
+        "doc.api_label",
     )
 
 
@@ -30,12 +30,13 @@ def examples(pairs: DataFrame, label_map: DataFrame) -> DataFrame:
     ``label_map`` should be a stored table (a file or a staged result): then its
     true size decides between a broadcast and a shuffled join.
     """
-    known = label_map.select("class_name", "label_id")
-    return (
-        pairs.filter(F.col("api_label").isNotNull())
-        .withColumnRenamed("api_label", "class_name")
-        .join(known, "class_name")
-        .withColumn("filename", paths.file_stem(F.col("path")))
+    known = label_map.select(F.col("class_name").alias("api_label"), "label_id")
+    kept = [c for c in pairs.columns if c != "api_label"]
+    return pairs.join(known, "api_label").select(
+        *kept,
+        F.col("api_label").alias("class_name"),
+        "label_id",
+        paths.file_stem(F.col("path")).alias("filename"),
     )
 
 

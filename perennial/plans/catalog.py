@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perennial import schemas
 from perennial.functions import matching, paths, text, vectors, versions
+from perennial.functions.binding import let
 from perennial.operators import (
     confusion,
     curation,
@@ -94,8 +95,12 @@ def earlier_versions(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir) -> DataFrame:
+    """Wrongly predicted images with their labels; other labels are dropped before the join."""
     wrong = replay.images_of(views.image_objects(spark, sf_dir))
-    return curation.pair(wrong, views.label_objects(spark, sf_dir))
+    labels = views.label_objects(spark, sf_dir)
+    return curation.pair(
+        wrong, labels.filter(paths.outcome_of(F.col("label_path")) == paths.INCORRECT)
+    )
 
 
 @query
@@ -126,14 +131,12 @@ def label_map_explode(spark, sf_dir):
 
 @query
 def label_map_from_csv(spark, sf_dir):
-    """The 25 nation names stand for a name list file: one document, a name per line."""
-    names = views.table(spark, sf_dir, "nation").agg(
-        F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("names")
-    )
-    document = names.select(
-        F.array_join(F.transform("names", lambda e: F.concat(e["n_name"], F.lit(" "))), "\n").alias("value")
+    """The class names as a name list file: one document, a name per line, blanks at the end."""
+    names = views.label_map(spark, sf_dir).agg(
+        F.array_sort(F.collect_list(F.struct("label_id", "class_name"))).alias("names")
     )
-    return vocabulary.from_csv(document)
+    lines = F.transform("names", lambda e: F.concat(e["class_name"], F.lit(" ")))
+    return vocabulary.from_csv(names.select(F.array_join(lines, "\n").alias("value")))
 
 
 @query
@@ -701,19 +704,29 @@ def stream_running_accuracy(spark, sf_dir):
 # --- without an oracle: random numbers of a fixed generator -----------------------------
 
 
+def _as_image(vector) -> Column:
+    """The first 48 numbers, stretched to bytes, as the pixels of a 4 x 4 RGB image."""
+
+    def pixels(v: Column) -> Column:
+        span = F.struct(F.array_min(v).alias("low"), (F.array_max(v) - F.array_min(v)).alias("width"))
+
+        def hexed(s: Column) -> Column:
+            scale = lambda x: F.floor((x - s["low"]) / s["width"] * 255).cast("int")
+            return F.transform(v, lambda x: F.lpad(F.hex(scale(x)), 2, "0"))
+
+        return F.unhex(F.array_join(let(span, hexed), ""))
+
+    return let(F.slice(vector, 1, 48), pixels)
+
+
 @query
 def augment_pixels(spark, sf_dir):
-    """Embeddings seen as 4 x 4 RGB images, augmented; tested by its invariants."""
-    level = F.slice("embedding", 1, 48)
-    low, high = F.array_min(level), F.array_max(level)
-    byte = F.transform(
-        level, lambda x: F.lpad(F.hex(F.round((x - low) / (high - low) * 255).cast("int")), 2, "0")
-    )
+    """Embeddings seen as small images, augmented; tested by its invariants."""
     rows = views.table(spark, sf_dir, "embeddings").select(
         "vec_id",
         F.lit(4).alias("height"),
         F.lit(4).alias("width"),
         F.lit(3).alias("n_channels"),
-        F.unhex(F.array_join(byte, "")).alias("image"),
+        _as_image("embedding").alias("image"),
     )
     return images.augment(rows, "vec_id", 42)

@@ -248,11 +248,7 @@ def oracle_sql() -> dict[str, str]:
         "label_map",
     )
     add("label_map_explode", "select class_name, label_id from label_map", "label_map")
-    add(
-        "label_map_from_csv",
-        """select n_name as class_name, cast(row_number() over (order by n_nationkey) - 1 as int) as label_id
- from nation""",
-    )
+    sql["label_map_from_csv"] = sql["label_map_explode"]
     add(
         "new_labels",
         """select distinct class_name from image_objects
