@@ -711,8 +711,10 @@ def _as_image(vector) -> Column:
         span = F.struct(F.array_min(v).alias("low"), (F.array_max(v) - F.array_min(v)).alias("width"))
 
         def hexed(s: Column) -> Column:
-            scale = lambda x: F.floor((x - s["low"]) / s["width"] * 255).cast("int")
-            return F.transform(v, lambda x: F.lpad(F.hex(scale(x)), 2, "0"))
+            levels = F.transform(
+                v, lambda x: F.floor((x - s["low"]) / s["width"] * 255).cast("int")
+            )
+            return F.transform(levels, lambda n: F.lpad(F.hex(n), 2, "0"))
 
         return F.unhex(F.array_join(let(span, hexed), ""))
 
