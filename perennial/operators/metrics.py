@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from perennial import schemas
 from perennial.functions import text
+from perennial.operators.joins import join_groups
 from perennial.operators.quantiles import exact_percentiles
 
 
@@ -81,7 +82,7 @@ def hourly(log: DataFrame, at: str = "ts") -> DataFrame:
         F.avg("latency").alias("avg_latency"),
     )
     latency = exact_percentiles(rows, keys, "latency", {"p50_latency": 0.5, "p95_latency": 0.95})
-    return base.join(latency, keys, "left")
+    return join_groups(base, latency, keys, "left")
 
 
 def volume_gate(images: DataFrame, threshold: int) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from perennial.operators.joins import join_groups
 from perennial.session import stage
 
 ACCURACY = 10_000
@@ -64,7 +65,7 @@ def exact_percentiles(
     )
     # Equal values collapse before the shuffle; all values below a bracket collapse to one row.
     seen = (
-        present.join(brackets, by)
+        join_groups(present, brackets, by)
         .filter(F.col("v") <= F.col("high"))
         .withColumn("v", F.when(F.col("v") >= F.col("low"), F.col("v")))
         .groupBy(*by, "point", "at", "v")

@@ -117,6 +117,15 @@ def test_hourly_keeps_groups_without_latency(spark):
     assert (row.n, row.accuracy, row.p50_latency) == (1, 1.0, None)
 
 
+def test_hourly_keeps_a_missing_version(spark):
+    df = spark.sql(
+        "select timestamp_ntz'2024-01-01 00:10:00' ts, cast(null as string) model_version, true is_correct, "
+        "cast(id as double) latency from range(3)"
+    )
+    row = metrics.hourly(df).first()
+    assert (row.model_version, row.n, row.p50_latency) == (None, 3, 1.0)
+
+
 def test_volume_gate(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "version string")
     assert {r.version: r.retrain for r in metrics.volume_gate(df, 2).collect()} == {"a": True, "b": False}
