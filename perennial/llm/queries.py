@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennial.llm import decontaminate, lines, minhash, packing, quality
+from perennial.llm import decontaminate, extraction, lines, minhash, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,11 @@ def op7_minhash_dedup(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+@query
+def op8_html_extraction(spark, sf_dir):
+    return extraction.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), drop=("html",))
+
+
 @query
 def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
