@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennial.llm import decontaminate, extraction, lines, minhash, packing, quality
+from perennial.llm import decontaminate, extraction, lines, minhash, packing, quality, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_suffix_dedup(spark, sf_dir):
+    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op3_decontamination(spark, sf_dir):
     found = decontaminate.find(
