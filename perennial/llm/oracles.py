@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from perennial.llm import lines, quality
+from perennial.llm import licenses, lines, preferences, quality
 
 _WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -81,6 +81,76 @@ select docs.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) a
 from docs left join covered using (doc_id) left join found using (doc_id)
 """
 
+_KNOWN, _OTHER_IDF, _ = licenses.template_words(licenses.TEMPLATES)
+
+OP1 = rf"""
+with known(word, idf, template, license, w) as (values {", ".join(f"('{word}', {idf!r}::double, {template}, '{name}', {w!r}::double)" for word, idf, template, name, w in _KNOWN)}),
+files as (
+  select text, concat_ws('/', source, lang, cast(doc_id // 1000 as varchar),
+    case when doc_id % 100 = 0 then null else cast(doc_id // 100 as varchar) end,
+    case when doc_id % 10 = 0 then 'LICENSE-' || doc_id else 'file-' || doc_id || '.txt' end) as path from documents),
+lines as (select distinct path, unnest(string_split(text, chr(10))) as line from files where text is not null),
+words as (
+  select line, word, count(*) as tf
+  from (select line, unnest(regexp_extract_all(lower(line), '[\p{{L}}\p{{N}}]+')) as word from (select distinct line from lines))
+  group by 1, 2),
+weighted as (
+  select line, words.word, tf * coalesce(i.idf, {_OTHER_IDF!r}::double) as x
+  from words left join (select distinct word, idf from known) i on words.word = i.word),
+norms as (select line, sqrt(sum(x * x)) as norm from weighted group by line),
+scored as (
+  select line, license, round(sum(x * w) / any_value(norm), 6) as score
+  from weighted join known using (word) join norms using (line) group by line, template, license),
+matched as (select path, license, score from lines join scored using (line) where score >= {licenses.THRESHOLD}),
+found as (
+  select path, license, score from matched qualify row_number() over (partition by path order by score desc, license) = 1),
+parted as (select path, regexp_replace(path, '/?[^/]*$', '') as directory from files),
+licensed as (
+  select directory, license from found join parted using (path) where regexp_matches(path, '(^|/)LICENSE[^/]*$')
+  qualify row_number() over (partition by directory order by score desc, license) = 1),
+above as (
+  select path, directory, d, array_to_string((string_split(directory, '/'))[1:d], '/') as origin
+  from (select path, directory, unnest(range(0, len(string_split(directory, '/')) + 1)) as d from parted)),
+inherited as (
+  select path, l.license as inherited_license, origin as inherited_from from above join licensed l on above.origin = l.directory
+  qualify row_number() over (partition by path order by d desc) = 1)
+select path, license as header_license, score, inherited_license, inherited_from, coalesce(license, inherited_license) as license
+from parted left join found using (path) left join inherited using (path)
+"""
+
+_ROLE = preferences.TRAINED_ROLE
+_END = "chr(10) || '<|end|>' || chr(10)"
+_OPEN = "'<|' || t.role || '|>' || chr(10)"
+_TEXT = f"coalesce(array_to_string(list_transform({{0}}, lambda t: {_OPEN} || t.text || {_END}), ''), '')"
+_MASK = (
+    f"coalesce(array_to_string(list_transform({{0}}, lambda t: case when t.role = '{_ROLE}' "
+    f"then length({_OPEN}) || ',' || (length(t.text) + {len(preferences.CLOSING)}) "
+    f"else (length({_OPEN}) + length(t.text) + {len(preferences.CLOSING)}) || ',0' end), ','), '')"
+)
+
+OP6 = f"""
+with whole as (
+  select conv_id, list({{'turn': turn, 'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn, role, text) as ts
+  from conversations where conv_id is not null group by conv_id),
+placed as (
+  select conv_id, ts, list_max(list_filter(range(1, len(ts) + 1), lambda i: ts[i].role = '{_ROLE}')) as last from whole),
+answered as (select * from placed where last is not null),
+pairs as (
+  select a.conv_id as pair_id, a.ts as c, a.last, b.ts[b.last].text as other
+  from answered a join answered b on xor(a.conv_id, 1) = b.conv_id),
+replaced as (
+  select pair_id, c, list_transform(c, lambda t, i: case when i = last
+    then {{'turn': t.turn, 'role': t.role, 'text': other}} else t end) as r from pairs),
+cut as (
+  select *, coalesce(list_min(list_filter(range(1, len(c) + 1), lambda i: c[i].role <> r[i].role or c[i].text <> r[i].text)) - 1, len(c)) as n
+  from replaced)
+select pair_id, cast(n as integer) as n_prompt_turns, {_TEXT.format("c[1:n]")} as prompt,
+  {_TEXT.format("c[n + 1:]")} as chosen, {_MASK.format("c[n + 1:]")} as chosen_mask,
+  {_TEXT.format("r[n + 1:]")} as rejected, {_MASK.format("r[n + 1:]")} as rejected_mask,
+  n < len(c) as differs
+from cut
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3, "op4_line_dedup": OP4, "op5_quality_rules": OP5}
+    return {"op1_license_scan": OP1, "op6_preference_formatting": OP6, "op3_decontamination": OP3, "op4_line_dedup": OP4, "op5_quality_rules": OP5}

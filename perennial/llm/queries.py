@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennial.llm import decontaminate, extraction, lines, minhash, packing, quality, repeats
+from perennial.llm import (
+    decontaminate,
+    extraction,
+    licenses,
+    lines,
+    matrices,
+    minhash,
+    packing,
+    preferences,
+    quality,
+    repeats,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +40,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_license_scan(spark, sf_dir):
+    """Documents as a file tree by source, language and id; every tenth is a licence file, every hundredth one a level up."""
+    thousand, hundred = (F.expr(f"cast(doc_id div {n} as string)") for n in (1000, 100))
+    name = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("LICENSE-"), F.col("doc_id"))).otherwise(
+        F.concat(F.lit("file-"), F.col("doc_id"), F.lit(".txt"))
+    )
+    below = F.when(F.col("doc_id") % 100 == 0, F.lit(None)).otherwise(hundred)
+    files = table(spark, sf_dir, "documents").select(
+        F.concat_ws("/", "source", "lang", thousand, below, name).alias("path"), "text"
+    )
+    return licenses.scan(files)
+
+
 @query
 def op2_suffix_dedup(spark, sf_dir):
     cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -72,6 +97,13 @@ def op5_quality_rules(spark, sf_dir):
     )
 
 
+@query
+def op6_preference_formatting(spark, sf_dir):
+    made = preferences.format_pairs(preferences.swapped_answers(table(spark, sf_dir, "conversations")))
+    mask = lambda name: F.array_join(F.transform(name, lambda n: n.cast("string")), ",")
+    return made.withColumns({n: mask(n) for n in ("chosen_mask", "rejected_mask")})
+
+
 @query
 def op7_minhash_dedup(spark, sf_dir):
     found = minhash.link(table(spark, sf_dir, "documents"))
@@ -86,3 +118,18 @@ def op8_html_extraction(spark, sf_dir):
 @query
 def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_matrices(spark, sf_dir):
+    packed = matrices.pack(table(spark, sf_dir, "documents"))
+    return packed.select(
+        "sequence_id",
+        "n_tokens",
+        F.size("doc_ids").alias("n_segments"),
+        "doc_ids",
+        "doc_starts",
+        "cu_seqlens",
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32("positions").alias("positions_crc32"),
+    )
