@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from perennial.llm import arrow
 
 WINDOW = 10
+MADE = ("n_words", "n_hit", "n_items", "items", "spans", "contaminated")
 # Text of the items sent to the tasks at once.
 BLOCK_BYTES = 8 << 20
 
@@ -141,8 +142,7 @@ def find(
         T.StructField("spans", T.ArrayType(T.IntegerType())),
         T.StructField("items", T.ArrayType(T.StringType())),
     ]
-    made = ["n_hit", "n_items", "contaminated", *[f.name for f in fields]]
-    out = docs.drop(*[c for c in made if c in docs.columns])
+    out = docs.drop(*[c for c in MADE if c in docs.columns])
     for number, (last, block) in enumerate(_blocks(benchmark, item_id, item_text, block_bytes)):
         sent = context.broadcast(block)
         out = arrow.append(out, _searching(sent, text, window, number > 0), fields, drop if last else ())
@@ -191,5 +191,7 @@ def _searching(sent, text: str, window: int, later: bool):
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents that hold no window of the benchmark, with their own columns only."""
-    found = find(docs, benchmark, text, **options)
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    aside = {c: f"_own_{c}" for c in docs.columns if c in MADE}
+    found = find(docs.withColumnsRenamed(aside), benchmark, text, **options)
+    own = [F.col(aside.get(c, c)).alias(c) for c in docs.columns]
+    return found.where(~F.col("contaminated")).select(*own)
