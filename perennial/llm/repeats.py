@@ -180,20 +180,20 @@ def _packed(keyed: DataFrame, text: str, drop: tuple[str, ...] = ()) -> DataFram
 def _surroundings(wanted: DataFrame, keyed: DataFrame, text: str, length: int, anchor: int) -> DataFrame:
     """The bytes around one occurrence of each distinct surrounding: before the anchor, reversed, and from it."""
 
+    reach = length - anchor
+
     def run(batch: pa.RecordBatch) -> dict:
         unpack = zstandard.ZstdDecompressor()
-        made: dict[str, list] = defaultdict(list)
-        blobs, lists = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("blob", "places"))
-        for blob, places in zip(blobs, lists, strict=True):
+        blobs, lists = (batch.column(batch.schema.get_field_index(n)) for n in ("blob", "places"))
+        places, edges = lists.flatten(), np.cumsum([0, *lists.value_lengths().to_pylist()])
+        ats = places.field("at").to_pylist()
+        before, after = [], []
+        for blob, first, last in zip(blobs.to_pylist(), edges, edges[1:], strict=False):
             data = unpack.decompress(blob)
-            for place in places:
-                at = place["at"]
-                made["h"].append(place["h"])
-                made["around"].append(place["around"])
-                made["n"].append(place["n"])
-                made["left"].append(data[max(0, at - (length - anchor)) : at][::-1])
-                made["right"].append(data[at : at + length])
-        return made
+            for at in ats[first:last]:
+                before.append(data[max(0, at - reach) : at][::-1])
+                after.append(data[at : at + length])
+        return {n: places.field(n) for n in ("h", "around", "n")} | {"left": before, "right": after}
 
     long = keyed.where(F.octet_length(text) >= length).select("key", F.col(text).alias("text"))
     texts = _packed(long, "text").dropDuplicates(["key"])
@@ -211,31 +211,41 @@ def extents(members: list[tuple[bytes, bytes]], length: int) -> list[tuple[int,
     each ``d`` that can matter they are numbered by one pass over each order.
     """
     n = len(members)
+    if n == 2:
+        (left, right), (other_left, other_right) = members
+        before, after = common_prefix(left, other_left), common_prefix(right, other_right)
+        both = (min(before, length), after) if before + after >= length else None
+        return [both, both]
     sides = []
     for side in (0, 1):
         strings = [m[side] for m in members]
         order = deep_shallow_order(strings)
         shared = [common_prefix(strings[a], strings[b]) for a, b in zip(order, order[1:], strict=False)]
-        sides.append((order, np.array(shared, np.int64)))
+        sides.append((order, shared))
     (left_order, left_shared), (right_order, right_shared) = sides
-    depths = {min(int(d), length) for d in left_shared} | {max(length - int(r), 0) for r in right_shared}
+    if max(left_shared, default=0) + max(right_shared, default=0) < length:
+        return [None] * n
+    depths = {min(d, length) for d in left_shared} | {max(length - r, 0) for r in right_shared}
     reach: list[list[int] | None] = [None] * n
-    sizes = np.array([(len(a), len(b)) for a, b in members])
+    number = [0] * n
     for d in sorted(depths):
-        usable = (sizes[:, 0] >= d) & (sizes[:, 1] >= length - d)
-        if usable.sum() < 2:
-            continue
-        group = np.zeros(n, np.int64)
-        group[left_order] = np.concatenate([[0], np.cumsum(left_shared < d)])
-        right = np.zeros(n, np.int64)
-        right[right_order] = np.concatenate([[0], np.cumsum(right_shared < length - d)])
-        both = group * n + right
-        both[~usable] = -1 - np.flatnonzero(~usable)
-        _, inverse, counts = np.unique(both, return_inverse=True, return_counts=True)
-        for member in np.flatnonzero(counts[inverse] > 1):
-            if reach[member] is None:
-                reach[member] = [d, d]
-            reach[member][1] = d
+        group = 0
+        for member, shared in zip(left_order, [*left_shared, 0], strict=True):
+            number[member] = group
+            group += shared < d
+        met: dict[tuple[int, int], list[int]] = defaultdict(list)
+        group = 0
+        for member, shared in zip(right_order, [*right_shared, 0], strict=True):
+            left, right = members[member]
+            if len(left) >= d and len(right) >= length - d:
+                met[number[member], group].append(member)
+            group += shared < length - d
+        for same in met.values():
+            if len(same) > 1:
+                for member in same:
+                    if reach[member] is None:
+                        reach[member] = [d, d]
+                    reach[member][1] = d
     # the string with the smallest d ends last, that with the largest begins first
     return [None if r is None else (r[1], length - r[0]) for r in reach]
 
@@ -406,17 +416,20 @@ def remove_repeats(
     def run(batch: pa.RecordBatch) -> list:
         unpack = zstandard.ZstdDecompressor()
         out: list[list] = [[], [], [], []]
-        blobs, lists = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("blob", "spans"))
-        for blob, found in zip(blobs, lists, strict=True):
+        blobs, lists = (batch.column(batch.schema.get_field_index(n)) for n in ("blob", "spans"))
+        found, edges = lists.flatten(), np.cumsum([0, *(n or 0 for n in lists.value_lengths().to_pylist())])
+        starts, ends = found.field("start").to_pylist(), found.field("end").to_pylist()
+        for blob, first, last in zip(blobs.to_pylist(), edges, edges[1:], strict=False):
             data = unpack.decompress(blob)
             merged: list[list[int]] = []
-            for start, end in sorted((max(0, s["start"]), min(len(data), s["end"])) for s in found or ()):
+            for start, end in sorted(zip(starts[first:last], ends[first:last], strict=True)):
+                start, end = max(0, start), min(len(data), end)
                 if merged and start <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], end)
                 else:
                     merged.append([start, end])
-            edges = [0, *(x for span in merged for x in span), len(data)]
-            kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+            rims = [0, *(x for span in merged for x in span), len(data)]
+            kept = b"".join(data[a:b] for a, b in zip(rims[::2], rims[1::2], strict=True))
             for column, value in zip(out, (len(data), len(data) - len(kept), len(merged), kept), strict=True):
                 column.append(value)
         return out
