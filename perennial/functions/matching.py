@@ -48,62 +48,74 @@ def words(label: Column, alias_mode: str = "literal") -> Column:
     return F.array_sort(F.array_distinct(F.array_remove(F.split(found, r"\s+"), "")))
 
 
-# A bigint holds one bit per character and stays positive.
-_MAX_BITS = 61
-
-
-def common_subsequence(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence of two texts of any length."""
-    return F.when(F.length(b) <= _MAX_BITS, _by_bits(a, b)).otherwise(_by_rows(a, b))
+# Characters in a word of bits: a bigint holds them and a carry and stays positive.
+_WORD_BITS = 61
 
 
 def _characters(text: Column) -> Column:
     return F.array_remove(F.split(text, ""), "")
 
 
-def _by_bits(a: Column, b: Column) -> Column:
-    """One row of the table as the bits of a number, updated once per character of ``a``.
+def common_subsequence(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two texts of any length.
 
-    A zero bit marks a column where the row's value grows by one.
+    One row of the usual table as the bits of a few numbers, updated once per
+    character of ``a``: a zero bit marks a column where the row's value grows
+    by one. Words of bits are updated from the low one up, the carry of their
+    addition goes to the next.
     """
-    full = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(b)) - 1
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
 
-    def last_row(backwards: Column) -> Column:
-        def next_row(row: Column, ch: Column) -> Column:
-            places = F.aggregate(
-                backwards,
-                F.lit(0).cast("bigint"),
-                lambda acc, c: F.shiftleft(acc, 1).bitwiseOR((c == ch).cast("bigint")),
-            )
-            return let(
-                row.bitwiseAND(places),
-                lambda kept: (row + kept).bitwiseOR(row - kept).bitwiseAND(full),
-            )
+    def full(word: Column) -> Column:
+        return F.call_function("shiftleft", one, F.size(word)) - 1
 
-        return F.aggregate(_characters(a), full, next_row)
+    def places(word: Column, ch: Column) -> Column:
+        return F.aggregate(
+            word, zero, lambda acc, c: F.shiftleft(acc, 1).bitwiseOR((c == ch).cast("bigint"))
+        )
 
-    return F.length(b) - F.bit_count(let(F.reverse(_characters(b)), last_row))
+    def last_row(words: Column) -> Column:
+        def next_row(row: Column, ch: Column) -> Column:
+            start = F.struct(F.array().cast("array<bigint>").alias("row"), zero.alias("carry"))
+
+            def next_word(acc: Column, item: Column) -> Column:
+                old, word = item["old"], item["word"]
+                return let(
+                    old.bitwiseAND(places(word, ch)),
+                    lambda kept: let(
+                        old + kept + acc["carry"],
+                        lambda total: F.struct(
+                            F.concat(
+                                acc["row"],
+                                F.array(total.bitwiseAND(full(word)).bitwiseOR(old - kept)),
+                            ).alias("row"),
+                            F.call_function("shiftright", total, F.size(word)).alias("carry"),
+                        ),
+                    ),
+                )
+
+            paired = F.zip_with(
+                row, words, lambda old, word: F.struct(old.alias("old"), word.alias("word"))
+            )
+            return F.aggregate(paired, start, next_word, lambda acc: acc["row"])
 
+        return F.aggregate(_characters(a), F.transform(words, full), next_row)
 
-def _by_rows(a: Column, b: Column) -> Column:
-    """The usual table, one row per character of ``a``, as a fold over arrays."""
+    def backwards(characters: Column) -> Column:
+        """Words of up to 61 characters, each reversed: its first character is the low bit."""
+        starts = F.sequence(F.lit(1), F.greatest(F.size(characters), F.lit(1)), F.lit(_WORD_BITS))
+        return F.transform(starts, lambda s: F.reverse(F.slice(characters, s, _WORD_BITS)))
 
-    def last_row(other: Column) -> Column:
-        def next_row(row: Column, ch: Column) -> Column:
-            # diagonal[j] = row[j] + 1 where characters agree, else the value above
-            best = F.transform(
-                other,
-                lambda c, j: F.when(c == ch, F.get(row, j) + 1).otherwise(F.get(row, j + 1)),
-            )
-            return F.aggregate(
-                best,
-                F.array(F.lit(0)),
-                lambda acc, v: F.concat(acc, F.array(F.greatest(v, F.element_at(acc, -1)))),
-            )
+    ones = F.aggregate(
+        let(let(_characters(b), backwards), last_row),
+        F.lit(0),
+        lambda acc, word: acc + F.bit_count(word),
+    )
+    return F.length(b) - ones
 
-        return F.aggregate(_characters(a), F.array_repeat(F.lit(0), F.size(other) + 1), next_row)
 
-    return F.element_at(let(_characters(b), last_row), -1)
+def _characters(text: Column) -> Column:
+    return F.array_remove(F.split(text, ""), "")
 
 
 def fuzzy_ratio(a: Column, b: Column) -> Column:

@@ -11,10 +11,11 @@ from perennial.operators.joins import join_groups
 from perennial.session import stage
 
 ACCURACY = 10_000
-# Rows of a group -> margin around each percentile: at least five ranks, many times
-# the sketch's error. Groups below the first size are sorted whole.
-WIDE, WIDE_FROM = 0.02, 250
-NARROW, NARROW_FROM = 0.0005, 20_000
+# A bracket reaches so many times the sketch's error, and so many ranks, to either side of
+# its percentile: five of both. The sketch is asked for margins that double from the least.
+SAFETY = 5
+LEAST = SAFETY / ACCURACY
+MARGINS = [LEAST * 2**k for k in range(11)]
 
 
 def exact_percentiles(
@@ -25,37 +26,35 @@ def exact_percentiles(
     The built-in exact aggregate keeps every distinct value of a group in one
     buffer. Here a mergeable sketch first brackets each percentile; a second
     read counts what lies below the bracket and sorts only the few values
-    inside it. A bracket that missed would fail the query rather than return a
-    wrong value.
+    inside it. The bracket's width follows from the sketch's error and the
+    group's size, so that it cannot miss.
     """
     by = list(by)
     present = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("v"))
     edges = [
         min(1.0, max(0.0, p + side * margin))
         for p in points.values()
-        for margin in (WIDE, NARROW)
+        for margin in MARGINS
         for side in (-1, 1)
     ]
     sketch = present.groupBy(*by).agg(
         F.count("*").alias("n"),
-        F.min("v").alias("least"),
-        F.max("v").alias("most"),
         F.percentile_approx("v", edges, ACCURACY).alias("edges"),
     )
 
     def bracket(i: int, name: str, p: float) -> Column:
-        def edge(whole: str, place: int) -> Column:
-            return (
-                F.when(F.col("n") < WIDE_FROM, F.col(whole))
-                .when(F.col("n") < NARROW_FROM, F.col("edges")[4 * i + place])
-                .otherwise(F.col("edges")[4 * i + 2 + place])
-            )
+        # the first margin that holds SAFETY ranks of the group; the last one holds all of any
+        steps = F.ceil(F.log2(F.greatest(F.lit(SAFETY) / F.col("n"), F.lit(LEAST)) / F.lit(LEAST)))
+        first = 2 * (i * len(MARGINS) + F.least(steps, F.lit(len(MARGINS) - 1)).cast("int"))
+
+        def edge(place: int) -> Column:
+            return F.get("edges", first + place)
 
         return F.struct(
             F.lit(name).alias("point"),
             (F.lit(float(p)) * (F.col("n") - 1)).alias("at"),
-            edge("least", 0).alias("low"),
-            edge("most", 1).alias("high"),
+            edge(0).alias("low"),
+            edge(1).alias("high"),
         )
 
     found = [bracket(i, name, p) for i, (name, p) in enumerate(points.items())]

@@ -1,5 +1,7 @@
 """Label comparison: the ladder, the aliases and the similarity ratio."""
 
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -121,3 +123,16 @@ def test_alias_modes(spark):
 def test_words(spark):
     row = spark.range(1).select(matching.words(F.lit(" \tHound-Afghan__hound\n "))).first()
     assert row[0] == ["afghan", "hound"]
+
+
+@pytest.mark.parametrize("n, m", [(0, 5), (61, 61), (62, 122), (123, 60), (500, 480)])
+def test_common_subsequence_across_words_of_bits(spark, n, m):
+    rng = random.Random(n + m)
+    a, b = ("".join(rng.choice("abcé ") for _ in range(k)) for k in (n, m))
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = before[j] + 1 if x == y else max(row[j], before[j + 1])
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    assert df.select(matching.common_subsequence(F.col("a"), F.col("b"))).first()[0] == row[-1]
