@@ -3,14 +3,10 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
-
 def build_session(app: str = "perennial", cores: str | None = None, **conf: str) -> SparkSession:
     """A local session with the settings the jobs are written for.
 
@@ -38,19 +34,11 @@ def build_session(app: str = "perennial", cores: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """Folder for staged tables and stream checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a temporary folder, since there every executor
-    lives on this machine.
+    The cluster names it in ``spark.checkpoint.dir``; without that it lies in
+    the session's warehouse, which executors reach as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="perennial-")
-    return _local_roots[app]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -64,9 +52,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Used where a result is read several times or feeds a lookup join. The
     written files survive lost executors, and their size is what Catalyst
     compares with ``spark.sql.autoBroadcastJoinThreshold``: a staged table is
-    broadcast when its measured size allows it and shuffled when not.
+    broadcast when its measured size allows it and shuffled when not. The files
+    are deleted when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
+    # staged tables go when the driver ends
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
