@@ -14,6 +14,16 @@ def job_version(version: str) -> tuple[str, int]:
     return parts[0], int(parts[1])
 
 
+def strict(version: Column) -> Column:
+    """The same split of a column as a struct ``prefix, number``; null fields for other spellings."""
+    parts = F.split(version, "_")
+    number = F.get(parts, F.lit(1)).try_cast("int")
+    good = (F.size(parts) == 2) & number.isNotNull()
+    return F.struct(
+        F.when(good, F.get(parts, F.lit(0))).alias("prefix"), F.when(good, number).alias("number")
+    )
+
+
 def major(version: Column) -> Column:
     """Leading ``v(digits)_(digits)``; text after it is allowed. Null when absent."""
     return F.regexp_extract(version, r"^v(\d+)_(\d+)", 1).try_cast("int")

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perennial import schemas
 from perennial.functions import text
@@ -119,25 +120,24 @@ def drift(stats: DataFrame, version: str, other: str) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, descriptions: dict[str, str] | None = None) -> DataFrame:
-    """Name, type, mode and description of every column of a table.
+def describe(
+    df: DataFrame,
+    declared: T.StructType | None = None,
+    descriptions: dict[str, str] | None = None,
+) -> DataFrame:
+    """Name, type, mode and description of every column of a table, from its metadata.
 
-    Parquet keeps no required mode, so it is measured: a column is REQUIRED when
-    no row of the whole table leaves it empty. One aggregate over the table.
+    No row is read. Parquet reads every column as nullable, so modes and
+    descriptions come from the schema the table was declared with, where there
+    is one, else from the table's own; ``descriptions`` come before both.
     """
-    notes = descriptions or {}
-    nulls = df.agg(*[F.count_if(F.col(f.name).isNull()).alias(f.name) for f in df.schema.fields])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("name"),
-                F.lit(schemas.warehouse_type(f.dataType)).alias("type"),
-                F.when(F.col(f.name) > 0, F.lit("NULLABLE"))
-                .otherwise(F.lit("REQUIRED"))
-                .alias("mode"),
-                F.lit(notes.get(f.name, "")).alias("description"),
-            )
-            for f in df.schema.fields
-        ]
+    known = {f.name: f for f in (declared or df.schema).fields}
+    rows = []
+    for field in df.schema.fields:
+        told = known.get(field.name, field)
+        note = (descriptions or {}).get(field.name) or told.metadata.get("comment", "")
+        mode = "NULLABLE" if told.nullable else "REQUIRED"
+        rows.append((field.name, schemas.warehouse_type(field.dataType), mode, note))
+    return df.sparkSession.createDataFrame(
+        rows, "name string, type string, mode string, description string"
     )
-    return nulls.select(F.inline(rows))

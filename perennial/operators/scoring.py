@@ -21,7 +21,16 @@ def predict(scores: DataFrame) -> DataFrame:
 
 
 def decode(predictions: DataFrame, label_map: DataFrame) -> DataFrame:
-    """Name the predicted class; an id outside the vocabulary has no name."""
+    """Name the predicted class; an id outside the vocabulary has no name.
+
+    Versions can have vocabularies of their own: a label map with a
+    ``model_version`` column names the predictions of each version by its rows.
+    """
+    if "model_version" in label_map.columns:
+        own = label_map.select(
+            "model_version", F.col("label_id").alias("predicted_id"), F.col("class_name").alias("predicted")
+        )
+        return predictions.join(own, ["model_version", "predicted_id"], "left")
     names = vocabulary.names_of(label_map).withColumnRenamed("label_id", "predicted_id")
     return predictions.join(names.withColumnRenamed("label_name", "predicted"), "predicted_id", "left")
 
@@ -93,8 +102,11 @@ def nearest_centroid(
 
 
 def routed(log: DataFrame, at: str = "ts", row_id: str = "event_id") -> DataFrame:
-    """Where the images of a prediction log are kept; the base version keeps none."""
-    kept = log.filter((F.col("model_version") != "v3_0") & F.col("is_correct").isNotNull())
+    """Where the images of a prediction log are kept; the base version keeps none.
+
+    A missing verdict counts as incorrect.
+    """
+    kept = log.filter(F.col("model_version") != "v3_0")
     stem = paths.stored_stem(
         F.col("model_version"),
         F.col("is_correct"),

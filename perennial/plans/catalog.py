@@ -120,7 +120,7 @@ def quarantine_reasons(spark, sf_dir):
     return curation.quarantine_counts(
         replay.images_of(views.image_objects(spark, sf_dir)),
         views.label_objects(spark, sf_dir),
-        views.stored_label_map(spark, sf_dir),
+        views.stored_earlier_label_map(spark, sf_dir),
     )
 
 
@@ -142,13 +142,13 @@ def label_map_from_csv(spark, sf_dir):
 @query
 def new_labels(spark, sf_dir):
     return vocabulary.new_labels(
-        views.image_objects(spark, sf_dir), views.stored_label_map(spark, sf_dir)
+        views.image_objects(spark, sf_dir), views.stored_earlier_label_map(spark, sf_dir)
     )
 
 
 @query
 def label_map_update(spark, sf_dir):
-    known = views.stored_label_map(spark, sf_dir)
+    known = views.stored_earlier_label_map(spark, sf_dir)
     return vocabulary.extend(
         known, vocabulary.new_labels(views.image_objects(spark, sf_dir), known)
     )
@@ -158,7 +158,7 @@ def label_map_update(spark, sf_dir):
 
 
 def _examples(spark, sf_dir) -> DataFrame:
-    return curation.examples(_pairs(spark, sf_dir), views.stored_label_map(spark, sf_dir)).select(
+    return curation.examples(_pairs(spark, sf_dir), views.stored_earlier_label_map(spark, sf_dir)).select(
         "path", "filename", "class_name", "label_id"
     )
 
@@ -169,7 +169,7 @@ def _stored_examples(spark, sf_dir) -> DataFrame:
 
 
 def _counted(spark, sf_dir) -> DataFrame:
-    return curation.labels_counted(_pairs(spark, sf_dir), views.stored_label_map(spark, sf_dir))
+    return curation.labels_counted(_pairs(spark, sf_dir), views.stored_earlier_label_map(spark, sf_dir))
 
 
 @query
@@ -179,7 +179,22 @@ def training_examples(spark, sf_dir):
 
 @query
 def read_examples(spark, sf_dir):
-    return _stored_examples(spark, sf_dir).select("filename", "label_id")
+    """Through the writer and the reader of training sets; a path's bytes stand for its pixels."""
+    pixels = F.col("path").cast("binary")
+    rows = _examples(spark, sf_dir).select(
+        "path",
+        "filename",
+        "class_name",
+        F.col("label_id").cast("bigint").alias("label"),
+        pixels.alias("image"),
+        F.lit(1).alias("height"),
+        F.length(pixels).alias("width"),
+        F.lit(1).alias("n_channels"),
+    )
+    stored = sinks.write_examples(rows, fresh_path(spark, "examples"), CURRENT)
+    return tables.read_examples(spark, stored, ["filename", "label"]).select(
+        "filename", F.col("label").cast("int").alias("label_id")
+    )
 
 
 @query
@@ -218,7 +233,7 @@ def training_set(spark, sf_dir):
     return jobs.build_training_set(
         views.image_objects(spark, sf_dir),
         views.label_objects(spark, sf_dir),
-        views.stored_label_map(spark, sf_dir),
+        views.stored_earlier_label_map(spark, sf_dir),
         CURRENT,
     )
 
@@ -251,7 +266,7 @@ def _label_counts(spark, sf_dir, label_map: DataFrame) -> DataFrame:
 
 @query
 def class_weights(spark, sf_dir):
-    label_map = views.stored_label_map(spark, sf_dir)
+    label_map = views.stored_earlier_label_map(spark, sf_dir)
     # The counts feed both the total and the lookup.
     counts = stage(_label_counts(spark, sf_dir, label_map), "label-counts")
     return _rounded(training.class_weights(counts, label_map), "weight")
@@ -259,11 +274,11 @@ def class_weights(spark, sf_dir):
 
 @query
 def label_histogram(spark, sf_dir):
+    """Counts by the whole vocabulary, named by one without the French classes: their ids are unknown."""
     label_map = views.stored_label_map(spark, sf_dir)
-    last = label_map.agg(F.max("label_id")).scalar()
-    shortened = label_map.filter(F.col("label_id") <= last - 5)
+    known = label_map.filter(~F.endswith("class_name", F.lit(" fr")))
     return _rounded(
-        validation.label_histogram(_label_counts(spark, sf_dir, label_map), shortened), "pct"
+        validation.label_histogram(_label_counts(spark, sf_dir, label_map), known), "pct"
     )
 
 
@@ -379,7 +394,13 @@ def routed_predictions(spark, sf_dir):
 
 @query
 def describe_table(spark, sf_dir):
-    return metrics.describe(views.prediction_metrics(spark, sf_dir))
+    """The stored class statistics: types as read, modes and descriptions as declared."""
+    target = fresh_path(spark, "distribution")
+    rows = views.class_distribution(spark, sf_dir).withColumn(
+        "run_timestamp", paths.as_utc(F.col("run_timestamp"))
+    )
+    sinks.append_distribution(rows, target)
+    return metrics.describe(tables.read_distribution(spark, target), schemas.CLASS_DISTRIBUTION)
 
 
 # --- functions ------------------------------------------------------------------------
@@ -418,6 +439,30 @@ def training_mode(spark, sf_dir):
     return known.withColumn("mode", versions.training_mode(F.col("version")))
 
 
+@query
+def strict_versions(spark, sf_dir):
+    """The strict split of a job's version; other spellings have none."""
+    known = _versions(spark, sf_dir, "v3_0", "bad", "v3_1_2", "v3_x", None)
+    return known.select(
+        "version", *[versions.strict(F.col("version"))[part].alias(part) for part in ("prefix", "number")]
+    )
+
+
+@query
+def whole_numbers(spark, sf_dir):
+    stated = views.table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("value")).distinct()
+    keys = views.table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("string").alias("value"))
+    return stated.union(keys).withColumn("ok", versions.is_whole_number(F.col("value")))
+
+
+@query
+def time_texts(spark, sf_dir):
+    at = paths.as_utc(F.col("ts"))
+    return views.table(spark, sf_dir, "events").select(
+        "event_id", text.hour_folder(at).alias("hour_folder"), text.rfc3339(at).alias("rfc3339")
+    )
+
+
 @query
 def run_name(spark, sf_dir):
     version = F.concat(F.lit("v3_"), (F.col("user_id") % 12).cast("string"))
@@ -557,6 +602,22 @@ def write_predictions(spark, sf_dir):
     )
 
 
+@query
+def write_predictions_mixed(spark, sf_dir):
+    """One log fed by a job, a stream's batches and a batch that is tried again."""
+    target = fresh_path(spark, "predictions")
+    log = views.prediction_metrics(spark, sf_dir)
+    log = log.withColumn("timestamp", paths.as_utc(F.col("ts")))
+    part = F.col("event_id") % 3
+    sinks.append_predictions(log.filter(part == 0), target)
+    for batch in (1, 2, 2):
+        sinks.write_prediction_batch(log.filter(part == batch), target, "stream", batch)
+    stored = tables.read_metrics(spark, target)
+    return _rounded(stored, "latency", "confidence").withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp_ntz")
+    )
+
+
 @query
 def write_routed(spark, sf_dir):
     target = fresh_path(spark, "routed")
@@ -686,9 +747,9 @@ def stream_dedup(spark, sf_dir):
 def stream_window_metrics(spark, sf_dir):
     rows = streams.windowed(_event_stream(spark, sf_dir))
     target = fresh_path(spark, "windows")
-    _run(streams.append_to(rows, target, fresh_path(spark, "windows-state")))
-    closed = spark.read.schema(rows.schema).parquet(target)
-    return _rounded(closed, "accuracy", "avg_latency").withColumn(
+    _run(streams.upsert_at(rows, target, fresh_path(spark, "windows-state")))
+    newest = streams.read_upserted(spark, target, rows.schema, ["window_start", "model_version"])
+    return _rounded(newest, "accuracy", "avg_latency").withColumn(
         "window_start", F.col("window_start").cast("timestamp_ntz")
     )
 
@@ -705,7 +766,7 @@ def stream_running_accuracy(spark, sf_dir):
 
 
 def _as_image(vector) -> Column:
-    """The first 48 numbers, stretched to bytes, as the pixels of a 4 x 4 RGB image."""
+    """All 64 numbers, stretched to bytes, as the pixels of an 8 x 8 gray image."""
 
     def pixels(v: Column) -> Column:
         span = F.struct(F.array_min(v).alias("low"), (F.array_max(v) - F.array_min(v)).alias("width"))
@@ -718,7 +779,7 @@ def _as_image(vector) -> Column:
 
         return F.unhex(F.array_join(let(span, hexed), ""))
 
-    return let(F.slice(vector, 1, 48), pixels)
+    return let(F.col(vector), pixels)
 
 
 @query
@@ -726,9 +787,9 @@ def augment_pixels(spark, sf_dir):
     """Embeddings seen as small images, augmented; tested by its invariants."""
     rows = views.table(spark, sf_dir, "embeddings").select(
         "vec_id",
-        F.lit(4).alias("height"),
-        F.lit(4).alias("width"),
-        F.lit(3).alias("n_channels"),
+        F.lit(8).alias("height"),
+        F.lit(8).alias("width"),
+        F.lit(1).alias("n_channels"),
         _as_image("embedding").alias("image"),
     )
     return images.augment(rows, "vec_id", 42)

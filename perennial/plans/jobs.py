@@ -169,13 +169,24 @@ def score_and_log(
 
 
 def score_stream(
-    scored: DataFrame, label_map: DataFrame, log_path: str, checkpoint: str
+    scored: DataFrame,
+    label_map: DataFrame,
+    log_path: str,
+    checkpoint: str,
+    routed_path: str | None = None,
 ) -> StreamingQuery:
-    """The same on a stream: one folder per batch, so a retried batch rewrites its own rows."""
+    """The same on a stream: rows are stored under their batch, so a retried batch rewrites its own.
+
+    The stream is named by its checkpoint folder. Its images are routed too if
+    ``routed_path`` is given.
+    """
+    name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def log(batch: DataFrame, batch_id: int) -> None:
-        rows = judge(batch, label_map).withColumnRenamed("ts", "timestamp")
-        sinks.write_prediction_batch(rows, log_path, batch_id)
+        rows = judge(batch, label_map)
+        if routed_path:
+            sinks.write_routed(scoring.routed(rows), f"{routed_path}/batch={name}-{batch_id}", "overwrite")
+        sinks.write_prediction_batch(rows.withColumnRenamed("ts", "timestamp"), log_path, name, batch_id)
 
     return (
         scored.writeStream.foreachBatch(log)
@@ -194,9 +205,10 @@ def promote(
         F.col("champion.model_version").alias("champion"),
         F.col("challenger.model_version").alias("challenger"),
     )
-    decision = stage(
-        promotion.step(promotion.evaluate(pair, metrics.accuracy_by_version(log))), "promotion"
-    )
+    # two names: the log is read for these versions only
+    rivals = [name for row in pair.take(1) for name in row if name is not None]
+    accuracy = metrics.accuracy_by_version(log, rivals)
+    decision = stage(promotion.step(promotion.evaluate(pair, accuracy)), "promotion")
     sinks.save_state(promotion.next_state(decision, current, deployed_at), state_path, saved_at)
     return decision
 

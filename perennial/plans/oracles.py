@@ -34,6 +34,11 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "label_map": (
         (),
         """select class_name, cast(row_number() over (order by class_name) - 1 as int) as label_id
+ from (select distinct concat(source,' ',lang) as class_name from documents) t""",
+    ),
+    "earlier_label_map": (
+        (),
+        """select class_name, cast(row_number() over (order by class_name) - 1 as int) as label_id
  from (select distinct concat(source,' ',lang) as class_name from documents where lang <> 'fr') t""",
     ),
     "class_distribution": (
@@ -54,7 +59,8 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "scores": (
         (),
         """select vec_id, label, list_transform(e, lambda x: x / list_sum(e)) as scores
- from (select vec_id, label, list_transform(embedding[1:10], lambda x: exp(x::double)) as e
+ from (select vec_id, label, list_transform(range(0, 10), lambda c: exp(list_sum(list_transform(
+   list_filter(embedding, lambda x, i: (i - 1) % 10 = c), lambda x: x::double)))) as e
   from embeddings) t""",
     ),
     "model_metrics": (
@@ -77,9 +83,9 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
  from wrong_images w join label_objects l on l.label_path = replace(w.path, '.jpg', '_labels.json')""",
     ),
     "training_examples": (
-        ("paired", "label_map"),
+        ("paired", "earlier_label_map"),
         """select path, split_part(split_part(path,'/',3),'.',1) as filename,
- m.class_name, m.label_id from paired join label_map m on m.class_name = paired.api_label""",
+ m.class_name, m.label_id from paired join earlier_label_map m on m.class_name = paired.api_label""",
     ),
     "earlier": (
         ("wrong_images",),
@@ -241,29 +247,29 @@ def oracle_sql() -> dict[str, str]:
   when case when json_valid(l.value) then l.value->>'$.api_label' end is null then 'no_api_label'
   when m.class_name is null then 'unknown_label' end as reason
  from wrong_images w left join label_objects l on l.label_path = replace(w.path,'.jpg','_labels.json')
- left join label_map m on m.class_name = case when json_valid(l.value) then l.value->>'$.api_label' end) t
+ left join earlier_label_map m on m.class_name = case when json_valid(l.value) then l.value->>'$.api_label' end) t
  where reason is not null group by reason""",
         "wrong_images",
         "label_objects",
-        "label_map",
+        "earlier_label_map",
     )
     add("label_map_explode", "select class_name, label_id from label_map", "label_map")
     sql["label_map_from_csv"] = sql["label_map_explode"]
     add(
         "new_labels",
         """select distinct class_name from image_objects
- where class_name not in (select class_name from label_map)""",
+ where class_name not in (select class_name from earlier_label_map)""",
         "image_objects",
-        "label_map",
+        "earlier_label_map",
     )
     add(
         "label_map_update",
-        """select class_name, label_id from label_map union all
- select class_name, cast((select max(label_id) from label_map) + row_number() over (order by class_name) as int)
+        """select class_name, label_id from earlier_label_map union all
+ select class_name, cast((select max(label_id) from earlier_label_map) + row_number() over (order by class_name) as int)
  from (select distinct class_name from image_objects
-  where class_name not in (select class_name from label_map)) t""",
+  where class_name not in (select class_name from earlier_label_map)) t""",
         "image_objects",
-        "label_map",
+        "earlier_label_map",
     )
     # training set
     add(
@@ -321,21 +327,20 @@ def oracle_sql() -> dict[str, str]:
         "class_weights",
         """select label_id, round(raw / max(raw) over (), 6) as weight from (
  select m.label_id, (select count(*) from training_examples)::double
-  / ((select count(distinct label_id) from label_map) * coalesce(c.n, 1)) as raw
- from (select distinct label_id from label_map) m
+  / ((select count(distinct label_id) from earlier_label_map) * coalesce(c.n, 1)) as raw
+ from (select distinct label_id from earlier_label_map) m
  left join (select label_id, count(*) as n from training_examples group by label_id) c
  on c.label_id = m.label_id) t""",
         "training_examples",
-        "label_map",
+        "earlier_label_map",
     )
     add(
         "label_histogram",
-        """select t.label_id, coalesce(m.class_name, concat('Unknown ID: ', t.label_id)) as label_name, t.n,
- round(t.n::double / sum(t.n) over () * 100, 6) as pct
- from (select label_id, count(*) as n from training_examples group by label_id) t
- left join (select * from label_map where label_id <= (select max(label_id) from label_map) - 5) m
- on m.label_id = t.label_id""",
-        "training_examples",
+        """select t.label_id, case when t.class_name like '% fr' then concat('Unknown ID: ', t.label_id)
+  else t.class_name end as label_name, t.n, round(t.n::double / sum(t.n) over () * 100, 6) as pct
+ from (select m.label_id, m.class_name, count(*) as n from paired join label_map m
+  on m.class_name = paired.api_label group by 1, 2) t""",
+        "paired",
         "label_map",
     )
     add(
@@ -443,28 +448,17 @@ def oracle_sql() -> dict[str, str]:
  case when is_correct then 'correct_predictions/' else 'incorrect_predictions/' end,
  case when is_correct then predicted else actual end, '_',
  cast(cast(floor(epoch(ts)) as bigint) as varchar), '_', cast(event_id as varchar)) as path
- from prediction_metrics where model_version <> 'v3_0' and is_correct is not null""",
+ from prediction_metrics where model_version <> 'v3_0'""",
         "prediction_metrics",
     )
-    names = {
-        "event_id": "INTEGER",
-        "ts": "DATETIME",
-        "model_version": "STRING",
-        "actual": "STRING",
-        "predicted": "STRING",
-        "is_correct": "BOOLEAN",
-        "latency": "FLOAT",
-        "confidence": "FLOAT",
-    }
     add(
         "describe_table",
-        "\n union all ".join(
-            f"""select '{name}' as name, '{kind}' as type,
- case when count(*) > count({name}) then 'NULLABLE' else 'REQUIRED' end as mode, '' as description
- from prediction_metrics"""
-            for name, kind in names.items()
-        ),
-        "prediction_metrics",
+        """select * from (values
+ ('model_version', 'STRING', 'REQUIRED', 'version trained on the examples'),
+ ('class_label', 'STRING', 'REQUIRED', 'name of the class'),
+ ('label_id', 'INTEGER', 'REQUIRED', 'id of the class'),
+ ('example_count', 'INTEGER', 'REQUIRED', 'examples of the class'),
+ ('run_timestamp', 'TIMESTAMP', 'REQUIRED', 'start of the run')) as t(name, type, mode, description)""",
     )
     # functions
     versions = (
@@ -495,6 +489,25 @@ def oracle_sql() -> dict[str, str]:
  or not regexp_matches(version, '^v\\d+_\\d+') then 'new' else 'warm_start' end as mode from {versions}""",
         "image_objects",
     )
+    add(
+        "strict_versions",
+        """select version, case when ok then split_part(version, '_', 1) end as prefix,
+ case when ok then try_cast(split_part(version, '_', 2) as int) end as number
+ from (select version, coalesce(len(string_split(version, '_')) = 2
+   and try_cast(split_part(version, '_', 2) as int) is not null, false) as ok
+  from (select distinct version from image_objects union select unnest(['v3_0', 'bad', 'v3_1_2', 'v3_x', null])) t) u""",
+        "image_objects",
+    )
+    add(
+        "whole_numbers",
+        """select value, regexp_full_match(value, '[0-9]+') as ok from (
+ select distinct o_orderstatus as value from orders union all select cast(r_regionkey as varchar) from region) t""",
+    )
+    add(
+        "time_texts",
+        """select event_id, strftime(ts, '%Y-%m-%d-%H') as hour_folder,
+ strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') as rfc3339 from events""",
+    )
     add(
         "run_name",
         """select event_id, concat('training-', strftime(ts, '%Y%m%d-%H%M%S')) as run_name,
@@ -585,6 +598,7 @@ def oracle_sql() -> dict[str, str]:
  round(confidence, 6) as confidence, model_version from prediction_metrics""",
         "prediction_metrics",
     )
+    sql["write_predictions_mixed"] = sql["write_predictions"]
     add(
         "write_routed",
         """select model_version, outcome, concat(stem, '.jpg') as image_path,
@@ -593,7 +607,7 @@ def oracle_sql() -> dict[str, str]:
  from (select *, concat(model_version, '/', outcome, '/', case when is_correct then predicted else actual end,
   '_', cast(cast(floor(epoch(ts)) as bigint) as varchar), '_', cast(event_id as varchar)) as stem
  from (select *, case when is_correct then 'correct_predictions' else 'incorrect_predictions' end as outcome
- from prediction_metrics where model_version <> 'v3_0' and is_correct is not null) t) u""",
+ from prediction_metrics where model_version <> 'v3_0') t) u""",
         "prediction_metrics",
     )
     sql["write_label_map"] = sql["label_map_explode"]
@@ -638,10 +652,9 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_dedup"] = sql["stream_ingest"]
     add(
         "stream_window_metrics",
-        """select * from (select date_trunc('day', ts)::timestamp as window_start, model_version, count(*) as n,
+        """select date_trunc('day', ts)::timestamp as window_start, model_version, count(*) as n,
  round(avg(is_correct::int), 6) as accuracy, round(avg(latency), 6) as avg_latency
- from prediction_metrics group by 1, 2) t
- where window_start + interval 1 day <= (select max(ts) from prediction_metrics) - interval 1 hour""",
+ from prediction_metrics group by 1, 2""",
         "prediction_metrics",
     )
     add(

@@ -15,7 +15,7 @@ def table_schema(spark: SparkSession, table: str) -> DataFrame:
     """Name, type, mode and description of the columns; comments are the descriptions."""
     df = spark.table(table)
     notes = {f.name: f.metadata.get("comment", "") for f in df.schema.fields}
-    return metrics.describe(df, notes)
+    return metrics.describe(df, descriptions=notes)
 
 
 def top_classes_by_example_count(

@@ -92,23 +92,35 @@ def label_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids by name order over the distinct class names (vocabulary-sized)."""
-    names = (
-        table(spark, sf_dir, "documents")
-        .filter(F.col("lang") != "fr")
-        .select(F.concat_ws(" ", "source", "lang").alias("class_name"))
-        .distinct()
-    )
+def _numbered(names: DataFrame) -> DataFrame:
+    """Ids by name order (vocabulary-sized)."""
     order = Window.partitionBy(F.lit(0)).orderBy("class_name")
     return names.select("class_name", (F.row_number().over(order) - 1).cast("int").alias("label_id"))
 
 
+def _class_names(documents: DataFrame) -> DataFrame:
+    return documents.select(F.concat_ws(" ", "source", "lang").alias("class_name")).distinct()
+
+
+def label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All class names."""
+    return _numbered(_class_names(table(spark, sf_dir, "documents")))
+
+
+def earlier_label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary before the French classes came, for the queries about unknown labels."""
+    return _numbered(_class_names(table(spark, sf_dir, "documents").filter(F.col("lang") != "fr")))
+
+
 def stored_label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The label map as a stored table, so that joins know its size."""
     return stage(label_map(spark, sf_dir), "label-map")
 
 
+def stored_earlier_label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(earlier_label_map(spark, sf_dir), "label-map")
+
+
 def label_map_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary.to_json(label_map(spark, sf_dir))
 
@@ -144,8 +156,13 @@ def label_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Softmax of the first ten dimensions."""
-    weights = F.transform(F.slice("embedding", 1, 10), lambda x: F.exp(x.cast("double")))
+    """Ten classes: softmax of the sums of every tenth dimension, so that all dimensions count."""
+
+    def summed(c):
+        own = F.filter("embedding", lambda x, i: i % 10 == c)
+        return F.exp(F.aggregate(own, F.lit(0.0), lambda acc, x: acc + x.cast("double")))
+
+    weights = F.transform(F.sequence(F.lit(0), F.lit(9)), summed)
 
     def shares(e):
         total = F.aggregate(e, F.lit(0.0), lambda a, y: a + y)

@@ -35,11 +35,11 @@ TRAINING_EXAMPLE = T.StructType(
 
 CLASS_DISTRIBUTION = T.StructType(
     [
-        T.StructField("model_version", T.StringType(), False),
-        T.StructField("class_label", T.StringType(), False),
-        T.StructField("label_id", T.LongType(), False),
-        T.StructField("example_count", T.LongType(), False),
-        T.StructField("run_timestamp", T.TimestampType(), False),
+        T.StructField("model_version", T.StringType(), False, {"comment": "version trained on the examples"}),
+        T.StructField("class_label", T.StringType(), False, {"comment": "name of the class"}),
+        T.StructField("label_id", T.LongType(), False, {"comment": "id of the class"}),
+        T.StructField("example_count", T.LongType(), False, {"comment": "examples of the class"}),
+        T.StructField("run_timestamp", T.TimestampType(), False, {"comment": "start of the run"}),
     ]
 )
 

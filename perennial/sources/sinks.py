@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,20 +31,33 @@ def append_distribution(rows: DataFrame, path: str) -> None:
     checked.write.mode("append").partitionBy("model_version").parquet(path)
 
 
-def append_predictions(rows: DataFrame, path: str) -> None:
-    schemas.conform(rows, schemas.PREDICTION_METRICS).write.mode("append").parquet(path)
-
+def append_predictions(rows: DataFrame, path: str, batch: str | None = None) -> None:
+    """Add rows to the prediction log, which jobs and streams write alike.
 
-def write_prediction_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    The log lies in folders by version and batch, so a question about one
+    version reads that version's folders. A batch written again under its name
+    replaces its own rows; without a name it gets a new one.
+    """
     checked = schemas.conform(rows, schemas.PREDICTION_METRICS)
-    checked.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    (
+        checked.withColumn("batch", F.lit(batch or uuid.uuid4().hex))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("model_version", "batch")
+        .parquet(path)
+    )
+
+
+def write_prediction_batch(rows: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """A stream's batch, under a name that a retry bears again."""
+    append_predictions(rows, path, f"{stream}-{batch_id}")
 
 
 def append_training_metrics(rows: DataFrame, path: str) -> None:
     schemas.conform(rows, schemas.TRAINING_METRICS).write.mode("append").parquet(path)
 
 
-def write_routed(rows: DataFrame, path: str) -> None:
+def write_routed(rows: DataFrame, path: str, mode: str = "append") -> None:
     """Images and label documents by version and outcome.
 
     ``rows`` come from ``scoring.routed`` and may carry the image ``content``.
@@ -59,7 +74,7 @@ def write_routed(rows: DataFrame, path: str) -> None:
     )
     (
         stored.hint("rebalance", "model_version", "outcome")
-        .write.mode("append")
+        .write.mode(mode)
         .partitionBy("model_version", "outcome")
         .parquet(path)
     )

@@ -42,7 +42,7 @@ def read_examples(
         if _missing(error):
             raise FileNotFoundError(f"no training examples at {path}") from error
         raise
-    if not examples.inputFiles():
+    if examples.isEmpty():
         raise FileNotFoundError(f"no training examples at {path}")
     return examples.select(*columns) if columns else examples
 
@@ -64,6 +64,7 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the prediction log; a filter on the version reads its folders only."""
     stored = spark.read.schema(schemas.PREDICTION_METRICS).parquet(path)
     return stored.select(schemas.PREDICTION_METRICS.fieldNames())
 

@@ -10,9 +10,18 @@ from pyspark.sql.streaming import StreamingQuery
 from perennial.functions import paths
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet files of a folder or glob as they arrive."""
-    return spark.readStream.schema(schema).parquet(path)
+def read_stream(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000
+) -> DataFrame:
+    """Parquet files of a folder or glob as they arrive, so many files in a batch at most."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
+def require_state_on_disk(spark: SparkSession) -> None:
+    """On a cluster keyed state belongs into RocksDB; the default store keeps it on the heap."""
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+    if not spark.conf.get("spark.master", "").startswith("local") and "RocksDB" not in provider:
+        raise RuntimeError("set spark.sql.streaming.stateStore.providerClass to the RocksDB provider")
 
 
 def event_time(log: DataFrame, at: str = "ts") -> DataFrame:
@@ -24,6 +33,7 @@ def event_time(log: DataFrame, at: str = "ts") -> DataFrame:
 
 def deduplicated(log: DataFrame, key: str, at: str = "ts", delay: str = "1 hour") -> DataFrame:
     """Drop repeats of a row that arrive within the delay; state is dropped behind it."""
+    require_state_on_disk(log.sparkSession)
     return event_time(log, at).withWatermark(at, delay).dropDuplicatesWithinWatermark([key])
 
 
@@ -65,6 +75,29 @@ def append_to(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def upsert_at(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep a keyed result up to date: each batch stores the rows it changed, open windows too."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_upserted(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The newest row of every key written by :func:`upsert_at`."""
+    stored = spark.read.schema(schema.add("batch", "long")).parquet(path)
+    others = [f.name for f in schema.fields if f.name not in (*keys, "batch")]
+    newest = stored.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("row"))
+    return newest.select(*keys, *[F.col("row")[c].alias(c) for c in others])
+
+
 def replace_at(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Keep a complete result up to date, one folder per batch, so a retry only rewrites its own."""
 

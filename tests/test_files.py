@@ -264,6 +264,31 @@ def test_training_metrics_row(spark, tmp_path):
     assert [r.asDict() for r in spark.read.parquet(target).collect()] == [row]
 
 
-def test_routing_leaves_out_rows_without_verdict(spark):
+def test_one_log_for_jobs_and_streams(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.sql(
+        "select timestamp_seconds(id) as timestamp, 'a' as actual, 'a' as predicted, true as is_correct, "
+        "0.1D as latency, 0.5D as confidence, concat('v3_', id % 3) as model_version from range(30)"
+    )
+    sinks.append_predictions(rows, path)
+    sinks.append_predictions(rows, path)
+    for _ in range(2):
+        sinks.write_prediction_batch(rows, path, "stream", 0)
+    stored = tables.read_metrics(spark, path)
+    assert stored.count() == 90
+    one = stored.filter("model_version = 'v3_1'")
+    assert one.count() == 30
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(model_version" in plan
+
+
+def test_routing_counts_a_missing_verdict_as_incorrect(spark):
     df = spark.sql("select 'v3_1' model_version, cast(null as boolean) is_correct, 'a' actual, 'a' predicted, current_timestamp() ts, 1L event_id")
-    assert scoring.routed(df).count() == 0
+    assert [r.outcome for r in scoring.routed(df).collect()] == ["incorrect_predictions"]
+
+
+def test_versions_can_have_vocabularies_of_their_own(spark):
+    rows = spark.createDataFrame([("v3_0", 0), ("v3_1", 0), ("v3_1", 7)], "model_version string, predicted_id int")
+    label_map = spark.createDataFrame([("v3_0", "a", 0), ("v3_1", "b", 0)], "model_version string, class_name string, label_id int")
+    got = {(r.model_version, r.predicted_id, r.predicted) for r in scoring.decode(rows, label_map).collect()}
+    assert got == {("v3_0", 0, "a"), ("v3_1", 0, "b"), ("v3_1", 7, None)}

@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perennial.operators import confusion, metrics, quantiles, scoring, training, validation
 
@@ -133,13 +134,32 @@ def test_volume_gate(spark):
 
 def test_describe(spark):
     df = spark.sql("select 1 a, cast(null as string) b, current_timestamp() c, 1.5D d, true e")
-    got = [tuple(r) for r in metrics.describe(df, {"a": "key"}).collect()]
+    got = [tuple(r) for r in metrics.describe(df, descriptions={"a": "key"}).collect()]
     assert got == [
         ("a", "INTEGER", "REQUIRED", "key"), ("b", "STRING", "NULLABLE", ""),
         ("c", "TIMESTAMP", "REQUIRED", ""), ("d", "FLOAT", "REQUIRED", ""), ("e", "BOOLEAN", "REQUIRED", ""),
     ]
 
 
+def test_modes_are_declared_not_measured(spark):
+    declared = T.StructType([T.StructField("a", T.LongType(), True), T.StructField("b", T.LongType(), False, {"comment": "n"})])
+    rows = spark.createDataFrame([(1, 2)], declared)
+    assert [tuple(r) for r in metrics.describe(rows).collect()] == [("a", "INTEGER", "NULLABLE", ""), ("b", "INTEGER", "REQUIRED", "n")]
+    empty = spark.createDataFrame([], "a long, b long")
+    assert [r.mode for r in metrics.describe(empty, declared).collect()] == ["NULLABLE", "REQUIRED"]
+
+
+def test_percentiles_of_small_large_and_hot_groups(spark):
+    rows = spark.sql(
+        "select case when id % 3 = 0 then 'hot' when id < 9 then concat('one', id) else concat('g', id % 40) end as k, "
+        "cast(pmod(xxhash64(id), 5000) as double) as v from range(90000)"
+    )
+    got = {r.k: (r.p50, r.p95) for r in quantiles.exact_percentiles(rows, ["k"], "v", {"p50": 0.5, "p95": 0.95}).collect()}
+    exact = rows.groupBy("k").agg(F.percentile("v", F.lit(0.5)).alias("a"), F.percentile("v", F.lit(0.95)).alias("b"))
+    for r in exact.collect():
+        assert got[r.k] == pytest.approx((r.a, r.b), abs=1e-9)
+
+
 def weights_of(spark, mapping, labels):
     label_map = spark.createDataFrame(list(mapping.items()), "class_name string, label_id int")
     counts = spark.createDataFrame([(i,) for i in labels], "label_id int").groupBy("label_id").agg(F.count("*").alias("n"))

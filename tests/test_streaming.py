@@ -39,6 +39,19 @@ def test_windows_over_two_runs_equal_the_batch(spark, arriving, tmp_path):
     assert keyed(spark.read.parquet(target)) == {k: v for k, v in batch.items() if k[0] < newest}
 
 
+def test_every_window_is_there_after_each_batch(spark, arriving, tmp_path):
+    log, folder, deliver = arriving
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "state")
+    for part in range(3):
+        spark.createDataFrame(log.filter(F.dayofmonth("ts") % 3 == part).collect(), log.schema).coalesce(1).write.mode("append").parquet(folder)
+    rows = streams.windowed(streams.read_stream(spark, folder, log.schema, files_per_batch=1), delay="40 days")
+    streams.upsert_at(rows, target, checkpoint).awaitTermination()
+    assert len(spark.read.parquet(target).select("batch").distinct().collect()) >= 3
+    newest = streams.read_upserted(spark, target, rows.schema, ["window_start", "model_version"])
+    assert newest.agg(F.sum("n")).first()[0] == log.count()
+    assert newest.count() == streams.windowed(log).count()
+
+
 def test_running_accuracy_follows_the_log(spark, arriving, tmp_path):
     log, folder, deliver = arriving
     target, checkpoint = str(tmp_path / "out"), str(tmp_path / "state")
