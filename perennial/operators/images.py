@@ -23,22 +23,18 @@ def to_rgb(images: DataFrame) -> DataFrame:
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            pixels = [
-                _rgb(data, channels) for data, channels in zip(batch["data"], batch["n_channels"])
-            ]
+            pixels = pd.Series(index=batch.index, dtype=object)
+            # images of one number of channels and bytes are reordered together
+            for (channels, _), same in batch.groupby([batch["n_channels"], batch["data"].map(len)]):
+                flat = np.frombuffer(b"".join(same["data"]), np.uint8).reshape(len(same), -1, channels)
+                ordered = np.repeat(flat, 3, axis=2) if channels == 1 else flat[:, :, 2::-1]
+                pixels[same.index] = [image.tobytes() for image in ordered]
             out = batch.drop(columns=["data", "n_channels"])
             yield out.assign(n_channels=np.int32(3), image=pixels)
 
     return images.mapInPandas(convert, f"{schema}, n_channels int, image binary")
 
 
-def _rgb(data: bytes, channels: int) -> bytes:
-    flat = np.frombuffer(data, dtype=np.uint8).reshape(-1, channels)
-    if channels == 1:
-        return np.repeat(flat, 3, axis=1).tobytes()
-    return np.ascontiguousarray(flat[:, 2::-1]).tobytes()
-
-
 def has_shape(shape: tuple[int, int, int] = SHAPE):
     height, width, channels = shape
     return F.coalesce(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +57,7 @@ def build_training_set(
 class Preprocessed:
     examples: str
     metadata: str
+    quarantine: str
 
 
 def preprocess(
@@ -68,12 +71,15 @@ def preprocess(
 ) -> Preprocessed:
     """List, sample, pair, decode and store one version's training set.
 
-    Writes the examples, their number and the class statistics. The last two are
-    read from the stored examples, one label column, instead of keeping decoded
-    images in memory.
+    Writes the examples, their number, the class statistics, and the images
+    that gave no example with the reason. Number and statistics are read from
+    the stored examples, one label column, instead of keeping decoded images in
+    memory. Images of the version's and the replayed folders only are decoded.
     """
     outcomes = tuple(outcomes)
     major, _ = versions.job_version(version)
+    if not re.search(versions.VERSION_ID, version):
+        raise ValueError(f"version {version!r} has characters that no version id has")
     family = f"{major}_*"
     label_map = tables.read_label_map(spark, f"{root}/processed/metadata/label_map.json")
     inventory = objects.list_objects(spark, root, family, outcomes, "*" + paths.IMAGE_SUFFIX)
@@ -81,9 +87,10 @@ def preprocess(
     wanted = build_training_set(inventory, labels, label_map, version, seed, outcomes)
     # Narrow and settled before any pixel moves: its size decides how pixels are joined.
     settled = stage(wanted, "training-set")
-    decoded = images.to_rgb(
-        objects.read_images(spark, root, family, outcomes).join(settled, "path")
-    )
+    # one row for each version: its folders are all that is read
+    folders = [r[0] for r in settled.select(paths.version_of(F.col("path"))).distinct().collect()]
+    found = [objects.read_images(spark, root, folder, outcomes) for folder in sorted(folders) or [version]]
+    decoded = images.to_rgb(reduce(DataFrame.unionByName, found).join(settled, "path"))
     stored = decoded.select(
         "path",
         "filename",
@@ -95,6 +102,17 @@ def preprocess(
         "n_channels",
     )
     data = sinks.write_examples(stored, root, version)
+    # what was settled but could not be decoded, and what never got that far
+    kept = tables.read_examples(spark, data, ["path"]) if not settled.isEmpty() else settled.select("path")
+    undecoded = settled.join(kept, "path", "left_anti").select(
+        "path",
+        F.lit(None).cast("string").alias("label_path"),
+        F.col("class_name").alias("api_label"),
+        F.lit("bad_image").alias("reason"),
+    )
+    chosen = replay.training_paths(inventory, version, seed=seed, outcomes=outcomes)
+    lost = curation.quarantine(chosen, labels, label_map).unionByName(undecoded)
+    quarantined = sinks.write_quarantine(lost, root, version)
     counted = (
         tables.read_examples(spark, data, ["class_name", "label"])
         .groupBy("class_name", F.col("label").alias("label_id"))
@@ -104,7 +122,7 @@ def preprocess(
     sinks.append_distribution(
         curation.class_distribution(counted, version, run_timestamp), distribution_path
     )
-    return Preprocessed(data, metadata)
+    return Preprocessed(data, metadata, quarantined)
 
 
 def training_input(
@@ -114,12 +132,17 @@ def training_input(
     validation_share: float = 0.3,
     batch: int = 32,
     seed: int = DEFAULT_SEED,
+    shape: tuple[int, int, int] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Batched training rows, validation rows and class weights of a stored set.
 
-    Rows carry the key only; pixels are joined where they are consumed.
+    Rows carry the key only; pixels are joined where they are consumed. With a
+    ``shape``, images of other shapes are left out.
     """
-    examples = tables.read_examples(spark, examples_path, ["path", "label"])
+    examples = tables.read_examples(spark, examples_path)
+    if shape:
+        examples, _ = images.split_by_shape(examples, shape)
+    examples = examples.select("path", "label")
     label_map = training.require_vocabulary(tables.read_label_map(spark, label_map_path))
     parted = training.split(examples, "path", validation_share, seed)
     train = parted.filter(F.col("part") == "train").drop("part")

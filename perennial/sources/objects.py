@@ -105,6 +105,10 @@ def read_label_files(
     )
 
 
+# Fields of the image source.
+_IMAGE = "origin string, height int, width int, nChannels int, mode int, data binary"
+
+
 def read_images(
     spark: SparkSession,
     root: str,
@@ -123,7 +127,12 @@ def read_images(
             .option("pathGlobFilter", "*" + paths.IMAGE_SUFFIX)
             .option("recursiveFileLookup", True)
         )
-        part = reader.load(f"{root}/{family}/{outcome}").select("image.*")
+        try:
+            part = reader.load(f"{root}/{family}/{outcome}").select("image.*")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            part = spark.createDataFrame([], _IMAGE)
         found = part if found is None else found.unionByName(part)
     return found.select(
         relative(_unescaped(F.col("origin"))).alias("path"),

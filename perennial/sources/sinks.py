@@ -25,6 +25,13 @@ def write_dataset_size(size: DataFrame, root: str, version: str) -> str:
     return path
 
 
+def write_quarantine(rows: DataFrame, root: str, version: str) -> str:
+    """Images that gave no example, with the reason."""
+    path = f"{root}/processed/{version}/quarantine"
+    rows.write.mode("overwrite").parquet(path)
+    return path
+
+
 def append_distribution(rows: DataFrame, path: str) -> None:
     """Append class statistics; a null in any column stops the write."""
     checked = schemas.conform(rows, schemas.CLASS_DISTRIBUTION)

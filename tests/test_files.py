@@ -165,6 +165,13 @@ def test_preprocessing_job(spark, tree, tmp_path):
     assert {(r.model_version, r.class_label, r.label_id, r.example_count) for r in rows} == {
         ("v3_2", "pug", 0, 3), ("v3_2", "german shepherd", 1, 1),
     }
+    lost = {(r.path, r.reason) for r in spark.read.parquet(done.quarantine).collect()}
+    assert lost == {
+        ("v3_2/incorrect_predictions/pug_3.jpg", "bad_image"),
+        ("v3_2/incorrect_predictions/pug_4.jpg", "missing_label"),
+    }
+    with pytest.raises(ValueError):
+        jobs.preprocess(spark, tree, "v3_2/x", "2024-01-01 00:00:00", stats)
     # a second run replaces the examples and appends statistics
     jobs.preprocess(spark, tree, "v3_2", "2024-01-02 00:00:00", stats)
     assert tables.read_examples(spark, done.examples).count() == 4
@@ -176,6 +183,9 @@ def test_training_input_and_report(spark, tree, tmp_path):
     done = jobs.preprocess(spark, tree, "v3_2", "2024-01-01 00:00:00", str(tmp_path / "cd"))
     train, val, weights = jobs.training_input(spark, done.examples, label_map, 0.3, 2)
     assert (train.count(), val.count()) == (3, 1)
+    assert [df.count() for df in jobs.training_input(spark, done.examples, label_map, shape=(2, 3, 3))[:2]] == [3, 1]
+    assert [df.count() for df in jobs.training_input(spark, done.examples, label_map, shape=(9, 9, 3))[:2]] == [0, 0]
+    assert objects.read_images(spark, tree, "v9_9").count() == 0
     assert sorted(r.batch_id for r in train.collect()) == [0, 0, 1]
     assert {r.label_id for r in weights.collect()} == {0, 1}
     report = jobs.validation_report(spark, done.examples, label_map)
