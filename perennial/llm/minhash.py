@@ -248,16 +248,18 @@ def _rest(members: DataFrame, labels: DataFrame, docs: DataFrame, id_col: str, t
     )
     alone = F.col("n") - F.size("items")
     prefix = F.col("n") - F.ceil(F.col("n") * F.lit(PERCENT) / F.lit(100)) + 1 - alone
+    # with its place in the set's order, which bounds what two sets can still share from there on
     rare = ordered.select(
-        "id", "label", "n", F.explode(F.slice("items", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("x")
-    ).where("x.open")
-    left = rare.select(F.col("x.item").alias("item"), F.col("id").alias("i"), F.col("label").alias("l"), F.col("n").alias("m"))
-    right = rare.select(F.col("x.item").alias("item"), F.col("id").alias("j"), F.col("label").alias("h"), F.col("n").alias("k"))
-    near = F.least("m", "k") * 100 >= F.greatest("m", "k") * PERCENT
+        "id", "label", "n", alone.alias("alone"), F.posexplode(F.slice("items", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int")))
+    ).where("col.open").select("id", "label", "n", "col.item", (F.col("n") - F.col("alone") - F.col("pos")).alias("left"))
+    left = rare.select("item", *[F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "left")])
+    right = rare.select("item", *[F.col(c).alias(f"{c}_b") for c in ("id", "label", "n", "left")])
+    near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
+    enough = F.least("left_a", "left_b") * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT
     return (
         left.join(right, "item")
-        .where((F.col("l") < F.col("h")) & near)
-        .select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
+        .where((F.col("label_a") < F.col("label_b")) & near & enough)
+        .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
         .distinct()
     )
 
