@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from perennial import schemas
 from perennial.functions import text
-from perennial.operators.joins import join_groups
 from perennial.operators.quantiles import exact_percentiles
 
 
@@ -77,13 +76,13 @@ def hourly(log: DataFrame, at: str = "ts") -> DataFrame:
     """Volume, accuracy and latency per hour and version."""
     rows = log.withColumn("hour", F.date_trunc("hour", F.col(at)).cast("timestamp_ntz"))
     keys = ["hour", "model_version"]
-    base = rows.groupBy(*keys).agg(
+    figures = [
         F.count("*").alias("n"),
         F.avg(F.col("is_correct").cast("int")).alias("accuracy"),
         F.avg("latency").alias("avg_latency"),
-    )
-    latency = exact_percentiles(rows, keys, "latency", {"p50_latency": 0.5, "p95_latency": 0.95})
-    return join_groups(base, latency, keys, "left")
+    ]
+    points = {"p50_latency": 0.5, "p95_latency": 0.95}
+    return exact_percentiles(rows, keys, "latency", points, figures)
 
 
 def volume_gate(images: DataFrame, threshold: int) -> DataFrame:

@@ -19,10 +19,18 @@ MARGINS = [LEAST * 2**k for k in range(11)]
 
 
 def exact_percentiles(
-    df: DataFrame, by: Sequence[str], value: str, points: dict[str, float]
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    points: dict[str, float],
+    also: Sequence[Column] = (),
 ) -> DataFrame:
     """Interpolated percentiles of ``value``, one column per entry of ``points``.
 
+    ``also`` are named aggregates of the groups, computed along with the sketch.
+    With them every group is in the result, with null percentiles if it has no
+    value; without them such groups are left out.
+
     The built-in exact aggregate keeps every distinct value of a group in one
     buffer. Here a mergeable sketch first brackets each percentile; a second
     read counts what lies below the bracket and sorts only the few values
@@ -37,31 +45,33 @@ def exact_percentiles(
         for margin in MARGINS
         for side in (-1, 1)
     ]
-    sketch = present.groupBy(*by).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("v", edges, ACCURACY).alias("edges"),
+    # read twice below, so that the log itself is read twice in all
+    groups = stage(
+        df.groupBy(*by).agg(
+            F.count(value).alias("n_"),
+            F.percentile_approx(value, edges, ACCURACY).alias("edges_"),
+            *also,
+        ),
+        "percentile-sketches",
     )
 
     def bracket(i: int, name: str, p: float) -> Column:
         # the first margin that holds SAFETY ranks of the group; the last one holds all of any
-        steps = F.ceil(F.log2(F.greatest(F.lit(SAFETY) / F.col("n"), F.lit(LEAST)) / F.lit(LEAST)))
+        steps = F.ceil(F.log2(F.greatest(F.lit(SAFETY) / F.col("n_"), F.lit(LEAST)) / F.lit(LEAST)))
         first = 2 * (i * len(MARGINS) + F.least(steps, F.lit(len(MARGINS) - 1)).cast("int"))
 
         def edge(place: int) -> Column:
-            return F.get("edges", first + place)
+            return F.get("edges_", first + place)
 
         return F.struct(
             F.lit(name).alias("point"),
-            (F.lit(float(p)) * (F.col("n") - 1)).alias("at"),
+            (F.lit(float(p)) * (F.col("n_") - 1)).alias("at"),
             edge(0).alias("low"),
             edge(1).alias("high"),
         )
 
     found = [bracket(i, name, p) for i, (name, p) in enumerate(points.items())]
-    brackets = stage(
-        sketch.select(*by, F.inline(F.array(*found))),
-        "percentile-brackets",
-    )
+    brackets = groups.where("n_ > 0").select(*by, F.inline(F.array(*found)))
     # Equal values collapse before the shuffle; all values below a bracket collapse to one row.
     seen = (
         join_groups(present, brackets, by)
@@ -92,6 +102,8 @@ def exact_percentiles(
         F.col("lower") + (F.col("at") - F.floor("at")) * (F.col("upper") - F.col("lower")),
     ).otherwise(F.raise_error(F.lit("percentile outside its bracket")).cast("double"))
     valued = picked.withColumn("x", blend)
-    return valued.groupBy(*by).agg(
+    found_points = valued.groupBy(*by).agg(
         *[F.max(F.when(F.col("point") == name, F.col("x"))).alias(name) for name in points]
     )
+    shown = groups if also else groups.where("n_ > 0")
+    return join_groups(shown.drop("n_", "edges_"), found_points, by, "left")

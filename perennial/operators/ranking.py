@@ -25,7 +25,8 @@ DEFAULT_SEED = 42
 
 
 def seeded_hash(key: Column, seed: int = DEFAULT_SEED) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}|"), key))
+    """A null key is hashed as the empty text, and ranks before it."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
 def _with_range(df: DataFrame, key: str, seed: int, digits: int) -> DataFrame:

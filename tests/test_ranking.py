@@ -79,3 +79,9 @@ def test_batches_keep_the_remainder(spark):
     df = spark.range(70).select(F.col("id").cast("string").alias("path"))
     sizes = training.batched(training.shuffled(df, "path"), 32).groupBy("batch_id").count()
     assert sorted(tuple(r) for r in sizes.collect()) == [(0, 32), (1, 32), (2, 6)]
+
+
+def test_null_keys_are_ranked_too(spark):
+    df = spark.createDataFrame([(None,), ("",), ("a",), (None,), ("b",)], "k string")
+    assert sorted(r.position for r in ranking.with_position(df, "k").collect()) == [1, 2, 3, 4, 5]
+    assert sum(r.taken for r in ranking.mark_share(df, "k", 0.6).collect()) == 3
