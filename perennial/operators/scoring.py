@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perennial.functions import paths, vectors
-from perennial.functions.binding import let
 from perennial.operators import vocabulary
+from perennial.session import stage
 
 
 def predict(scores: DataFrame) -> DataFrame:
@@ -76,29 +77,41 @@ def centroids(vectors_: DataFrame, vector: str = "embedding", label: str = "labe
     return means.groupBy("label").agg(F.transform(ordered, lambda e: e["m"]).alias("centroid"))
 
 
+# Largest centroid table that is sent to every task.
+CENTROID_BYTES = 64 << 20
+
+
 def nearest_centroid(
     rows: DataFrame, centers: DataFrame, vector: str = "embedding", name: str = "predicted_id"
 ) -> DataFrame:
-    """Label of the closest centroid; the lowest label wins a tie.
+    """Label of the closest centroid; the lowest label wins a tie, a null vector has none.
 
     A row's own length is the same for all centroids, so ``|c|^2 - 2 v.c`` ranks
-    them. The centroids, classes x dimensions numbers, enter as one scalar
-    subquery value, so rows are neither joined nor shuffled.
+    them: one matrix product for each Arrow batch. Rows are neither joined nor
+    shuffled. The centroids, classes x dimensions numbers, go to every task;
+    a table beyond ``CENTROID_BYTES`` is refused.
     """
-    sized = centers.withColumn("norm", vectors.dot(F.col("centroid"), F.col("centroid")))
-    packed = sized.agg(F.array_sort(F.collect_list(F.struct("label", "norm", "centroid")))).scalar()
-    doubled = F.transform(F.col(vector), lambda x: x.cast("double") * 2)
-
-    def ranked(v: Column) -> Column:
-        return F.transform(
-            "centers_",
-            lambda c: F.struct(
-                (c["norm"] - vectors.dot(v, c["centroid"])).alias("d"), c["label"].alias("l")
-            ),
-        )
+    stored = stage(centers.select("label", "centroid"), "centroids")
+    size = stored.agg(F.sum(F.size("centroid") * 8)).first()[0] or 0
+    if size > CENTROID_BYTES:
+        raise ValueError(f"centroids take {size} bytes, more than {CENTROID_BYTES}")
+    known = sorted((r["label"], r["centroid"]) for r in stored.collect())
+    labels = np.array([label for label, _ in known])
+    matrix = np.array([center for _, center in known], dtype=float)
+    norms = (matrix**2).sum(axis=1)
+    out = rows.drop(name)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
 
-    best = F.array_min(let(doubled, ranked))["l"].cast("int")
-    return rows.withColumn("centers_", packed).withColumn(name, best).drop("centers_")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = pd.Series(pd.NA, index=batch.index, dtype="Int32")
+            there = batch[vector].notna()
+            if there.any() and len(labels):
+                points = np.stack(batch.loc[there, vector]).astype(float)
+                found[there] = labels[(norms - 2 * points @ matrix.T).argmin(axis=1)]
+            yield batch.assign(**{name: found})
+
+    return out.mapInPandas(run, f"{schema}, `{name}` int")
 
 
 def routed(log: DataFrame, at: str = "ts", row_id: str = "event_id") -> DataFrame:
