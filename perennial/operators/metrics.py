@@ -62,6 +62,15 @@ def latest_distribution(stats: DataFrame) -> DataFrame:
     )
 
 
+def latest_run_only(stats: DataFrame) -> DataFrame:
+    """The rows of each version's newest run; classes that run did not see are left out."""
+    newest = stats.groupBy(F.col("model_version").alias("version_")).agg(
+        F.max("run_timestamp").alias("newest_")
+    )
+    same = stats["model_version"].eqNullSafe(newest["version_"]) & (stats["run_timestamp"] == newest["newest_"])
+    return stats.join(newest, same).drop("version_", "newest_")
+
+
 def top_classes_by_count(stats: DataFrame, version: str, limit: int = 10) -> DataFrame:
     return (
         latest_distribution(stats)

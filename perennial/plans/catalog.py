@@ -342,6 +342,13 @@ def latest_distribution(spark, sf_dir):
     )
 
 
+@query
+def latest_run_only(spark, sf_dir):
+    return metrics.latest_run_only(views.class_distribution(spark, sf_dir)).select(
+        "model_version", "class_label", "example_count", "run_timestamp"
+    )
+
+
 @query
 def top_classes(spark, sf_dir):
     return metrics.top_classes_by_count(views.class_distribution(spark, sf_dir), VERSION, 3)

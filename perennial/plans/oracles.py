@@ -427,6 +427,12 @@ def oracle_sql() -> dict[str, str]:
  from prediction_metrics group by 1, 2""",
         "prediction_metrics",
     )
+    add(
+        "latest_run_only",
+        """select model_version, class_label, example_count, run_timestamp from class_distribution
+ qualify run_timestamp = max(run_timestamp) over (partition by model_version)""",
+        "class_distribution",
+    )
     add(
         "retrain_gate",
         "select version, count(*) as n, count(*) >= 46 as retrain from wrong_images group by version",
