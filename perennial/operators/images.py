@@ -9,11 +9,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from perennial.operators.ranking import seeded_hash
+
 # The image shape training expects and the augmentation ranges.
 SHAPE = (224, 224, 3)
-MAX_SHIFT = 0.1
-MAX_BRIGHTNESS = 0.2
-MAX_CONTRAST = 0.2
+# Shifts reach a tenth of the size, light a fifth of the levels, contrast 200 in a thousand.
+LIGHT = 51
+CONTRAST = 200
 
 
 def to_rgb(images: DataFrame) -> DataFrame:
@@ -55,10 +57,11 @@ def split_by_shape(images: DataFrame, shape: tuple[int, int, int] = SHAPE):
 def augment(images: DataFrame, key: str, seed: int) -> DataFrame:
     """Seeded flip, shift, brightness and contrast per image.
 
-    The random numbers come from the row key and the seed, so a row looks the
-    same whatever task or retry handles it.
+    The parameters are digits of a hash of seed and row key, and all arithmetic
+    is in whole numbers, so a row looks the same whatever task, retry or engine
+    handles it.
     """
-    rows = images.withColumn("seed_", F.xxhash64(F.lit(seed), F.col(key)))
+    rows = images.withColumn("digits_", seeded_hash(F.col(key), seed))
     schema = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in images.schema.fields
     )
@@ -66,36 +69,43 @@ def augment(images: DataFrame, key: str, seed: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch["image"] = [
-                _augment(i, h, w, c, s)
-                for i, h, w, c, s in zip(
-                    batch["image"], batch["height"], batch["width"], batch["n_channels"], batch["seed_"]
+                _augment(i, h, w, c, d)
+                for i, h, w, c, d in zip(
+                    batch["image"], batch["height"], batch["width"], batch["n_channels"], batch["digits_"]
                 )
             ]
-            yield batch.drop(columns=["seed_"])
+            yield batch.drop(columns=["digits_"])
 
     return rows.mapInPandas(run, schema)
 
 
-def _augment(image: bytes, height: int, width: int, channels: int, seed: int) -> bytes:
-    rng = np.random.default_rng(seed & 0xFFFFFFFFFFFFFFFF)
-    flip, down, right, light, contrast = rng.random(5)
-    rows = _shifted(height, round((2 * down - 1) * MAX_SHIFT * height))
-    columns = _shifted(width, round((2 * right - 1) * MAX_SHIFT * width))
-    if flip < 0.5:
+def _augment(image: bytes, height: int, width: int, channels: int, digits: str) -> bytes:
+    # five numbers from 0 to 65,535, each spread over its range
+    flip, down, right, light, contrast = (int(digits[4 * i : 4 * i + 4], 16) for i in range(5))
+    rows, columns = (
+        _shifted(size, draw * (2 * _reach(size) + 1) // 65536 - _reach(size))
+        for size, draw in ((height, down), (width, right))
+    )
+    if flip < 32768:
         columns = columns[::-1]
     flat = np.frombuffer(image, dtype=np.uint8).reshape(height, width, channels)
     pixels = flat[rows][:, columns].reshape(-1, channels)
     # Light and contrast map each of the 256 levels of a channel to one level.
-    levels = np.clip(np.arange(256) + 255 * MAX_BRIGHTNESS * (2 * light - 1), 0, 255)
-    stretch = 1 + MAX_CONTRAST * (2 * contrast - 1)
+    levels = np.clip(np.arange(256) + light * (2 * LIGHT + 1) // 65536 - LIGHT, 0, 255)
+    stretch = contrast * (2 * CONTRAST + 1) // 65536 + 1000 - CONTRAST
     out = np.empty_like(pixels)
     for c in range(channels):
-        mean = np.bincount(pixels[:, c], minlength=256) @ levels / len(pixels)
-        table = np.clip(np.rint((levels - mean) * stretch + mean), 0, 255).astype(np.uint8)
+        mean = int(np.bincount(pixels[:, c], minlength=256) @ levels) // len(pixels)
+        table = np.clip(((levels - mean) * stretch + 500) // 1000 + mean, 0, 255).astype(np.uint8)
         out[:, c] = table[pixels[:, c]]
     return out.tobytes()
 
 
+def _reach(size: int) -> int:
+    """Longest shift: a tenth of the size, rounded."""
+    return (size + 5) // 10
+
+
 def _shifted(size: int, by: int) -> np.ndarray:
     """Source index of every place after a shift; the gap mirrors the edge."""
     index = np.arange(size) - by

@@ -769,7 +769,7 @@ def stream_running_accuracy(spark, sf_dir):
     return _rounded(streams.read_latest(spark, target), "avg_prediction_accuracy")
 
 
-# --- without an oracle: random numbers of a fixed generator -----------------------------
+# --- images ---------------------------------------------------------------------------
 
 
 def _as_image(vector) -> Column:
@@ -786,12 +786,12 @@ def _as_image(vector) -> Column:
 
         return F.unhex(F.array_join(let(span, hexed), ""))
 
-    return let(F.col(vector), pixels)
+    return let(F.transform(vector, lambda x: x.cast("double")), pixels)
 
 
 @query
 def augment_pixels(spark, sf_dir):
-    """Embeddings seen as small images, augmented; tested by its invariants."""
+    """Embeddings seen as small images, augmented; the pixels as hexadecimal text."""
     rows = views.table(spark, sf_dir, "embeddings").select(
         "vec_id",
         F.lit(8).alias("height"),
@@ -799,4 +799,4 @@ def augment_pixels(spark, sf_dir):
         F.lit(1).alias("n_channels"),
         _as_image("embedding").alias("image"),
     )
-    return images.augment(rows, "vec_id", 42)
+    return images.augment(rows, "vec_id", 42).withColumn("image", F.lower(F.hex("image")))

@@ -592,6 +592,24 @@ def oracle_sql() -> dict[str, str]:
         "select vec_id, round(list_min(px), 6) as min_v, round(list_max(px), 6) as max_v from pixel_rows",
         "pixel_rows",
     )
+    def number(at: int) -> str:
+        digit = "(strpos('0123456789abcdef', substr(h, {}, 1)) - 1)"
+        return " + ".join(f"{digit.format(4 * at + k + 1)} * {16 ** (3 - k)}" for k in range(4))
+
+    source = "case when {0} < 0 then -({0}) - 1 when {0} > 7 then 15 - ({0}) else {0} end"
+    row, column = source.format("(i // 8 - down)"), source.format("(case when flip < 32768 then 7 - i % 8 else i % 8 end - sideways)")
+    add(
+        "augment_pixels",
+        f"""select vec_id, 8 as height, 8 as width, 1 as n_channels, array_to_string(list_transform(lit,
+  lambda p: printf('%02x', cast(greatest(0, least(255, floor(((p - mean) * stretch + 500) / 1000.0::double) + mean)) as int))), '') as image
+ from (select *, cast(list_sum(lit) as bigint) // 64 as mean from (
+  select *, list_transform(range(0, 64), lambda i: greatest(0, least(255, px[({row}) * 8 + ({column}) + 1] + light))) as lit from (
+   select vec_id, list_transform(v, lambda x: cast(floor((x - low) / wide * 255) as bigint)) as px, {number(0)} as flip,
+    ({number(1)}) * 3 // 65536 - 1 as down, ({number(2)}) * 3 // 65536 - 1 as sideways,
+    ({number(3)}) * 103 // 65536 - 51 as light, ({number(4)}) * 401 // 65536 + 800 as stretch from (
+    select vec_id, embedding::double[] as v, list_min(embedding::double[]) as low,
+     list_max(embedding::double[]) - list_min(embedding::double[]) as wide, md5(concat('42|', vec_id)) as h from embeddings) a) b) c) d""",
+    )
     # sinks
     add(
         "write_distribution",
