@@ -55,3 +55,11 @@ def test_native_plan_and_clashing_names(spark):
     assert out.columns.count("kept") == 1 and out.first()["n_words"] == 2
     assert quality.apply_policy(quality.ledger(df.limit(0))).count() == 0
     assert quality.ablation(quality.ledger(df.limit(0))).agg(F.sum("n_failed")).first()[0] is None
+
+
+def test_a_filter_does_not_repeat_the_measurements(spark):
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    kept = quality.apply_policy(quality.ledger(df)).where("kept").select("doc_id", "text")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    # words, symbols, exclamation marks and digits, once each
+    assert plan.count("regexp_extract_all") == 4
