@@ -139,12 +139,18 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The measurements and ``fail_bits``: one bit for each rule of ``RULES`` the text fails."""
+    """The measurements and ``fail_bits``: one bit for each rule of ``RULES`` the text fails.
+
+    The bits are tied to a row number that every row has. A filter on them
+    therefore stays above the measurements; pushed below, it would repeat their
+    expressions at every use, within loops over words too.
+    """
     bits = F.lit(0).cast("long")
     for position, condition in enumerate(RULES.values()):
         bit = F.when(F.expr(condition), F.lit(1 << position)).otherwise(F.lit(0)).cast("long")
         bits = bits.bitwiseOR(bit)
-    return measure(docs, text).withColumn("fail_bits", bits)
+    there = F.monotonically_increasing_id() >= 0
+    return measure(docs, text).withColumn("fail_bits", F.when(there, bits))
 
 
 def apply_policy(rows: DataFrame, policy: str = "v2") -> DataFrame:
