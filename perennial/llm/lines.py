@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perennial.session import stage
+
 # A line is boilerplate of its site when more than this share of the site's pages carry it ...
 RATIO = 0.1
 # ... and at least this many pages do. Small sites would otherwise lose lines that one page has.
@@ -57,11 +59,15 @@ def drop_boilerplate(
     rows count as pages of their own. Columns named ``n_lines`` or
     ``n_dropped`` are replaced, the others stay. Dropped lines go with their
     line break; the rest of the text stays byte for byte. The table of sites
-    is joined by size: Catalyst broadcasts it when small and otherwise
-    shuffles, where adaptive execution splits a hot site.
+    is stored first, so its size is known: Catalyst broadcasts it when small
+    and otherwise shuffles, where adaptive execution splits a hot site.
     """
-    found = boilerplate(docs, site, text, ratio, min_pages).select(
-        F.coalesce(F.concat(F.lit("s"), F.col("_site").cast("string")), F.lit("n")).alias("_key"), F.col("keys").alias("_drop")
+    found = stage(
+        boilerplate(docs, site, text, ratio, min_pages).select(
+            F.coalesce(F.concat(F.lit("s"), F.col("_site").cast("string")), F.lit("n")).alias("_key"),
+            F.col("keys").alias("_drop"),
+        ),
+        "boilerplate",
     )
     keyed = docs.drop("n_lines", "n_dropped").withColumn(
         "_key", F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("n"))
