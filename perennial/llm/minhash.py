@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perennial.llm import arrow, hashing
+from perennial.llm.cleanup import stage_and_release
 from perennial.llm.components import components
 from perennial.session import stage
 
@@ -183,11 +184,14 @@ def _buckets(classes: DataFrame) -> DataFrame:
     from band to band.
     """
     bands = classes.select("id", F.explode("bands").alias("bucket"))
-    sizes = (
+    # stored before members are joined to them: adaptive execution splits a hot bucket of a join
+    # whose sides are plain shuffles
+    sizes = stage(
         bands.groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id", "bucket").alias("h"), "id")).alias("low"))
         .where("n > 1")
-        .select("bucket", "n", F.col("low.id").alias("leader"))
+        .select("bucket", "n", F.col("low.id").alias("leader")),
+        "bucket-sizes",
     )
     return bands.join(sizes, "bucket")
 
@@ -236,7 +240,7 @@ def _rest(members: DataFrame, labels: DataFrame, docs: DataFrame, id_col: str, t
     sets = arrow.append(
         texts.join(open_classes, "id"), run, [T.StructField("set", T.ArrayType(T.LongType()))], drop=("text",)
     )
-    sets = stage(sets, "open-sets")
+    sets = stage_and_release(sets, "open-sets")
     items = sets.select("id", "label", F.size("set").alias("n"), F.explode("set").alias("item"))
     counts = items.groupBy("item").agg(
         F.count(F.lit(1)).alias("df"), F.min("label").alias("l"), F.max("label").alias("h")
@@ -275,18 +279,21 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     """
     rows = stage(describe(docs, id_col, text), "shingled")
     filled = rows.where("key is not null and id is not null")
-    first = filled.groupBy("key").agg(F.min("id").alias("class_id"))
+    first = stage(filled.groupBy("key").agg(F.min("id").alias("class_id")), "classes")
     classes = filled.join(first, "key").where("id = class_id").drop("class_id").dropDuplicates(["id"])
-    members = stage(_buckets(classes.select("id", "bands")), "buckets")
+    members = stage_and_release(_buckets(classes.select("id", "bands")), "buckets")
     texts = _packed(docs, id_col, text)
     signed = classes.select("id", "signature", "n_shingles")
-    links = stage(_confirm(_agreeing(_candidates(members), signed), texts), "links")
+    links = stage_and_release(_confirm(_agreeing(_candidates(members), signed), texts), "links")
     labels = stage(components(links), "labels")
     if not members.where(F.col("n") > SMALL).isEmpty():
         rest = _confirm(_agreeing(_rest(members, labels, docs, id_col, text), signed), texts)
         labels = stage(components(links.union(rest)), "labels")
-    of_class = first.join(labels, first["class_id"] == labels["node"], "left").select(
-        "key", F.coalesce("component", "class_id").alias("label")
+    of_class = stage(
+        first.join(labels, first["class_id"] == labels["node"], "left").select(
+            "key", F.coalesce("component", "class_id").alias("label")
+        ),
+        "class-labels",
     )
     found = rows.select("id", "n_shingles", "key").join(of_class, "key", "left")
     component = F.coalesce("label", "id")
