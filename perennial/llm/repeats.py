@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perennial.llm import arrow, hashing
+from perennial.llm.cleanup import stage_and_release
 from perennial.llm.suffixes import common_prefix, deep_shallow_order
 from perennial.session import stage
 
@@ -365,25 +366,28 @@ def spans(keyed: DataFrame, text: str, length: int = LENGTH, anchor: int = ANCHO
     """``(key, spans)``: for texts with repeated strings the byte ranges these cover, unmerged."""
     long = keyed.where(F.octet_length(text) >= length).select("key", F.col(text).alias("text"))
     found = stage(arrow.flat_map(long, _anchor_rows(length, anchor), _ANCHORS), "anchors")
-    several = (
+    # counts are stored before rows are joined to them: adaptive execution splits a hot anchor of
+    # a join whose sides are plain shuffles
+    several = stage(
         found.groupBy("h")
         .agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("low"), F.max("around").alias("high"))
         .where("n > 1")
-        .select("h", (F.col("low") == F.col("high")).alias("alike"))
+        .select("h", (F.col("low") == F.col("high")).alias("alike")),
+        "several",
     )
-    met = stage(found.join(several, "h"), "met")
+    met = stage_and_release(found.join(several, "h"), "met")
     reach = length - anchor
     whole = [(F.col("at") - reach).alias("start"), (F.col("at") + length).alias("end")]
     alike = met.where("alike").select("key", *whole)
     different = met.where(~F.col("alike"))
-    distinct = stage(
+    distinct = stage_and_release(
         different.groupBy("h", "around")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one"))
         .select("h", "around", "n", "one.key", "one.at"),
         "distinct",
     )
     sizes = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("size"))
-    around = stage(_surroundings(distinct, keyed, text, length, anchor), "surroundings").join(sizes, "h")
+    around = stage_and_release(_surroundings(distinct, keyed, text, length, anchor), "surroundings").join(sizes, "h")
     small = around.where(F.col("size") <= gathered).drop("size")
     large = around.where(F.col("size") > gathered).drop("size")
     settled = distinct.where("n > 1").select(
@@ -392,7 +396,9 @@ def spans(keyed: DataFrame, text: str, length: int = LENGTH, anchor: int = ANCHO
     reached = _sorted_extents(small, length).union(settled)
     if not large.isEmpty():
         reached = reached.union(_counted_extents(large, length, anchor))
-    reached = reached.groupBy("h", "around").agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    reached = stage(
+        reached.groupBy("h", "around").agg(F.max("before").alias("before"), F.max("after").alias("after")), "reached"
+    )
     partly = different.join(reached, ["h", "around"]).select(
         "key", (F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("end")
     )
