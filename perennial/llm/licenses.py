@@ -34,6 +34,8 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
     ("proprietary", "All rights reserved."),
 ]
+# Fixed value: words that most English texts have.
+COMMON = frozenset("a and are as by for from in is it may not of or that the this to with work you".split())
 WORD = r"[\p{L}\p{N}]+"
 _PYTHON_WORD = re.compile(r"[^\W_]+")
 
@@ -45,7 +47,9 @@ def template_words(templates: Templates) -> tuple[list[tuple], float, list[str]]
 
     Weights are TF-IDF over the templates, normed to one. A line that reaches
     the threshold with a template shares one of its key words: without them
-    the template's vector is shorter than the threshold.
+    the template's vector is shorter than the threshold. Any choice of words
+    will do for that; the most common ones are taken last and long ones first,
+    which other lines seldom have.
     """
     counts = [Counter(_PYTHON_WORD.findall(text.lower())) for _, text in templates]
     frequency = Counter(word for c in counts for word in c)
@@ -56,7 +60,7 @@ def template_words(templates: Templates) -> tuple[list[tuple], float, list[str]]
         norm = math.sqrt(sum(w * w for w in raw.values()))
         rows += [(word, idf[word], number, name, w / norm) for word, w in raw.items()]
         left = 1.0
-        for word, w in sorted(raw.items(), key=lambda x: (-x[1], x[0])):
+        for word, w in sorted(raw.items(), key=lambda x: (x[0] not in COMMON, len(x[0]), x[0]), reverse=True):
             if left < (THRESHOLD - 1e-6) ** 2:
                 break
             keys.add(word)
