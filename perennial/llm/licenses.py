@@ -1,8 +1,8 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance from the nearest directory.
 
-A file is told by two things: a line of its own that matches a template, and
-the licence files of the nearest directory above it. Lines and templates are
-TF-IDF vectors over their words, compared by joining words.
+A file is told by two things: a line or a window of its words that matches a
+template, and the licence files of the nearest directory above it. Lines,
+windows and templates are TF-IDF vectors over their words.
 """
 
 from __future__ import annotations
@@ -11,8 +11,14 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from perennial.llm import arrow
+from perennial.llm.license_texts import TEXTS
 
 # Lowest cosine of a match.
 THRESHOLD = 0.8
@@ -36,13 +42,17 @@ TEMPLATES: list[tuple[str, str]] = [
 ]
 # Fixed value: words that most English texts have.
 COMMON = frozenset("a and are as by for from in is it may not of or that the this to with work you".split())
-WORD = r"[\p{L}\p{N}]+"
+# Fixed value: templates of so many words are header blocks or licence texts, which come before a licence's mere name.
+TEXT_WORDS = 20
+# Names without a version, and the one that stands only where a file grants no licence.
+UNVERSIONED = frozenset(("GPL", "LGPL", "AGPL"))
+RESERVED = "proprietary"
 _PYTHON_WORD = re.compile(r"[^\W_]+")
 
 Templates = list[tuple[str, str]]
 
 
-def template_words(templates: Templates) -> tuple[list[tuple], float, list[str]]:
+def template_words(templates: Templates, threshold: float = THRESHOLD) -> tuple[list[tuple], float, list[str]]:
     """The templates' vectors as ``(word, idf, template, license, weight)``, the IDF of other words, key words.
 
     Weights are TF-IDF over the templates, normed to one. A line that reaches
@@ -61,74 +71,178 @@ def template_words(templates: Templates) -> tuple[list[tuple], float, list[str]]
         rows += [(word, idf[word], number, name, w / norm) for word, w in raw.items()]
         left = 1.0
         for word, w in sorted(raw.items(), key=lambda x: (x[0] not in COMMON, len(x[0]), x[0]), reverse=True):
-            if left < (THRESHOLD - 1e-6) ** 2:
+            if left < (threshold - 1e-6) ** 2:
                 break
             keys.add(word)
             left -= (w / norm) ** 2
     return rows, math.log(len(templates) + 1) + 1, sorted(keys)
 
 
-def _words(line: Column) -> Column:
-    return F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
+class Book:
+    """Templates as vectors, and the search for them in the words of a file."""
+
+    def __init__(self, templates: Templates, threshold: float):
+        rows, self.other, keys = template_words(templates, threshold)
+        self.names = [name for name, _ in templates]
+        self.lengths = [len(_PYTHON_WORD.findall(text.lower())) for _, text in templates]
+        self.threshold, self.keys = threshold, frozenset(keys)
+        self.idf = {word: idf for word, idf, *_ in rows}
+        self.place = {word: i for i, word in enumerate(self.idf)}
+        self.weights = np.zeros((len(self.place), len(templates)))
+        for word, _, number, _, w in rows:
+            self.weights[self.place[word], number] = w
+        self.sizes = (self.weights > 0).sum(axis=0)
+        self.words = [{word for word, i in self.place.items() if self.weights[i, t] > 0} for t in range(len(templates))]
+        self.ranks = [
+            3 if name == RESERVED else 2 if name in UNVERSIONED else int(size < TEXT_WORDS)
+            for name, size in zip(self.names, self.lengths, strict=True)
+        ]
+
+    def near(self, words: set[str]) -> np.ndarray:
+        """Templates that some of these words can reach: the cosine is at most the length of what they share."""
+        shared = self.weights[[self.place[word] for word in self.place.keys() & words]]
+        return np.flatnonzero((shared**2).sum(axis=0) >= (self.threshold - 1e-6) ** 2)
+
+    def line(self, words: list[str]) -> list[tuple[int, float]]:
+        """Templates that the words as one vector match, with the score."""
+        count = Counter(words)
+        x = {word: n * self.idf.get(word, self.other) for word, n in count.items()}
+        known = [word for word in x if word in self.place]
+        dots = np.array([x[w] for w in known]) @ self.weights[[self.place[w] for w in known]]
+        scores = np.round(dots / math.sqrt(sum(v * v for v in x.values())), 6)
+        return [(int(t), float(scores[t])) for t in np.flatnonzero(scores >= self.threshold)]
+
+    def windows(self, words: list[str], templates: np.ndarray) -> list[tuple[int, int, int, float]]:
+        """``(template, start, end, score)`` of the windows of a template's length that match it.
+
+        Of matching windows that start side by side only the best one is told.
+        A file shorter than the template is one window. A window has more than
+        half of the template's distinct words: one rare word said again and
+        again is no match.
+        """
+        n = len(words)
+        local: dict[str, int] = {}
+        ids = np.fromiter((local.setdefault(word, len(local)) for word in words), np.int64, n)
+        idf = np.array([self.idf.get(word, self.other) for word in local])
+        squares = idf[ids] ** 2
+        at = np.arange(n)
+        keys = np.sort(ids * (n + 1) + at)
+
+        def count(of, low, high):
+            """How often words stand from ``low`` on and before ``high``."""
+            return np.searchsorted(keys, of * (n + 1) + high) - np.searchsorted(keys, of * (n + 1) + low)
+
+        norms: dict[int, np.ndarray] = {}
+        found = []
+        for t in templates:
+            size = min(self.lengths[t], n)
+            if size not in norms:
+                first = (squares[:size] * (2 * count(ids[:size], 0, at[:size]) + 1)).sum()
+                p = at[: n - size]
+                left = squares[p] * (2 * count(ids[p], p, p + size) - 1)
+                come = squares[p + size] * (2 * count(ids[p + size], p + 1, p + size) + 1)
+                norms[size] = np.sqrt(first + np.concatenate([[0.0], np.cumsum(come - left)]))
+            gain = np.array([self.weights[self.place[w], t] if w in self.place else 0.0 for w in local]) * idf
+            total = np.concatenate([[0.0], np.cumsum(gain[ids])])
+            scores = np.round(np.minimum((total[size:] - total[: n - size + 1]) / norms[size], 1.0), 6)
+            hits = np.flatnonzero(scores >= self.threshold)
+            own, least = self.words[t], self.sizes[t] / 2
+            hits = hits[[len(own.intersection(words[s : s + size])) > least for s in hits.tolist()]] if len(hits) else hits
+            if not len(hits):
+                continue
+            for run in np.split(hits, np.flatnonzero(np.diff(hits) > 1) + 1):
+                start = int(run[scores[run].argmax()])
+                found.append((int(t), start, start + size, float(scores[start])))
+        return found
+
+
+def find(text: str, lines: Book, texts: Book) -> tuple[str, float, int] | None:
+    """License, score and rank of a text's best match, None without one.
+
+    A match of which half lies in that of a template half again as long is
+    part of the longer one: a sentence of a whole licence text tells no
+    licence of its own. Header blocks and licence texts come first, then
+    names, names without a version, and reservations of rights; then the
+    highest score stands, of equal ones the first by name.
+    """
+    words = _PYTHON_WORD.findall(text.lower())
+    distinct = set(words)
+    near = texts.near(distinct)
+    # (words of the template, start, end, score, name, rank)
+    matches = []
+    if len(near):
+        matches = [(texts.lengths[t], s, e, score, texts.names[t], texts.ranks[t]) for t, s, e, score in texts.windows(words, near)]
+    if len(lines.near(distinct)):
+        start = 0
+        for line in text.lower().split("\n"):
+            own = _PYTHON_WORD.findall(line)
+            if not lines.keys.isdisjoint(own):
+                end = start + len(own)
+                matches += [(lines.lengths[t], start, end, score, lines.names[t], lines.ranks[t]) for t, score in lines.line(own)]
+            start += len(own)
+    # the longest template over each word so far
+    over = np.zeros(len(words), np.int64)
+    left = []
+    for size, start, end, score, name, rank in sorted(matches, reverse=True):
+        if 2 * np.count_nonzero(2 * over[start:end] >= 3 * size) < end - start:
+            left.append((rank, -score, name))
+            over[start:end] = np.maximum(over[start:end], size)
+    if not left:
+        return None
+    rank, score, name = min(left)
+    return name, -score, rank
 
 
 def detect(
     files: DataFrame, id_col: str = "path", text: str = "text", templates: Templates | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """``(id, license, score)`` of the files with a line that matches a template.
-
-    Every line of the whole text counts; a license split over lines is matched
-    by its parts. Lines without a key word of the templates cannot match and
-    never leave their row. Of the others, equal lines are scored once, so a
-    line that a third of the files share meets as one. A file's best match
-    stands, of equal ones the first by name. Null and empty texts, and an
-    empty table, give no rows; rows that repeat an id are one file.
+    """``(id, license, score)`` of the files with a line or window that matches a template.
+
+    Every line of the whole text is a vector, and so is every window of a
+    template's length over its words, across lines: text around a licence
+    makes no difference, and a header block or licence file is matched as one.
+    Lines are compared with the one-sentence templates, windows with these and
+    with whole texts, headers, titles and tags; given templates serve for
+    both. Files that lack the words a match needs are left at once, the rest
+    are read where they lie. Null and empty texts, and an empty table, give no
+    rows; rows that repeat an id are one file.
     """
-    spark = files.sparkSession
+    return _detect(files, id_col, text, templates, threshold).select("id", "license", "score")
+
+
+def _detect(files: DataFrame, id_col: str, text: str, templates: Templates | None, threshold: float = THRESHOLD) -> DataFrame:
+    """``detect`` with the ``rank`` of each match."""
     if threshold < THRESHOLD:
         raise ValueError(f"key words hold from a threshold of {THRESHOLD} on")
-    rows, other_idf, keys = template_words(templates or TEMPLATES)
-    known = spark.createDataFrame(rows, "word string, idf double, template int, license string, w double")
-    key = rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(map(re.escape, keys))})(?![\p{{L}}\p{{N}}])"
-    lines = (
-        files.where(F.col(text).rlike(key))
-        .select(F.col(id_col).alias("id"), F.explode(F.split(F.col(text), "\n", -1)).alias("line"))
-        .where(F.col("line").rlike(key))
-        .distinct()
-    )
-    words = (
-        lines.select("line")
-        .distinct()
-        .select("line", F.explode(_words(F.col("line"))).alias("word"))
-        .groupBy("line", "word")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    idf = known.select("word", "idf").distinct()
-    weighted = words.join(idf, "word", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(other_idf)))
-    norms = weighted.groupBy("line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    scored = (
-        weighted.join(known.select("word", "template", "license", "w"), "word")
-        .groupBy("line", "template", "license")
-        .agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
-        .join(norms, "line")
-        .select("line", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
-        .where(F.col("score") >= threshold)
-        .groupBy("line")
-        .agg(_best().alias("best"))
-    )
+    lines = Book(templates or TEMPLATES, threshold)
+    texts = Book(templates or TEMPLATES + TEXTS, threshold)
+    rows = files.where(F.col(text).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    fields = [
+        T.StructField("id", rows.schema["id"].dataType),
+        T.StructField("license", T.StringType()),
+        T.StructField("score", T.DoubleType()),
+        T.StructField("rank", T.IntegerType()),
+    ]
+
+    def run(batch: pa.RecordBatch) -> dict | None:
+        found = [(i, *best) for i, one in enumerate(batch.column(1).to_pylist()) if (best := find(one, lines, texts))]
+        if not found:
+            return None
+        places, names, scores, ranks = (list(values) for values in zip(*found, strict=True))
+        return {"id": batch.column(0).take(pa.array(places)), "license": names, "score": scores, "rank": ranks}
+
     return (
-        lines.join(scored, "line")
-        .select("id", "best.license", "best.score")
+        arrow.flat_map(rows, run, T.StructType(fields))
         .groupBy("id")
         .agg(_best().alias("best"))
-        .select("id", "best.license", "best.score")
+        .select("id", "best.license", "best.score", "best.rank")
     )
 
 
 def _best() -> Column:
-    """The highest score, of equal ones the first license by name."""
-    low = F.min(F.struct((-F.col("score")).alias("s"), F.col("license").alias("license")))
-    return F.struct(low["license"].alias("license"), (-low["s"]).alias("score"))
+    """The match of the lowest rank, then of the highest score, of equal ones the first license by name."""
+    low = F.min(F.struct("rank", (-F.col("score")).alias("s"), F.col("license").alias("license")))
+    return F.struct(low["license"].alias("license"), (-low["s"]).alias("score"), low["rank"].alias("rank"))
 
 
 def parent(path: Column) -> Column:
@@ -170,13 +284,13 @@ def scan(
     path are one file with the best of their matches; each row comes back.
     """
     rows = files.select(F.coalesce(F.col(path), F.lit("")).alias("path"), F.col(text).alias("text"))
-    found = detect(rows, "path", "text", templates)
+    found = _detect(rows, "path", "text", templates)
     directory = parent(F.col("path"))
     name = F.regexp_extract("path", "[^/]*$", 0)
     licensed = (
-        found.select(F.col("id").alias("path"), "license", "score")
+        found.select(F.col("id").alias("path"), "license", "score", "rank")
         .where(name.rlike(license_file))
-        .select(directory.alias("directory"), "license", "score")
+        .select(directory.alias("directory"), "license", "score", "rank")
         .groupBy("directory")
         .agg(_best().alias("best"))
         .select("directory", "best.license")
