@@ -12,17 +12,24 @@ from dataclasses import dataclass, field
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ANY_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?|\"[^\"]*\"|'[^']*'")
+_MAY_HIDE = re.compile(r"hidden|display", re.I)
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
-# Elements whose content is never text of the page: read up to their end tag as they stand.
-RAW = frozenset("script style noscript template textarea title iframe noembed xmp svg math canvas object".split())
+# Elements that HTML reads as raw text and whose content is never text of the page: read up to their end tag as they stand.
+RAW = frozenset("script style noscript textarea title iframe noembed noframes xmp".split())
+# Elements that are never shown either, but hold elements: left out up to their end tag, and just a tag without one.
+UNSHOWN = frozenset("template canvas annotation annotation-xml".split())
+UNSHOWN_IN_SVG = frozenset("desc metadata".split())
+# Elements with a vocabulary of their own, whose elements are inline here.
+FOREIGN = frozenset(("svg", "math"))
 # Elements whose text is never article text, whatever is in them.
-SHUT = frozenset("head select button option label input form dialog menu audio video map".split())
+SHUT = frozenset("head select button option label input dialog menu audio video map".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd mark q ruby rb rt rp s samp "
-    "small span strike strong sub sup time tt u var wbr label button select option nobr".split()
+    "small span strike strong sub sup time tt u var wbr label button select option nobr svg math object".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl dt dd fieldset figcaption figure footer form h1 h2 h3 "
@@ -38,6 +45,7 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+BLOCKS = CLOSES_P | SHUT | frozenset(ENDS) | frozenset("html body thead tbody tfoot caption summary".split())
 
 
 @dataclass
@@ -61,12 +69,27 @@ def _names(attributes: str) -> tuple[str, ...]:
     )
 
 
+def _hidden(attributes: str) -> bool:
+    """Whether an element is hidden by its hidden attribute, its own style or ``aria-hidden``. The first attribute of a name counts."""
+    found: dict[str, str] = {}
+    for name, value in _ANY_ATTRIBUTE.findall(attributes):
+        found.setdefault(name.lower(), html.unescape(value.strip("\"'")))
+    shown = _DISPLAY.findall(found.get("style", ""))
+    return (
+        "hidden" in found
+        or found.get("aria-hidden", "").strip().lower() == "true"
+        or bool(shown and shown[-1].lower() == "none")
+    )
+
+
 def read(page: str) -> Tree:
     """The block tree of a page. Unclosed and stray tags are borne with; nothing fails."""
     tree = Tree()
     # open elements: tag, its block, whether it is a block of its own
     stack: list[tuple[str, int]] = [("#page", 0)]
-    block, anchors = 0, 0
+    block, anchors, foreign = 0, 0, 0
+    # elements without an end tag in the rest of the page
+    endless: set[str] = set()
     parts: list[str] = []
     linked = 0
     at, size = 0, len(page)
@@ -84,11 +107,12 @@ def read(page: str) -> Tree:
 
     def pop(depth: int) -> None:
         """Leave the elements above a depth of the stack."""
-        nonlocal block, anchors
+        nonlocal block, anchors, foreign
         while len(stack) > depth:
             tag, own = stack.pop()
             if tag == "a":
                 anchors -= 1
+            foreign -= tag in FOREIGN
             if own >= 0:
                 flush()
                 block = tree.parents[own]
@@ -127,6 +151,7 @@ def read(page: str) -> Tree:
                 else:
                     stack[depth] = ("#ended", -1)
                     anchors -= tag == "a"
+                    foreign -= tag in FOREIGN
             elif tag == "p":
                 flush()
             continue
@@ -134,9 +159,17 @@ def read(page: str) -> Tree:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             if not attributes.endswith("/"):
                 at = end.end() if end else size
-            if tag not in INLINE:
+            if tag not in INLINE and not foreign:
                 flush()
             continue
+        if tag in UNSHOWN or (foreign and tag in UNSHOWN_IN_SVG):
+            if tag not in endless and not attributes.endswith("/"):
+                end = re.compile(rf"</{re.escape(tag)}(?![\w-])[^>]*>", re.I).search(page, at)
+                if end:
+                    at = end.end()
+                else:
+                    endless.add(tag)
+            continue
         if tag in ("br", "wbr", "img"):
             parts.append(" " if tag == "br" else "")
             continue
@@ -158,16 +191,19 @@ def read(page: str) -> Tree:
                 pop(depth)
         if attributes.endswith("/") and tag not in CLOSES_P:
             continue
-        if tag in INLINE and tag not in SHUT:
+        if tag in INLINE and tag not in SHUT or foreign and tag not in BLOCKS:
+            if foreign and tag == "text":
+                parts.append(" ")
             stack.append((tag, -1))
             anchors += tag == "a"
+            foreign += tag in FOREIGN
             continue
         flush()
         tree.tags.append(tag)
         tree.parents.append(block)
         tree.depths.append(tree.depths[block] + 1)
         tree.names.append(_names(attributes) if attributes else ())
-        tree.shut.append(tree.shut[block] or tag in SHUT or bool(attributes and _HIDDEN.search(attributes)))
+        tree.shut.append(tree.shut[block] or tag in SHUT or bool(_MAY_HIDE.search(attributes) and _hidden(attributes)))
         tree.links.append(0)
         block = len(tree.tags) - 1
         stack.append((tag, block))

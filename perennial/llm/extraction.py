@@ -45,7 +45,7 @@ _GROUPS = {name: group for group, names in NAMES.items() for name in names.split
 GROUPS = list(NAMES)
 TAGS = (
     "#page #text html body p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd div section article main nav header footer aside table tbody thead tr "
-    "td th blockquote pre figure figcaption address details summary center fieldset"
+    "td th blockquote pre figure figcaption address details summary center fieldset form"
 ).split()
 _TAG = {tag: i for i, tag in enumerate(TAGS)}
 # Kinds of blocks, each with its own potential between block and parent.
@@ -55,7 +55,7 @@ _KIND = {
     **dict.fromkeys(("h1", "h2", "h3", "h4", "h5", "h6", "dt", "summary"), 2),
     **dict.fromkeys(("li", "tr"), 3),
 }
-N_FEATURES = len(TAGS) + 1 + len(GROUPS) + 12
+N_FEATURES = len(TAGS) + 1 + len(GROUPS) + 13
 
 
 def features(tree: dom.Tree) -> np.ndarray:
@@ -98,6 +98,8 @@ def features(tree: dom.Tree) -> np.ndarray:
     x[:, at + 8] = np.where(has, before / max(seen, 1), 0)
     x[:, at + 9] = 1
     x[:, at + 10] = total_chars == 0
+    # a form around most of a page's text is the page's, not a form to fill in
+    x[:, at + 11] = x[:, _TAG["form"]] * (2 * total_chars > seen)
     return x
 
 
@@ -315,6 +317,13 @@ def _content(rng: random.Random, words: list[str]) -> str:
     return "".join(blocks)
 
 
+def _page_form(rng: random.Random) -> tuple[str, str]:
+    """Opening and closing of one form around a whole page."""
+    attributes = rng.choice(("", ' method="post" action="./"', ' id="aspnetForm" method="post"', ' name="form1" id="form1"'))
+    inner = rng.choice((("", ""), ("<div>", "</div>"), ('<input type="hidden" name="state" value="x"><div class="container">', "</div>")))
+    return f"<form{attributes}>{inner[0]}", f"{inner[1]}</form>"
+
+
 def composed(words: list[str], n: int = COMPOSED_PAGES, seed: int = 1) -> list[str]:
     """Labelled pages of varied layouts, built by rule from the given words."""
     rng = random.Random(seed)
@@ -338,7 +347,7 @@ def composed(words: list[str], n: int = COMPOSED_PAGES, seed: int = 1) -> list[s
             main = start + main + after + end
         before = "".join(_boilerplate(rng, words) for _ in range(rng.randint(0, 4)))
         after = "".join(_boilerplate(rng, words) for _ in range(rng.randint(0, 4)))
-        wrap = rng.choice((("", ""), ("", ""), ('<div class="container">', "</div>"), ('<div id="wrapper"><div class="row">', "</div></div>")))
+        wrap = rng.choice((("", ""), ("", ""), ('<div class="container">', "</div>"), ('<div id="wrapper"><div class="row">', "</div></div>"), _page_form(rng)))
         pages.append(
             f"<!DOCTYPE html><html><head><title>{_sentence(rng, words)}</title><script>var a='<p>';</script></head><body>"
             f"{wrap[0]}{before}{main}{after}{wrap[1]}</body></html>"

@@ -112,3 +112,50 @@ def test_nulls_empties_repeats_long_pages_and_clashing_names(spark, model):
     assert got[1]["text"] == "" and got[2]["n_chars"] == 0
     assert got[4]["text"].count("\n") == 2999
     assert extraction.extract(pages.limit(0)).count() == 0
+
+
+_BODY = "<h1>Title of it</h1><p>First paragraph of the text, with some words in it, and more of them here.</p><p>Second paragraph, it ends here.</p>"
+_TEXT = ["Title of it", "First paragraph of the text, with some words in it, and more of them here.", "Second paragraph, it ends here."]
+
+
+@pytest.mark.parametrize(
+    "attribute, shut",
+    [
+        ('class="overflow-hidden"', False),
+        ('style="overflow:hidden"', False),
+        ('aria-hidden="false"', False),
+        ('data-title="The hidden valley"', False),
+        ("data-x='display:none'", False),
+        ('style="display: none; display:block"', False),
+        ("hidden", True),
+        ('id=x hidden=""', True),
+        ('style="color:red; DISPLAY : none !important"', True),
+        ("aria-hidden=true", True),
+    ],
+)
+def test_only_hidden_blocks_are_shut(model, attribute, shut):
+    assert model.text(f"<html><body><article {attribute}>{_BODY}</article></body></html>").split("\n") == ([""] if shut else _TEXT)
+
+
+def test_page_in_one_form(model):
+    start = '<html><body><form method="post" action="./page.aspx" id="aspnetForm"><input type="hidden" name="state" value="x">'
+    around = '<nav><ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul></nav><article>{}</article><footer>&copy; 2020 Site</footer>'
+    assert model.text(start + around.format(_BODY) + "</form></body></html>").split("\n") == _TEXT
+    assert model.text("<html><body><article>" + _BODY + "</article><form><p>Your name, please.</p><input></form></body></html>").split("\n") == _TEXT
+
+
+@pytest.mark.parametrize(
+    "page, runs",
+    [
+        ("<p>a <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> b</p>", ["a x=2 b"]),
+        ("<p>a <svg><title>t</title><desc>d</desc><path d='m'/><text>s</text></svg> b</p>", ["a s b"]),
+        ("<p>a</p><svg><path d='m'><p>b</p><div>c</div>", ["a", "b", "c"]),
+        ("<p>a</p><canvas><p>b</p>", ["a", "b"]),
+        ("<p>a</p><canvas>no canvas</canvas><p>b</p>", ["a", "b"]),
+        ("<p>a</p><object data=x><param name=y><p>b</p>", ["a", "b"]),
+        ("<p>a</p><template><p>b</p>", ["a", "b"]),
+        ("<p>a</p><script>b", ["a"]),
+    ],
+)
+def test_reader_skips_only_raw_text_to_the_end(page, runs):
+    assert [text for _, text in dom.read(page).runs] == runs
