@@ -29,24 +29,30 @@ def conversations(turns: DataFrame, key: list[str]) -> DataFrame:
     return turns.groupBy(*key).agg(F.sort_array(F.collect_list(one)).alias("turns"))
 
 
-def swapped_answers(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
+def swapped_answers(turns: DataFrame, id_col: str = "conv_id", unpaired: bool = False) -> DataFrame:
     """Pairs from single conversations: the rejected side ends with the answer of a neighbour.
 
     The last trained turn of a conversation is replaced by that of its
     neighbour, the conversation with the other parity of the same half id.
-    Conversations without an answer, or whose neighbour has none, give no pair.
+    Conversations without an answer give no pair. Those whose neighbour has
+    none, or is missing, and those without an id give none either unless
+    ``unpaired`` is set: then their rejected side ends before the answer, so
+    its completion is empty. The turns without an id are one conversation.
     One row per conversation: ``(pair_id, chosen, rejected)``.
     """
     whole = conversations(turns.select(F.col(id_col).alias("pair_id"), "turn", "role", "text"), ["pair_id"])
     place = F.array_position(F.reverse(F.transform("turns", lambda t: t["role"] == TRAINED_ROLE)), True)
-    placed = whole.where("pair_id is not null").withColumn("last", (F.size("turns") - place).cast("int")).where(place > 0)
-    answers = placed.select(
+    identified = whole if unpaired else whole.where("pair_id is not null")
+    placed = identified.withColumn("last", (F.size("turns") - place).cast("int")).where(place > 0)
+    answers = placed.where("pair_id is not null").select(
         F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.get("turns", F.col("last"))["text"].alias("other")
     )
     replaced = F.transform(
         "turns", lambda t, i: F.when(i == F.col("last"), t.withField("text", F.col("other"))).otherwise(t)
     )
-    return placed.join(answers, "pair_id").select(
+    if unpaired:
+        replaced = F.when(F.col("other").isNull(), F.slice("turns", F.lit(1), F.col("last"))).otherwise(replaced)
+    return placed.join(answers, "pair_id", "left" if unpaired else "inner").select(
         "pair_id", F.col("turns").alias("chosen"), replaced.alias("rejected")
     )
 

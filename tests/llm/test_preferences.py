@@ -45,3 +45,16 @@ def test_native_plan(spark, sf_dir):
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     plan = preferences.format_pairs(preferences.swapped_answers(turns))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_answered_conversation_gives_a_row_on_demand(spark):
+    rows = [(2 * i, n, role, f"{role} {i}") for i in range(20) for n, role in enumerate(("user", "assistant", "user"))]
+    rows += [(1, 0, "assistant", "a1"), (3, 0, "user", "no answer"), (None, 0, "user", "q"), (None, 1, "assistant", "n")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r["pair_id"]: r for r in preferences.format_pairs(preferences.swapped_answers(turns, unpaired=True)).collect()}
+    assert set(out) == {*range(0, 40, 2), 1, None}
+    assert "a1" in out[0]["rejected"] and "assistant 0" in out[1]["rejected"]
+    for i in (2, 38, None):
+        r = out[i]
+        assert r["rejected"] == "" and list(r["rejected_mask"]) == [] and r["differs"] and r["n_prompt_turns"] == 1
+        assert trained(r["chosen"], r["chosen_mask"]).startswith("n" if i is None else f"assistant {i // 2}")
