@@ -29,8 +29,6 @@ END_ID = 0
 GROUP = 20_000
 # Bins that a group passes on to the next round: its emptiest.
 PASSED_ON = 32
-# Emptiest bins looked at for two documents against one.
-DONORS = 24
 
 PIECES = T.StructType(
     [
@@ -75,6 +73,35 @@ def pieces(
     return arrow.flat_map(source, run, PIECES)
 
 
+class Index:
+    """Which bins hold a value; the values that are held stand as bits of a number."""
+
+    def __init__(self):
+        self.bins: dict[int, set[int]] = defaultdict(set)
+        self.values: dict[int, list[int]] = {}
+        self.present = 0
+
+    def add(self, b: int, values: list[int]) -> None:
+        self.values[b] = values
+        for value in values:
+            self.bins[value].add(b)
+            self.present |= 1 << value
+
+    def forget(self, b: int) -> None:
+        for value in self.values.pop(b, ()):
+            held = self.bins[value]
+            held.discard(b)
+            if not held:
+                self.present &= ~(1 << value)
+
+    def largest(self, limit: int) -> int:
+        """The largest value up to a limit, 0 if there is none."""
+        return max((self.present & ((2 << limit) - 1)).bit_length() - 1, 0)
+
+    def holder(self, value: int) -> int:
+        return next(iter(self.bins[value]))
+
+
 class Bins:
     """Bins of one group: sizes per bin, improved in place."""
 
@@ -123,66 +150,58 @@ class Bins:
         full: what moves up raises the sum of squares.
         """
         order = sorted((b for b in range(len(self.fill)) if self.fill[b] < self.length), key=lambda b: -self.fill[b])
-        holders: dict[int, set[int]] = defaultdict(set)
-        present = 0
-        for b in order:
-            for size in self.items[b]:
-                holders[size].add(b)
-                present |= 1 << size
+        # who holds a piece of a size, and two pieces of a sum
+        holders, pairs = Index(), Index()
 
-        def forget(b: int, sizes) -> None:
-            nonlocal present
-            for size in sizes:
-                holders[size].discard(b)
-                if not holders[size]:
-                    present &= ~(1 << size)
-
-        for rank, target in enumerate(order):
-            forget(target, list(self.items[target]))
-            donors = order[rank + 1 :]
-            while self.fill[target] < self.length:
-                step = self._best_step(target, present, holders, donors)
+        def offer(b: int) -> None:
+            holders.add(b, list(self.items[b]))
+            pairs.add(b, self._pair_sums(b))
+
+        for b in order:
+            offer(b)
+        for target in order:
+            holders.forget(target)
+            pairs.forget(target)
+            while 0 < self.fill[target] < self.length:
+                step = self._best_step(target, holders, pairs)
                 if not step:
                     break
                 source, given, taken = step
-                forget(source, list(self.items[source]))
+                holders.forget(source)
+                pairs.forget(source)
                 self._shift(source, target, given, taken)
-                for size in self.items[source]:
-                    holders[size].add(source)
-                    present |= 1 << size
+                offer(source)
         kept = [b for b in range(len(self.fill)) if self.fill[b]]
         self.items, self.fill = [self.items[b] for b in kept], [self.fill[b] for b in kept]
 
-    def _best_step(self, target, present, holders, donors):
-        """The step that adds most to the target: a move, one for one, or two for one."""
+    def _pair_sums(self, b: int) -> list[int]:
+        """The sums of two pieces of a bin."""
+        counts, sums = self.items[b], 0
+        ones = sum(1 << size for size in counts)
+        for size, n in counts.items():
+            sums |= (ones if n > 1 else ones & ~(1 << size)) << size
+        return [at for at, bit in enumerate(bin(sums)[:1:-1]) if bit == "1"]
+
+    def _best_step(self, target, holders, pairs):
+        """The step that adds most to the target: a move, one for one, or two for one, of all bins that are still to be served."""
         gap = self.length - self.fill[target]
-        best, found = 0, None
-        low = present & ((2 << gap) - 1)
-        if low:
-            best = low.bit_length() - 1
-            found = (next(iter(holders[best])), (best,), ())
+        best = holders.largest(gap)
+        found = (holders.holder(best), (best,), ()) if best else None
         for own in self.items[target]:
             if best == gap:
                 return found
-            low = present & ((2 << (own + gap)) - 1)
-            size = low.bit_length() - 1
+            size = holders.largest(own + gap)
             if size - own > best:
-                best, found = size - own, (next(iter(holders[size])), (size,), (own,))
-        if best == gap:
-            return found
-        for source in donors[-DONORS:]:
-            counts = self.items[source]
-            ones = sum(1 << s for s in counts)
-            for first in counts:
-                others = ones if counts[first] > 1 else ones & ~(1 << first)
-                for own in self.items[target]:
-                    room = own + gap - first
-                    low = others & ((2 << room) - 1) if room > 0 else 0
-                    gain = first + low.bit_length() - 1 - own
-                    if low and gain > best:
-                        best, found = gain, (source, (first, low.bit_length() - 1), (own,))
-                if best == gap:
-                    return found
+                best, found = size - own, (holders.holder(size), (size,), (own,))
+        for own in self.items[target]:
+            if best == gap:
+                return found
+            total = pairs.largest(own + gap)
+            if total - own > best:
+                source = min(pairs.bins[total], key=self.fill.__getitem__)
+                counts = self.items[source]
+                first = next(s for s in counts if counts.get(total - s, 0) > (total == 2 * s))
+                best, found = total - own, (source, (first, total - first), (own,))
         return found
 
 

@@ -156,3 +156,14 @@ def test_segment_tree_finds_the_smallest_capacity():
             assert (found and found[0]) == (min(fitting) if fitting else None)
             if found:
                 there.remove(found[0])
+
+
+def test_two_for_one_looks_at_every_bin():
+    bins = packing.Bins([1], 100)
+    # the pairs that fill the first bin lie before thirty emptier bins that have none
+    bins.items = [Counter({60: 1, 30: 1}), Counter({45: 1, 25: 1, 15: 1})] + [Counter({45: 1}) for _ in range(30)]
+    bins.fill = [sum(size * n for size, n in counts.items()) for counts in bins.items]
+    before = sum((Counter(counts) for counts in bins.items), Counter())
+    bins.improve()
+    assert max(bins.fill) == 100
+    assert sum((Counter(counts) for counts in bins.items), Counter()) == before
