@@ -77,41 +77,67 @@ def centroids(vectors_: DataFrame, vector: str = "embedding", label: str = "labe
     return means.groupBy("label").agg(F.transform(ordered, lambda e: e["m"]).alias("centroid"))
 
 
-# Largest centroid table that is sent to every task.
+# Most bytes of centroids that are sent to every task at once.
 CENTROID_BYTES = 64 << 20
 
 
 def nearest_centroid(
-    rows: DataFrame, centers: DataFrame, vector: str = "embedding", name: str = "predicted_id"
+    rows: DataFrame, centers: DataFrame, vector: str = "embedding", name: str = "predicted_id", limit: int = CENTROID_BYTES
 ) -> DataFrame:
     """Label of the closest centroid; the lowest label wins a tie, a null vector has none.
 
     A row's own length is the same for all centroids, so ``|c|^2 - 2 v.c`` ranks
     them: one matrix product for each Arrow batch. Rows are neither joined nor
-    shuffled. The centroids, classes x dimensions numbers, go to every task;
-    a table beyond ``CENTROID_BYTES`` is refused.
+    shuffled. The centroids, classes x dimensions numbers, go to every task in
+    blocks of labels of ``limit`` bytes, one centroid at least. Beyond one block
+    the rows are stored after each with their best label so far, so that the
+    driver holds one block at a time.
     """
     stored = stage(centers.select("label", "centroid"), "centroids")
-    size = stored.agg(F.sum(F.size("centroid") * 8)).first()[0] or 0
-    if size > CENTROID_BYTES:
-        raise ValueError(f"centroids take {size} bytes, more than {CENTROID_BYTES}")
-    known = sorted((r["label"], r["centroid"]) for r in stored.collect())
+    sizes = sorted((r["label"], r["n"]) for r in stored.select("label", (F.size("centroid") * 8).alias("n")).collect())
+    blocks: list[list] = [[]]
+    held = 0
+    for label, size in sizes:
+        if blocks[-1] and held + size > limit:
+            blocks.append([])
+            held = 0
+        blocks[-1].append(label)
+        held += size
+    out, low = rows.drop(name), "_low"
+    for number, block in enumerate(blocks):
+        part = stored.where(F.col("label").between(block[0], block[-1])) if len(blocks) > 1 else stored
+        out = _nearest_of(out, sorted((r["label"], r["centroid"]) for r in part.collect()), vector, name, low, number)
+        if number < len(blocks) - 1:
+            out = stage(out, "nearest")
+    return out.drop(low)
+
+
+def _nearest_of(rows: DataFrame, known: list[tuple], vector: str, name: str, low: str, number: int) -> DataFrame:
+    """Set label and rank value of the closest of these centroids where it is closer than the one the row has."""
     labels = np.array([label for label, _ in known])
     matrix = np.array([center for _, center in known], dtype=float)
     norms = (matrix**2).sum(axis=1)
-    out = rows.drop(name)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
+    kept = rows.drop(name, low) if number == 0 else rows
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name not in (name, low)]
+    schema = ", ".join([*fields, f"`{name}` int", f"`{low}` double"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = pd.Series(pd.NA, index=batch.index, dtype="Int32")
+            found = pd.Series(pd.NA, index=batch.index, dtype="Int32") if number == 0 else batch[name].astype("Int32")
+            value = pd.Series(np.inf, index=batch.index) if number == 0 else batch[low]
             there = batch[vector].notna()
             if there.any() and len(labels):
                 points = np.stack(batch.loc[there, vector]).astype(float)
-                found[there] = labels[(norms - 2 * points @ matrix.T).argmin(axis=1)]
-            yield batch.assign(**{name: found})
-
-    return out.mapInPandas(run, f"{schema}, `{name}` int")
+                ranks = norms - 2 * points @ matrix.T
+                at = ranks.argmin(axis=1)
+                least = ranks[np.arange(len(at)), at]
+                closer = least < value[there].to_numpy() if number else np.ones(len(at), bool)
+                places = np.flatnonzero(there.to_numpy())[closer]
+                found.iloc[places] = labels[at[closer]]
+                value.iloc[places] = least[closer]
+            yield batch.assign(**{name: found, low: value})
+
+    return kept.mapInPandas(run, schema)
 
 
 def routed(log: DataFrame, at: str = "ts", row_id: str = "event_id") -> DataFrame:

@@ -227,3 +227,20 @@ def test_nearest_centroid_ties_go_to_the_lowest_label(spark):
     assert {r.id: r.predicted_id for r in got} == {1: 3, 2: 2, 3: 2, 4: 3}
     means = {r.label: r.centroid for r in scoring.centroids(df).collect()}
     assert means == {3: [0.0, 0.625], 2: [0.0, -0.5]}
+
+
+def test_centroids_beyond_one_block(spark):
+    import random
+
+    rng = random.Random(4)
+    vector = lambda: [float(rng.randint(-3, 3)) for _ in range(4)]
+    points = [(i, vector() if i % 9 else None) for i in range(60)]
+    known = [(label, vector()) for label in range(25)]
+    rows = spark.createDataFrame(points, "vec_id long, embedding array<double>")
+    centers = spark.createDataFrame(known[::-1], "label int, centroid array<double>")
+    distance = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+    wanted = {i: v and min(known, key=lambda c: (distance(v, c[1]), c[0]))[0] for i, v in points}
+    for limit in (1, 8 * 4 * 10, 1 << 20):
+        out = scoring.nearest_centroid(rows, centers, limit=limit)
+        assert out.columns == ["vec_id", "embedding", "predicted_id"]
+        assert {r["vec_id"]: r["predicted_id"] for r in out.collect()} == wanted
