@@ -151,6 +151,68 @@ select pair_id, cast(n as integer) as n_prompt_turns, {_TEXT.format("c[1:n]")} a
 from cut
 """
 
+OP11 = r"""
+with texts as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t from documents),
+split as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w, min(doc_id) over (partition by t) as first from texts),
+said as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels group by doc_id),
+judged as (
+  select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+    (case when len(w) < 200 then 1 else 0 end) + (case when 100 * len(list_distinct(w)) < 50 * len(w) then 2 else 0 end)
+    + (case when 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) then 4 else 0 end)
+    + (case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end) + (case when doc_id > first then 16 else 0 end) as bits
+  from split left join said using (doc_id)),
+counted as (select part, bits, count(*) as n, sum(good) as good, sum(toxic) as toxic from judged group by part, bits),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
+orders as (
+  select a.l || b.l || c.l || d.l || e.l as filter_order
+  from letters a join letters b on b.l <> a.l join letters c on c.l not in (a.l, b.l)
+  join letters d on d.l not in (a.l, b.l, c.l) join letters e on e.l not in (a.l, b.l, c.l, d.l)),
+steps as (
+  select filter_order, step, 1 << (instr('ABCDE', filter_order[step]) - 1) as bit,
+    coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (instr('ABCDE', filter_order[i]) - 1))), 0)::integer as past
+  from (select filter_order, unnest(range(1, 6))::integer as step from orders)),
+reported as (
+  select part, filter_order, step, bit,
+    coalesce(sum(n) filter (where bits & (past | bit) = 0), 0) as kept,
+    coalesce(sum(n) filter (where bits & past = 0 and bits & bit <> 0), 0) as removed,
+    coalesce(sum(n) filter (where bits & past <> 0 and bits & bit <> 0), 0) as redundant,
+    coalesce(sum(n) filter (where bits = bit), 0) as unique_fails,
+    coalesce(sum(good) filter (where bits & past = 0 and bits & bit <> 0), 0) as good_lost,
+    coalesce(sum(toxic) filter (where bits & past = 0 and bits & bit <> 0), 0) as toxic_lost
+  from counted cross join steps group by all)
+select part, filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+  unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+  (sum(removed) over (partition by part, bit))::bigint as shapley
+from reported
+"""
+
+_SEARCH_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP12 = rf"""
+with docs as (select row_number() over () as r, doc_id, {_SEARCH_WORDS} as w from documents where text is not null),
+sized as (select r, doc_id, w, len(w) as n from docs where len(w) > 0),
+whole as (select count(*) as n_docs, sum(n)::bigint as n_words from sized),
+held as (select r, term, count(*) as tf from (select r, unnest(w) as term from sized) group by r, term),
+items as (select row_number() over () as i, item_id, list_distinct({_SEARCH_WORDS}) as w from benchmark where text is not null),
+asked as (select i, item_id, unnest(w) as term from items),
+weighted as (
+  select term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::bigint as weight
+  from held cross join whole where term in (select term from asked) group by term),
+scored as (
+  select i, item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_words))))::bigint as score
+  from asked join held using (term) join weighted using (term) join sized using (r) cross join whole
+  group by i, item_id, r, doc_id),
+ranked as (
+  select item_id, (row_number() over (partition by i order by score desc, doc_id nulls last))::integer as rank, doc_id, score
+  from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": OP1, "op6_preference_formatting": OP6, "op3_decontamination": OP3, "op4_line_dedup": OP4, "op5_quality_rules": OP5}
+    return {
+        "op1_license_scan": OP1, "op6_preference_formatting": OP6, "op3_decontamination": OP3, "op4_line_dedup": OP4, "op5_quality_rules": OP5,
+        "op11_filter_interactions": OP11, "op12_lexical_search": OP12,
+    }

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from perennial.llm import (
     decontaminate,
     extraction,
+    interactions,
+    lexical,
     licenses,
     lines,
     matrices,
@@ -18,6 +20,7 @@ from perennial.llm import (
     preferences,
     quality,
     repeats,
+    sharding,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +136,32 @@ def op10_token_matrices(spark, sf_dir):
         F.crc32("ids").alias("ids_crc32"),
         F.crc32("positions").alias("positions_crc32"),
     )
+
+
+@query
+def op11_filter_interactions(spark, sf_dir):
+    return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_lexical_search(spark, sf_dir):
+    found = lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+
+
+@query
+def op13_sharding(spark, sf_dir):
+    body = F.coalesce("text", F.lit(""))
+    sized = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32")
+    )
+    placed = sharding.shuffle(sized, ["doc_id", "text_crc32", "size"])
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )

@@ -7,7 +7,7 @@ import corpus_pipeline
 from perennial.llm import oracles, queries
 from tests.llm import brute
 
-TABLES = "documents pages benchmark conversations".split()
+TABLES = "documents pages benchmark conversations labels".split()
 
 
 @pytest.mark.parametrize("key", sorted(oracles.oracle_sql()))
@@ -24,7 +24,7 @@ def test_query_matches_its_sql(spark, sf_dir, key):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 14))
 
 
 def test_stages_do_their_work(spark, sf_dir):
