@@ -66,6 +66,25 @@ def class_distribution(counted: DataFrame, model_version: str, run_timestamp: st
     )
 
 
+def judged(images: DataFrame, labels: DataFrame, label_map: DataFrame) -> DataFrame:
+    """Every image once, with its class or the reason why it gives no example.
+
+    ``path, label_path, filename, class_name, label_id, reason``; the reason is
+    null for images that are examples. One pass serves both outcomes, so a
+    sampled input is drawn once. ``label_map`` should be a stored table.
+    """
+    known = label_map.select(F.col("class_name").alias("api_label"), "label_id", F.lit(True).alias("known"))
+    paired = pair(images, labels, how="left").join(known, "api_label", "left")
+    return paired.select(
+        "path",
+        "label_path",
+        paths.file_stem(F.col("path")).alias("filename"),
+        F.col("api_label").alias("class_name"),
+        F.col("label_id").cast("bigint").alias("label"),
+        _reason().alias("reason"),
+    )
+
+
 def quarantine(images: DataFrame, labels: DataFrame, label_map: DataFrame) -> DataFrame:
     """Rows that yield no example, with the reason, one row per image."""
     known = label_map.select(F.col("class_name").alias("api_label"), F.lit(True).alias("known"))

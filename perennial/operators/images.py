@@ -19,7 +19,10 @@ CONTRAST = 200
 
 
 def to_rgb(images: DataFrame) -> DataFrame:
-    """Replace ``data`` (gray, BGR or BGRA) by ``image`` in RGB order, three channels."""
+    """Replace ``data`` (gray, BGR or BGRA) by ``image`` in RGB order, three channels.
+
+    A row that could not be decoded (no channels) gets no image.
+    """
     others = [f for f in images.schema.fields if f.name not in ("data", "n_channels")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
 
@@ -27,12 +30,14 @@ def to_rgb(images: DataFrame) -> DataFrame:
         for batch in batches:
             pixels = pd.Series(index=batch.index, dtype=object)
             # images of one number of channels and bytes are reordered together
-            for (channels, _), same in batch.groupby([batch["n_channels"], batch["data"].map(len)]):
+            there = batch[batch["n_channels"] > 0]
+            for (channels, _), same in there.groupby([there["n_channels"], there["data"].map(len)]):
                 flat = np.frombuffer(b"".join(same["data"]), np.uint8).reshape(len(same), -1, channels)
                 ordered = np.repeat(flat, 3, axis=2) if channels == 1 else flat[:, :, 2::-1]
                 pixels[same.index] = [image.tobytes() for image in ordered]
             out = batch.drop(columns=["data", "n_channels"])
-            yield out.assign(n_channels=np.int32(3), image=pixels)
+            known = pd.Series(3, index=batch.index, dtype="Int32").where(batch["n_channels"] > 0)
+            yield out.assign(n_channels=known, image=pixels.where(known.notna(), None))
 
     return images.mapInPandas(convert, f"{schema}, n_channels int, image binary")
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perennial import schemas
 from perennial.functions import matching, paths, text, vectors, versions
-from perennial.functions.binding import let
 from perennial.operators import (
     confusion,
     curation,
@@ -23,8 +22,8 @@ from perennial.operators import (
     vocabulary,
 )
 from perennial.plans import jobs, views
-from perennial.session import fresh_path, stage
-from perennial.sources import objects, sinks, tables
+from perennial.session import delete_on_exit, fresh_path, stage
+from perennial.sources import object_store, objects, sinks, tables
 from perennial.streaming import metrics as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -772,23 +771,6 @@ def stream_running_accuracy(spark, sf_dir):
 # --- images ---------------------------------------------------------------------------
 
 
-def _as_image(vector) -> Column:
-    """All 64 numbers, stretched to bytes, as the pixels of an 8 x 8 gray image."""
-
-    def pixels(v: Column) -> Column:
-        span = F.struct(F.array_min(v).alias("low"), (F.array_max(v) - F.array_min(v)).alias("width"))
-
-        def hexed(s: Column) -> Column:
-            levels = F.transform(
-                v, lambda x: F.floor((x - s["low"]) / s["width"] * 255).cast("int")
-            )
-            return F.transform(levels, lambda n: F.lpad(F.hex(n), 2, "0"))
-
-        return F.unhex(F.array_join(let(span, hexed), ""))
-
-    return let(F.transform(vector, lambda x: x.cast("double")), pixels)
-
-
 @query
 def augment_pixels(spark, sf_dir):
     """Embeddings seen as small images, augmented; the pixels as hexadecimal text."""
@@ -797,6 +779,48 @@ def augment_pixels(spark, sf_dir):
         F.lit(8).alias("height"),
         F.lit(8).alias("width"),
         F.lit(1).alias("n_channels"),
-        _as_image("embedding").alias("image"),
+        views.as_image(F.col("embedding")).alias("image"),
     )
     return images.augment(rows, "vec_id", 42).withColumn("image", F.lower(F.hex("image")))
+
+
+# --- stored objects -------------------------------------------------------------------------
+
+
+def _stored_tree(spark, sf_dir) -> str:
+    """The object tree as single objects below the shared folder."""
+    root = fresh_path(spark, "object-tree")
+    delete_on_exit(spark, root)
+    object_store.write_objects(views.stored_objects(spark, sf_dir), root)
+    return root
+
+
+@query
+def list_stored_objects(spark, sf_dir):
+    """Images of the current and earlier versions, listed by the tasks from a stored tree."""
+    root = _stored_tree(spark, sf_dir)
+    listed = objects.list_objects(spark, root, "v3_*", (paths.INCORRECT,))
+    current = replay.current_images(listed, CURRENT).withColumn("kind", F.lit("current"))
+    earlier = replay.earlier_images(listed, CURRENT).withColumn("kind", F.lit("earlier"))
+    return current.unionByName(earlier).select("path", "kind")
+
+
+@query
+def discover_objects(spark, sf_dir):
+    """Everything a glob finds in one version's folders, with sizes."""
+    found = objects.discover(spark, f"{_stored_tree(spark, sf_dir)}/v3_[3-4]/*", "*[gn]")
+    return found.select(objects.relative(F.col("path")).alias("path"), "length")
+
+
+@query
+def preprocess_job(spark, sf_dir):
+    """The whole job from stored objects: examples with their pixels, and the quarantine."""
+    root = _stored_tree(spark, sf_dir)
+    statistics = fresh_path(spark, "distribution")
+    done = jobs.preprocess(spark, root, CURRENT, RUN_AT, statistics)
+    delete_on_exit(spark, statistics)
+    examples = tables.read_stored_examples(spark, done.examples).withColumn("reason", F.lit("none"))
+    lost = tables.read_quarantine(spark, done.quarantine).withColumn("image", F.lit(None).cast("binary"))
+    columns = ["path", "reason", "filename", "class_name", "label", "image"]
+    rows = examples.select(*columns).unionByName(lost.select(*columns))
+    return rows.withColumn("image", F.lower(F.hex("image")))

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from perennial.operators import (
     vocabulary,
 )
 from perennial.operators.ranking import DEFAULT_SEED
-from perennial.session import stage
+from perennial.session import delete_on_exit, stage
 from perennial.sources import objects, sinks, tables
 
 
@@ -43,16 +43,16 @@ def build_training_set(
     """
     outcomes = tuple(outcomes)
     chosen = replay.training_paths(inventory, version, seed=seed, outcomes=outcomes)
-    owner = paths.version_of(F.col("label_path"))
-    candidates = labels.filter(
-        ((owner == version) | versions.is_earlier(owner, version))
-        & paths.outcome_of(F.col("label_path")).isin(*outcomes)
-    )
+    candidates = _candidates(labels, version, outcomes)
     return curation.examples(curation.pair(chosen, candidates), label_map).select(
         "path", "origin", "filename", "class_name", "label_id"
     )
 
 
+# Images whose paths the driver holds at once.
+BLOCK_PATHS = 50_000
+
+
 @dataclass
 class Preprocessed:
     examples: str
@@ -68,13 +68,17 @@ def preprocess(
     distribution_path: str,
     seed: int = DEFAULT_SEED,
     outcomes: Iterable[str] = (paths.INCORRECT,),
+    block: int = BLOCK_PATHS,
 ) -> Preprocessed:
     """List, sample, pair, decode and store one version's training set.
 
-    Writes the examples, their number, the class statistics, and the images
-    that gave no example with the reason. Number and statistics are read from
-    the stored examples, one label column, instead of keeping decoded images in
-    memory. Images of the version's and the replayed folders only are decoded.
+    The inventory is sampled once: every chosen image gets its class or the
+    reason why it has none, in one narrow table. Only images with a class are
+    opened, ``block`` of them at a time, so the driver holds the paths of one
+    block. All rows go to one table by outcome, a broken image as
+    ``bad_image``; its folders become the examples and the quarantine when all
+    blocks are there. Number and statistics are read from the stored examples,
+    one label column, instead of keeping decoded images in memory.
     """
     outcomes = tuple(outcomes)
     major, _ = versions.job_version(version)
@@ -84,37 +88,20 @@ def preprocess(
     label_map = tables.read_label_map(spark, f"{root}/processed/metadata/label_map.json")
     inventory = objects.list_objects(spark, root, family, outcomes, "*" + paths.IMAGE_SUFFIX)
     labels = objects.read_label_files(spark, root, family, outcomes)
-    wanted = build_training_set(inventory, labels, label_map, version, seed, outcomes)
-    # Narrow and settled before any pixel moves: its size decides how pixels are joined.
-    settled = stage(wanted, "training-set")
-    # one row for each version: its folders are all that is read
-    folders = [r[0] for r in settled.select(paths.version_of(F.col("path"))).distinct().collect()]
-    found = [objects.read_images(spark, root, folder, outcomes) for folder in sorted(folders) or [version]]
-    decoded = images.to_rgb(reduce(DataFrame.unionByName, found).join(settled, "path"))
-    stored = decoded.select(
-        "path",
-        "filename",
-        "class_name",
-        F.col("label_id").cast("bigint").alias("label"),
-        "image",
-        "height",
-        "width",
-        "n_channels",
-    )
-    data = sinks.write_examples(stored, root, version)
-    # what was settled but could not be decoded, and what never got that far
-    kept = tables.read_examples(spark, data, ["path"]) if not settled.isEmpty() else settled.select("path")
-    undecoded = settled.join(kept, "path", "left_anti").select(
-        "path",
-        F.lit(None).cast("string").alias("label_path"),
-        F.col("class_name").alias("api_label"),
-        F.lit("bad_image").alias("reason"),
-    )
-    chosen = replay.training_paths(inventory, version, seed=seed, outcomes=outcomes)
-    lost = curation.quarantine(chosen, labels, label_map).unionByName(undecoded)
-    quarantined = sinks.write_quarantine(lost, root, version)
+    chosen = replay.training_paths(stage(inventory, "inventory"), version, seed=seed, outcomes=outcomes)
+    judged = stage(curation.judged(chosen, _candidates(labels, version, outcomes), label_map), "judged-images")
+    no_pixels = {n: F.lit(None).cast(kind) for n, kind in (("height", "int"), ("width", "int"), ("n_channels", "int"), ("image", "binary"))}
+    staged = f"{root}/processed/{version}/_staged-{uuid.uuid4().hex}"
+    delete_on_exit(spark, staged)
+    sinks.write_tagged(judged.where("reason is not null").withColumns(no_pixels), staged)
+    settled = judged.where("reason is null").drop("reason")
+    blocks = -(-settled.count() // block)
+    for number in range(blocks):
+        part = settled.where(F.pmod(F.xxhash64("path"), F.lit(blocks)) == number)
+        sinks.write_tagged(_with_pixels(spark, root, part), staged)
+    data, quarantined = sinks.publish_tagged(spark, staged, root, version)
     counted = (
-        tables.read_examples(spark, data, ["class_name", "label"])
+        tables.read_stored_examples(spark, data, ["class_name", "label"])
         .groupBy("class_name", F.col("label").alias("label_id"))
         .agg(F.count("*").alias("example_count"))
     )
@@ -125,6 +112,24 @@ def preprocess(
     return Preprocessed(data, metadata, quarantined)
 
 
+def _candidates(labels: DataFrame, version: str, outcomes: tuple[str, ...]) -> DataFrame:
+    """Label documents that images of the version or its replay can have."""
+    owner = paths.version_of(F.col("label_path"))
+    return labels.filter(
+        ((owner == version) | versions.is_earlier(owner, version))
+        & paths.outcome_of(F.col("label_path")).isin(*outcomes)
+    )
+
+
+def _with_pixels(spark: SparkSession, root: str, part: DataFrame) -> DataFrame:
+    """Settled images with their pixels; one without gets the reason ``bad_image``."""
+    wanted = [r["path"] for r in part.select("path").collect()]
+    decoded = images.to_rgb(objects.read_images_at(spark, root, wanted))
+    return part.join(decoded, "path", "left").withColumn(
+        "reason", F.when(F.col("image").isNull(), F.lit("bad_image"))
+    )
+
+
 def training_input(
     spark: SparkSession,
     examples_path: str,
@@ -137,11 +142,15 @@ def training_input(
     """Batched training rows, validation rows and class weights of a stored set.
 
     Rows carry the key only; pixels are joined where they are consumed. With a
-    ``shape``, images of other shapes are left out.
+    ``shape``, images of other shapes go to the quarantine beside the examples,
+    as ``bad_shape``. A run with another shape replaces them.
     """
     examples = tables.read_examples(spark, examples_path)
     if shape:
-        examples, _ = images.split_by_shape(examples, shape)
+        examples, misshapen = images.split_by_shape(examples, shape)
+        sinks.write_quarantine(
+            misshapen.withColumn("label_path", F.lit(None)), f"{examples_path.rstrip('/').rsplit('/', 1)[0]}/quarantine"
+        )
     examples = examples.select("path", "label")
     label_map = training.require_vocabulary(tables.read_label_map(spark, label_map_path))
     parted = training.split(examples, "path", validation_share, seed)

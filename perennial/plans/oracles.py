@@ -687,4 +687,37 @@ def oracle_sql() -> dict[str, str]:
  from prediction_metrics group by model_version""",
         "prediction_metrics",
     )
+    # stored objects
+    add(
+        "list_stored_objects",
+        """select path, case when version = 'v3_10' then 'current' else 'earlier' end as kind from wrong_images
+ where version = 'v3_10' or cast(split_part(version,'_',2) as int) < 10""",
+        "wrong_images",
+    )
+    add(
+        "discover_objects",
+        """select path, case when doc_id % 17 = 0 then 8 else 246 end::bigint as length from image_objects
+ where version in ('v3_3', 'v3_4')
+ union all select label_path, octet_length(value::blob)::bigint from label_objects where label_path like 'v3\\_3/%' escape '\\'
+  or label_path like 'v3\\_4/%' escape '\\'""",
+        "image_objects",
+        "label_objects",
+    )
+    add(
+        "preprocess_job",
+        """select path, coalesce(reason, case when doc_id % 17 = 0 then 'bad_image' else 'none' end) as reason,
+ split_part(split_part(path,'/',3),'.',1) as filename, api_label as class_name, label_id::bigint as label,
+ case when reason is null and doc_id % 17 <> 0 then (select array_to_string(list_transform(v, lambda x:
+   repeat(printf('%02x', cast(floor((x - list_min(v)) / (list_max(v) - list_min(v)) * 255) as int)), 3)), '')
+  from (select embedding::double[] as v from embeddings where vec_id = doc_id % 500) e) end as image
+from (select f.path, w.doc_id, api_label, label_id, case when label_path is null then 'missing_label'
+   when not json_valid(value) then 'bad_json' when api_label is null then 'no_api_label' when label_id is null then 'unknown_label' end as reason
+  from training_files f join wrong_images w on w.path = f.path
+  left join (select *, case when json_valid(value) then value->>'$.api_label' end as api_label from label_objects) l
+   on l.label_path = replace(f.path, '.jpg', '_labels.json')
+  left join earlier_label_map m on m.class_name = l.api_label) t""",
+        "training_files",
+        "label_objects",
+        "earlier_label_map",
+    )
     return sql

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -179,3 +179,49 @@ def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     by = ["model_version", "ts"]
     return confusion.pack(confusion.build(log, by), by)
+
+
+def _bitmap(vector: Column) -> Column:
+    """A gray 8 x 8 image in the uncompressed bitmap format, from 64 numbers."""
+    # fixed values of the format: file header, then size 8 x 8, 24 bits a pixel, no compression
+    head = "424DF60000000000000036000000" "28000000" "08000000" "08000000" "01001800" "00000000" "C0000000" + "00" * 16
+    # rows come from the bottom up, three equal bytes for each pixel
+    rows = F.transform(F.sequence(F.lit(7), F.lit(0)), lambda r: F.substring(F.hex(vector), r * 16 + 1, F.lit(16)))
+    return F.unhex(F.concat(F.lit(head), F.regexp_replace(F.array_join(rows, ""), "(..)", "$1$1$1")))
+
+
+def as_image(vector: Column) -> Column:
+    """All 64 numbers, stretched to bytes, as the pixels of an 8 x 8 gray image."""
+
+    def pixels(v: Column) -> Column:
+        span = F.struct(F.array_min(v).alias("low"), (F.array_max(v) - F.array_min(v)).alias("width"))
+
+        def hexed(s: Column) -> Column:
+            levels = F.transform(v, lambda x: F.floor((x - s["low"]) / s["width"] * 255).cast("int"))
+            return F.transform(levels, lambda n: F.lpad(F.hex(n), 2, "0"))
+
+        return F.unhex(F.array_join(let(span, hexed), ""))
+
+    return let(F.transform(vector, lambda x: x.cast("double")), pixels)
+
+
+def stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The object tree with contents ``(path, content)``: images, label documents and the label map.
+
+    An image shows the embedding of its document's number modulo 500; every
+    17th is broken.
+    """
+    shown = table(spark, sf_dir, "embeddings").select("vec_id", _bitmap(as_image(F.col("embedding"))).alias("bitmap"))
+    pictures = image_objects(spark, sf_dir).withColumn("vec_id", F.col("doc_id") % 500).join(shown, "vec_id")
+    broken = F.lit("no image").cast("binary")
+    return (
+        pictures.select("path", F.when(F.col("doc_id") % 17 == 0, broken).otherwise(F.col("bitmap")).alias("content"))
+        .unionByName(
+            label_objects(spark, sf_dir).select(F.col("label_path").alias("path"), F.col("value").cast("binary").alias("content"))
+        )
+        .unionByName(
+            vocabulary.to_json(earlier_label_map(spark, sf_dir)).toDF("value").select(
+                F.lit("processed/metadata/label_map.json").alias("path"), F.col("value").cast("binary").alias("content")
+            )
+        )
+    )

@@ -33,6 +33,17 @@ TRAINING_EXAMPLE = T.StructType(
     ]
 )
 
+QUARANTINE = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("label_path", T.StringType()),
+        T.StructField("filename", T.StringType()),
+        T.StructField("class_name", T.StringType()),
+        T.StructField("label", T.LongType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+
 CLASS_DISTRIBUTION = T.StructType(
     [
         T.StructField("model_version", T.StringType(), False, {"comment": "version trained on the examples"}),

@@ -1,12 +1,13 @@
-"""Object trees ``root/{version}/{outcome}/...`` read through Spark's file sources.
+"""Object trees ``root/{version}/{outcome}/...``: listings, label documents and images.
 
-Spark's file index keeps one entry per file on the driver. For very large stores
-feed the jobs an inventory table with a ``path`` column instead; every operator
-takes such a DataFrame.
+Tasks list the objects (see ``object_store``); the driver holds folder names.
+Label documents and images are read through Spark's file sources, images for
+named paths only.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -14,8 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perennial.functions import paths
-
-_FILES = "path string, length bigint, modificationTime timestamp"
+from perennial.sources import object_store
 
 
 def relative(path: Column) -> Column:
@@ -30,22 +30,14 @@ def _unescaped(uri: Column) -> Column:
 
 def discover(spark: SparkSession, pattern: str, name_filter: str | None = None) -> DataFrame:
     """Files matched by a glob, searched below matched folders; empty when nothing matches."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if name_filter:
-        reader = reader.option("pathGlobFilter", name_filter)
-    try:
-        return reader.load(pattern).select("path", "length", "modificationTime")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _FILES)
+    return object_store.list_below(spark, pattern, name_filter)
 
 
 def glob_report(spark: SparkSession, pattern: str, preview: int = 30) -> tuple[int, list[str]]:
     """Number of matched files and the first few paths."""
     files = discover(spark, pattern).select("path")
     shown = [row.path for row in files.orderBy("path").limit(preview).collect()]
-    return files.count(), shown
+    return files.count() if len(shown) == preview else len(shown), shown
 
 
 def list_objects(
@@ -115,7 +107,7 @@ def read_images(
     family: str = "*",
     outcomes: Iterable[str] = (paths.INCORRECT,),
 ) -> DataFrame:
-    """Decoded images with their relative path; files that cannot be decoded are left out.
+    """Decoded images of whole folders with their relative path; files that cannot be decoded are left out.
 
     Pixels are in the source's own channel order, see ``operators.images``.
     """
@@ -134,7 +126,24 @@ def read_images(
                 raise
             part = spark.createDataFrame([], _IMAGE)
         found = part if found is None else found.unionByName(part)
-    return found.select(
+    return _decoded(found)
+
+
+def read_images_at(spark: SparkSession, root: str, wanted: list[str]) -> DataFrame:
+    """The images of these relative paths; one that cannot be decoded has a height of -1, an empty file no row.
+
+    Only these files are opened. The driver holds their paths, so callers pass
+    a bounded number at a time.
+    """
+    if not wanted:
+        return _decoded(spark.createDataFrame([], _IMAGE))
+    # names are plain text here, not patterns
+    plain = [f"{root}/" + re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in wanted]
+    return _decoded(spark.read.format("image").option("dropInvalid", False).load(plain).select("image.*"))
+
+
+def _decoded(rows: DataFrame) -> DataFrame:
+    return rows.select(
         relative(_unescaped(F.col("origin"))).alias("path"),
         F.col("height"),
         F.col("width"),

@@ -25,11 +25,42 @@ def write_dataset_size(size: DataFrame, root: str, version: str) -> str:
     return path
 
 
-def write_quarantine(rows: DataFrame, root: str, version: str) -> str:
-    """Images that gave no example, with the reason."""
-    path = f"{root}/processed/{version}/quarantine"
-    rows.write.mode("overwrite").parquet(path)
-    return path
+# Folder of rows without a reason in a tagged table: the examples.
+_NO_REASON = "none"
+
+
+def write_tagged(rows: DataFrame, staged: str, mode: str = "append") -> None:
+    """Rows with their ``reason`` (null for examples) in one pass, a folder for each outcome."""
+    tagged = rows.withColumn("reason", F.coalesce("reason", F.lit(_NO_REASON)))
+    tagged.write.mode(mode).partitionBy("reason").parquet(staged)
+
+
+def publish_tagged(spark: SparkSession, staged: str, root: str, version: str) -> tuple[str, str]:
+    """Put a finished tagged table in place: its examples, and the rest as the quarantine by reason.
+
+    Folders are renamed, nothing is written again; what stood there before goes.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    base = f"{root}/processed/{version}"
+    store = hadoop.Path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(hadoop.Path(f"{staged}/reason={_NO_REASON}"))
+    store.mkdirs(hadoop.Path(base))
+    for source, target in ((f"{staged}/reason={_NO_REASON}", f"{base}/data"), (staged, f"{base}/quarantine")):
+        store.delete(hadoop.Path(target), True)
+        if not store.rename(hadoop.Path(source), hadoop.Path(target)):
+            raise OSError(f"{source} could not be renamed to {target}")
+    return f"{base}/data", f"{base}/quarantine"
+
+
+def write_quarantine(rows: DataFrame, path: str) -> None:
+    """Put rows with a ``reason`` into a quarantine; rows of the same reasons are replaced, so a rerun adds nothing."""
+    stored = schemas.conform(rows, schemas.QUARANTINE)
+    (
+        stored.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("reason")
+        .parquet(path)
+    )
 
 
 def append_distribution(rows: DataFrame, path: str) -> None:

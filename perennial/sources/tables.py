@@ -35,18 +35,29 @@ def read_label_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_examples(
     spark: SparkSession, path: str, columns: Iterable[str] | None = None
 ) -> DataFrame:
-    """Training examples with the fixed schema, optionally a subset of its columns."""
+    """Training examples with the fixed schema, optionally a subset of its columns; none is an error."""
     try:
-        examples = spark.read.schema(schemas.TRAINING_EXAMPLE).parquet(path)
+        examples = read_stored_examples(spark, path, columns)
     except AnalysisException as error:
         if _missing(error):
             raise FileNotFoundError(f"no training examples at {path}") from error
         raise
     if examples.isEmpty():
         raise FileNotFoundError(f"no training examples at {path}")
+    return examples
+
+
+def read_stored_examples(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
+    """The same where a set may be empty."""
+    examples = spark.read.schema(schemas.TRAINING_EXAMPLE).parquet(path)
     return examples.select(*columns) if columns else examples
 
 
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Images that gave no example, with the reason; a filter on the reason reads its folder only."""
+    return spark.read.schema(schemas.QUARANTINE).parquet(path)
+
+
 def read_dataset_size(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.DATASET_SIZE).json(path)
 

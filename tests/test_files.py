@@ -12,7 +12,7 @@ from perennial import schemas
 from perennial.functions import paths
 from perennial.operators import images, replay, scoring
 from perennial.plans import jobs
-from perennial.sources import objects, sinks, tables
+from perennial.sources import object_store, objects, sinks, tables
 
 
 def png(width, height, rgb, alpha=None, gray=False):
@@ -77,6 +77,36 @@ def test_json_listing_and_cap(spark, tree, tmp_path):
     assert spark.read.text(str(tmp_path / "listing")).count() == 15
 
 
+def test_tasks_list_many_objects(spark, tmp_path):
+    for version in range(5):
+        folder = tmp_path / f"v3_{version}" / "incorrect_predictions"
+        (folder / "deep er").mkdir(parents=True)
+        for i in range(1990):
+            (folder / f"a+b {i}.jpg").touch()
+        for i in range(10):
+            (folder / "deep er" / f"{i}.jpg").write_bytes(b"x" * i)
+        (folder / ".hidden.jpg").touch()
+        (folder / "_SUCCESS").touch()
+    (tmp_path / "v4_1").mkdir()
+    listed = objects.list_objects(spark, str(tmp_path), "v3_*", ("incorrect_predictions",))
+    assert listed.count() == 10_000 and listed.select("path").distinct().count() == 10_000 - 5 * 10 + 10
+    plan = listed._jdf.queryExecution().toString()
+    assert "FileScan" not in plan and "InMemoryFileIndex" not in plan and listed.inputFiles() == []
+    some = objects.discover(spark, f"file://{tmp_path}/v3_{{1,2}}/*", "*7.jpg")
+    assert some.count() == 2 * (199 + 1)
+    assert some.agg(F.max("length")).first()[0] == 7
+    assert objects.discover(spark, str(tmp_path / "v3_1/incorrect_predictions/deep er/3.jpg")).count() == 1
+    assert objects.discover(spark, f"{tmp_path}/v4_*/x").count() == 0
+
+
+def test_written_objects_replace_their_like(spark, tmp_path):
+    rows = spark.createDataFrame([("v/a b.jpg", b"1"), ("v/w/c.json", b"22"), ("v/empty", b"")], "path string, content binary")
+    for _ in range(2):
+        object_store.write_objects(rows, str(tmp_path))
+    assert sorted(p.name for p in (tmp_path / "v").rglob("*") if p.is_file()) == ["a b.jpg", "c.json", "empty"]
+    assert (tmp_path / "v/w/c.json").read_bytes() == b"22"
+
+
 def test_glob_report(spark, tree):
     count, shown = objects.glob_report(spark, tree + "/v3_1/*", preview=3)
     assert count == 20
@@ -178,6 +208,47 @@ def test_preprocessing_job(spark, tree, tmp_path):
     assert tables.read_distribution(spark, stats).count() == 4
 
 
+def test_only_chosen_images_are_opened_and_chosen_once(spark, tree, tmp_path, monkeypatch):
+    opened, drawn = [], []
+    at, paths_of = objects.read_images_at, replay.training_paths
+    monkeypatch.setattr(objects, "read_images_at", lambda s, root, wanted: opened.append(wanted) or at(s, root, wanted))
+    monkeypatch.setattr(replay, "training_paths", lambda *a, **b: drawn.append(a) or paths_of(*a, **b))
+    done = jobs.preprocess(spark, tree, "v3_2", "2024-01-01 00:00:00", str(tmp_path / "cd"), block=2)
+    # the version's three images with a label and two of the ten older ones, in three blocks
+    assert len(drawn) == 1 and len(opened) == 3
+    wanted = [path for block in opened for path in block]
+    assert len(wanted) == len(set(wanted)) == 5 and sum(p.startswith("v3_1/") for p in wanted) == 2
+    assert tables.read_examples(spark, done.examples).count() == 4
+    assert [r.reason for r in tables.read_quarantine(spark, done.quarantine).orderBy("reason").collect()] == ["bad_image", "missing_label"]
+
+
+def test_images_with_names_like_patterns(spark, tmp_path):
+    names = ["v3_1/incorrect_predictions/" + n for n in ("a[b]*{c}?.jpg", "a\u00e9 b+c.jpg", "broken.jpg", "empty.jpg")]
+    rows = list(zip(names, (png(2, 2, (1, 2, 3)), png(2, 2, (1, 2, 3)), b"x", b"")))
+    object_store.write_objects(spark.createDataFrame(rows, "path string, content binary"), str(tmp_path))
+    found = {r.path: r.height for r in objects.read_images_at(spark, str(tmp_path), names).collect()}
+    assert found == dict(zip(names, (2, 2, -1)))
+    assert objects.read_images_at(spark, str(tmp_path), []).count() == 0
+
+
+def test_a_version_without_examples(spark, tree, tmp_path):
+    done = jobs.preprocess(spark, tree, "v3_0", "2024-01-01 00:00:00", str(tmp_path / "cd"))
+    assert tables.read_dataset_size(spark, done.metadata).first().dataset_size == 0
+    assert tables.read_quarantine(spark, done.quarantine).count() == 0
+    with pytest.raises(FileNotFoundError):
+        tables.read_examples(spark, done.examples)
+
+
+def test_misshapen_images_reach_the_quarantine(spark, tree, tmp_path):
+    label_map = tree + "/processed/metadata/label_map.json"
+    done = jobs.preprocess(spark, tree, "v3_2", "2024-01-01 00:00:00", str(tmp_path / "cd"))
+    for _ in range(2):
+        jobs.training_input(spark, done.examples, label_map, shape=(9, 9, 3))
+    lost = tables.read_quarantine(spark, done.quarantine)
+    assert {r["reason"]: r["count"] for r in lost.groupBy("reason").count().collect()} == {"bad_image": 1, "missing_label": 1, "bad_shape": 4}
+    assert {r.class_name for r in lost.where("reason = 'bad_shape'").collect()} == {"pug", "german shepherd"}
+
+
 def test_training_input_and_report(spark, tree, tmp_path):
     label_map = tree + "/processed/metadata/label_map.json"
     done = jobs.preprocess(spark, tree, "v3_2", "2024-01-01 00:00:00", str(tmp_path / "cd"))
