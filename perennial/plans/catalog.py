@@ -737,29 +737,76 @@ def stream_ingest(spark, sf_dir):
     return _rounded(spark.read.schema(log.schema).parquet(target), "latency", "confidence")
 
 
+# The log arrives by thirds of the month.
+_THIRD = "case when day(ts) <= 10 then 0 when day(ts) <= 20 then 1 else 2 end"
+
+
+def _deliver(spark, sf_dir, start: Callable, again: bool = False, stragglers: bool = False) -> None:
+    """Let the log arrive batch by batch in a folder and run the stream after each arrival.
+
+    With ``again`` every row arrives a second time in the batch after its own,
+    with ``stragglers`` one in forty arrives in that batch only.
+    """
+    late = " + case when event_id % 40 = 7 then 1 else 0 end" if stragglers else ""
+    log = views.prediction_log(views.table(spark, sf_dir, "events")).withColumn("arrival", F.expr(_THIRD + late))
+    folder = fresh_path(spark, "arrivals")
+    delete_on_exit(spark, folder)
+    for number in range(3 + (again or stragglers)):
+        here = F.col("arrival") == number
+        arriving = log.where(here | (F.col("arrival") == number - 1) if again else here).drop("arrival")
+        arriving.write.mode("append").parquet(folder)
+        _run(start(streams.read_stream(spark, folder, arriving.schema)))
+
+
 @query
 def stream_dedup(spark, sf_dir):
-    """Every row is delivered twice and kept once."""
-    log = _event_stream(spark, sf_dir)
-    twice = log.unionByName(_event_stream(spark, sf_dir))
-    once = streams.deduplicated(twice, "event_id")
-    target = fresh_path(spark, "dedup")
-    _run(streams.append_to(once, target, fresh_path(spark, "dedup-state")))
-    kept = spark.read.schema(once.schema).parquet(target)
+    """Every row is delivered twice, in two batches, and kept once."""
+    target, state = fresh_path(spark, "dedup"), fresh_path(spark, "dedup-state")
+    # the watermark is behind the whole month, so that every repeat is recognised
+    once = lambda log: streams.append_to(streams.deduplicated(log, "event_id", delay="40 days"), target, state)
+    _deliver(spark, sf_dir, once, again=True)
+    kept = spark.read.parquet(target)
     return _rounded(kept, "latency", "confidence").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query
 def stream_window_metrics(spark, sf_dir):
-    rows = streams.windowed(_event_stream(spark, sf_dir))
-    target = fresh_path(spark, "windows")
-    _run(streams.upsert_at(rows, target, fresh_path(spark, "windows-state")))
-    newest = streams.read_upserted(spark, target, rows.schema, ["window_start", "model_version"])
+    """Windows over several batches, each of which changes some."""
+    target, state, keys = fresh_path(spark, "windows"), fresh_path(spark, "windows-state"), ["window_start", "model_version"]
+    schemas_ = []
+
+    def start(log):
+        rows = streams.windowed(log)
+        schemas_.append(rows.schema)
+        return streams.upsert_at(rows, target, state, keys, compact_every=3)
+
+    _deliver(spark, sf_dir, start)
+    newest = streams.read_upserted(spark, target, schemas_[0], keys)
     return _rounded(newest, "accuracy", "avg_latency").withColumn(
         "window_start", F.col("window_start").cast("timestamp_ntz")
     )
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """Rows of each window that came in time, and those that came after it had ended."""
+    target, state = fresh_path(spark, "late-windows"), fresh_path(spark, "late-windows-state")
+    _deliver(spark, sf_dir, lambda log: streams.windows_at(log, target, state, compact_every=3), stragglers=True)
+    log = streams.event_time(views.prediction_log(views.table(spark, sf_dir, "events")))
+    late = streams.read_late(spark, target, log.schema)
+    keys = ["window_start", "model_version"]
+    day = F.date_trunc("day", F.col("ts")).alias("window_start")
+    counted = late.groupBy(day, "model_version").agg(F.count("*").alias("n_late"))
+    both = streams.read_windows(spark, target).join(counted, keys, "full")
+    return _rounded(both, "accuracy").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        "model_version",
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+        "accuracy",
+        F.coalesce("n_late", F.lit(0)).cast("bigint").alias("n_late"),
+    )
+
+
 @query
 def stream_running_accuracy(spark, sf_dir):
     rows = streams.running_accuracy(_event_stream(spark, sf_dir))

@@ -24,7 +24,7 @@ from perennial.operators import (
     vocabulary,
 )
 from perennial.operators.ranking import DEFAULT_SEED
-from perennial.session import delete_on_exit, stage
+from perennial.session import delete_on_exit, released, stage
 from perennial.sources import objects, sinks, tables
 
 
@@ -206,19 +206,24 @@ def score_stream(
     log_path: str,
     checkpoint: str,
     routed_path: str | None = None,
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """The same on a stream: rows are stored under their batch, so a retried batch rewrites its own.
 
     The stream is named by its checkpoint folder. Its images are routed too if
-    ``routed_path`` is given.
+    ``routed_path`` is given. What a batch stages goes with it; every
+    ``compact_every`` batches the log's finished batches are merged.
     """
     name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def log(batch: DataFrame, batch_id: int) -> None:
-        rows = judge(batch, label_map)
-        if routed_path:
-            sinks.write_routed(scoring.routed(rows), f"{routed_path}/batch={name}-{batch_id}", "overwrite")
-        sinks.write_prediction_batch(rows.withColumnRenamed("ts", "timestamp"), log_path, name, batch_id)
+        with released(batch.sparkSession):
+            rows = judge(batch, label_map)
+            if routed_path:
+                sinks.write_routed(scoring.routed(rows), f"{routed_path}/batch={name}-{batch_id}", "overwrite")
+            sinks.write_prediction_batch(rows.withColumnRenamed("ts", "timestamp"), log_path, name, batch_id)
+            if compact_every and batch_id % compact_every == compact_every - 1:
+                tables.compact_metrics(batch.sparkSession, log_path)
 
     return (
         scored.writeStream.foreachBatch(log)

@@ -161,7 +161,8 @@ def _with(body: str, *views: str) -> str:
     if not ordered:
         return body
     ctes = ",\n".join(f"{name} as ({_VIEWS[name][1]})" for name in ordered)
-    return f"with {ctes}\n{body}"
+    # a body may begin with views of its own
+    return f"with {ctes}{body}" if body.startswith(",") else f"with {ctes}\n{body}"
 
 
 # Longest common subsequence: one list per character of a, as a fold.
@@ -681,6 +682,21 @@ def oracle_sql() -> dict[str, str]:
  from prediction_metrics group by 1, 2""",
         "prediction_metrics",
     )
+    add(
+        "stream_late_rows",
+        """, arrived as (
+ select *, case when day(ts) <= 10 then 0 when day(ts) <= 20 then 1 else 2 end
+  + case when event_id % 40 = 7 then 1 else 0 end as arrival from prediction_metrics),
+marks as (
+ select a.arrival, max(b.ts) - interval 1 hour as mark
+ from (select distinct arrival from arrived) a left join arrived b on b.arrival < a.arrival group by a.arrival),
+judged as (
+ select *, coalesce(date_trunc('day', ts) + interval 1 day <= mark, false) as late from arrived join marks using (arrival))
+select date_trunc('day', ts)::timestamp as window_start, model_version, count(*) filter (where not late) as n,
+ round(avg(is_correct::int) filter (where not late), 6) as accuracy, count(*) filter (where late) as n_late
+from judged group by 1, 2""",
+        "prediction_metrics",
+    )
     add(
         "stream_running_accuracy",
         """select model_version, round(avg(is_correct::int), 6) as avg_prediction_accuracy

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders staged within `released`, innermost; None outside of it.
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
 def build_session(app: str = "perennial", cores: str | None = None, **conf: str) -> SparkSession:
     """A local session with the settings the jobs are written for.
 
@@ -34,10 +41,13 @@ def build_session(app: str = "perennial", cores: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """Folder for staged tables and stream checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``; without that it lies in
-    the session's warehouse, which executors reach as well.
+    The cluster names it in ``spark.checkpoint.dir``. On one machine it lies in
+    the session's warehouse without that setting; executors on other machines
+    would not see that, so there the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.conf.get("spark.master", "local").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
 
 
@@ -59,10 +69,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     written files survive lost executors, and their size is what Catalyst
     compares with ``spark.sql.autoBroadcastJoinThreshold``: a staged table is
     broadcast when its measured size allows it and shuffled when not. The files
-    are deleted when the driver's JVM ends.
+    are deleted when the driver's JVM ends, or with the ``released`` around the call.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
     delete_on_exit(spark, path)
+    if (folders := _staged.get()) is not None:
+        folders.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside when the block ends, e.g. after each batch of a stream."""
+    folders: list[str] = []
+    outer = _staged.set(folders)
+    try:
+        yield
+    finally:
+        _staged.reset(outer)
+        for path in folders:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

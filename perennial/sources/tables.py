@@ -7,9 +7,11 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perennial import schemas
 from perennial.operators import vocabulary
+from perennial.sources import batches
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -74,10 +76,19 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _metrics_batches(spark: SparkSession, path: str) -> DataFrame:
+    stored = spark.read.schema(T.StructType([*schemas.PREDICTION_METRICS.fields, T.StructField("batch", T.StringType())])).parquet(path)
+    return stored.where(batches.live(spark, path))
+
+
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """All rows of the prediction log; a filter on the version reads its folders only."""
-    stored = spark.read.schema(schemas.PREDICTION_METRICS).parquet(path)
-    return stored.select(schemas.PREDICTION_METRICS.fieldNames())
+    return _metrics_batches(spark, path).select(schemas.PREDICTION_METRICS.fieldNames())
+
+
+def compact_metrics(spark: SparkSession, path: str) -> int:
+    """Merge the log's finished batches into one for each version; returns how many were merged."""
+    return batches.compact(spark, path, lambda: _metrics_batches(spark, path), ("model_version",))
 
 
 def read_distribution(spark: SparkSession, path: str) -> DataFrame:

@@ -1,10 +1,14 @@
 """The prediction log as a stream, against batch results."""
 
+import datetime
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from perennial.plans import views
-from perennial.session import fresh_path
+from perennial.session import fresh_path, released, stage
+from perennial.sources import batches, sinks, tables
 from perennial.streaming import metrics as streams
 
 
@@ -45,7 +49,7 @@ def test_every_window_is_there_after_each_batch(spark, arriving, tmp_path):
     for part in range(3):
         spark.createDataFrame(log.filter(F.dayofmonth("ts") % 3 == part).collect(), log.schema).coalesce(1).write.mode("append").parquet(folder)
     rows = streams.windowed(streams.read_stream(spark, folder, log.schema, files_per_batch=1), delay="40 days")
-    streams.upsert_at(rows, target, checkpoint).awaitTermination()
+    streams.upsert_at(rows, target, checkpoint, ["window_start", "model_version"], compact_every=0).awaitTermination()
     assert len(spark.read.parquet(target).select("batch").distinct().collect()) >= 3
     newest = streams.read_upserted(spark, target, rows.schema, ["window_start", "model_version"])
     assert newest.agg(F.sum("n")).first()[0] == log.count()
@@ -88,6 +92,77 @@ def test_ingest_resumes_from_its_checkpoint(spark, arriving, tmp_path):
     assert spark.read.parquet(target).count() == log.count()
 
 
+def test_late_rows_are_kept_apart_and_nothing_is_lost(spark, tmp_path):
+    folder, target, checkpoint = (str(tmp_path / n) for n in ("log", "out", "state"))
+    schema = "ts timestamp, model_version string, is_correct boolean, latency double"
+    hours = [[0, 30], [49, 1], [50, 47.5, None], [20, 200], [60, 201]]
+    for batch in hours:
+        rows = [(None if h is None else datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=h), "v3_1", True, 1.0) for h in batch]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(folder)
+        log = streams.read_stream(spark, folder, spark.createDataFrame([], schema).schema)
+        streams.windows_at(log, target, checkpoint, compact_every=2).awaitTermination()
+    late = streams.read_late(spark, target, log.schema)
+    started = datetime.datetime(2024, 1, 1)
+    assert sorted((r.ts - started).total_seconds() / 3600 for r in late.where("ts is not null").collect()) == [1, 20, 47.5, 60]
+    assert late.where("ts is null").count() == 1
+    kept = streams.read_windows(spark, target)
+    assert kept.agg(F.sum("n")).first()[0] + late.count() == sum(map(len, hours))
+    assert kept.where("accuracy <> 1 or avg_latency <> 1").count() == 0
+
+
+def test_results_that_batches_replace_stay_few(spark, tmp_path):
+    folder, target, checkpoint = (str(tmp_path / n) for n in ("log", "out", "state"))
+    for number in range(7):
+        spark.createDataFrame([("v3_1", number % 2 == 0)], "model_version string, is_correct boolean").write.mode("append").parquet(folder)
+        log = streams.read_stream(spark, folder, spark.read.parquet(folder).schema)
+        streams.replace_at(streams.running_accuracy(log), target, checkpoint).awaitTermination()
+    assert sorted(p.name for p in (tmp_path / "out").glob("batch=*")) == ["batch=4", "batch=5", "batch=6"]
+    assert streams.read_latest(spark, target).first()[1] == 4 / 7
+
+
+def test_fifty_batches_of_the_log_become_few(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.sql(
+        "select timestamp_seconds(id) as timestamp, 'a' as actual, 'a' as predicted, id % 4 > 0 as is_correct, "
+        "0.1D as latency, 0.5D as confidence, concat('v3_', id % 2) as model_version from range(8)"
+    )
+    for number in range(50):
+        sinks.write_prediction_batch(rows, path, "s", number)
+        if number % 10 == 9:
+            assert tables.compact_metrics(spark, path) > 0
+    # a retry of the newest batch still replaces itself
+    sinks.write_prediction_batch(rows, path, "s", 49)
+    before = tables.read_metrics(spark, path)
+    assert before.count() == 400 and before.where("is_correct").count() == 300
+    assert before.where("model_version = 'v3_1'").count() == 200
+    assert len(list((tmp_path / "log").glob("*/batch=*"))) <= 2 * 14
+    assert tables.compact_metrics(spark, path) == 0
+    assert len(list((tmp_path / "log").glob("*/batch=*"))) == 2 * 3
+    assert tables.read_metrics(spark, path).count() == 400
+
+
+def test_a_merged_batch_counts_by_its_manifest_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for number in range(3):
+        spark.range(number + 1).write.parquet(f"{path}/batch={number}")
+    read = lambda: spark.read.schema("id bigint, batch string").parquet(path).where(batches.live(spark, path))
+    # rows of a merge whose driver was lost before its manifest was written
+    spark.range(3).write.parquet(f"{path}/batch=merged-1-1")
+    assert read().count() == 6 and batches.names(spark, path) == ["0", "1", "2"]
+    assert batches.compact(spark, path, read, newest=1) == 2
+    assert read().count() == 6 and batches.names(spark, path) == ["2", "merged-1-1"]
+    assert batches.compact(spark, path, read, newest=1) == 0
+
+
+def test_a_batch_takes_what_it_staged_with_it(spark):
+    with released(spark):
+        staged = stage(spark.range(3), "mine")
+        assert staged.count() == 3
+        folder = staged.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
 def test_paths_below_the_shared_folder_differ(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
     assert fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
