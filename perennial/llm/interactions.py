@@ -78,9 +78,12 @@ def with_copies(measured: DataFrame) -> DataFrame:
 
 
 def failing_ids(judged: DataFrame, filters: dict[str, str] = FILTERS) -> DataFrame:
-    """The failing-id relations as one table ``filter, row, id, part``, a row for each filter a document fails."""
-    failed = [F.when(F.expr(condition), F.lit(name)) for name, condition in filters.items()]
-    return judged.select(F.explode(F.array_compact(F.array(*failed))).alias("filter"), "row", "id", "part")
+    """The failing-id relations as one table ``filter, bit, row, id, part``, a row for each filter a document fails."""
+    failed = [
+        F.when(F.expr(condition), F.struct(F.lit(name).alias("filter"), F.lit(1 << number).alias("bit")))
+        for number, (name, condition) in enumerate(filters.items())
+    ]
+    return judged.select(F.inline(F.array_compact(F.array(*failed))), "row", "id", "part")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
@@ -153,29 +156,31 @@ def _survivors(base: DataFrame, failing: DataFrame, letters: list[str]) -> DataF
 def _counts(surviving: DataFrame, failing: DataFrame, letters: list[str]) -> DataFrame:
     """Per part, set of filters and next filter: survivors, removals with labels, redundancies.
 
-    ``what, part, past, filter, n, good, toxic``; the filter is null for survivors.
+    ``what, part, past, bit, n, good, toxic``; the filter's bit is null for
+    survivors. The joins' only key is the row, by which both sides are stored,
+    so nothing moves; which filter or set is meant is a condition beside it.
     """
     sums = [F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic")]
     kind = lambda name: F.lit(name).alias("what")
-    ids = failing.select("row", "filter").hint("merge")
-    bit = {name: 1 << number for number, name in enumerate(letters)}
-    nexts = F.array_compact(
-        F.array(*[F.when(F.col("past").bitwiseAND(F.lit(bit[name])) == 0, F.lit(name)) for name in letters])
-    )
-    kept = surviving.groupBy(kind("kept"), "part", "past", F.lit(None).cast("string").alias("filter")).agg(*sums)
-    judged_next = surviving.withColumn("filter", F.explode(nexts))
-    removed = judged_next.join(ids, ["row", "filter"], "left_semi").groupBy(kind("removed"), "part", "past", "filter").agg(*sums)
+    bits = F.array(*[F.lit(1 << number) for number in range(len(letters))])
+    ids = failing.select(F.col("row").alias("failing_row"), F.col("bit").alias("failing_bit")).hint("merge")
+    same_row = F.col("row") == F.col("failing_row")
+    kept = surviving.groupBy(kind("kept"), "part", "past", F.lit(None).cast("int").alias("bit")).agg(*sums)
+    nexts = F.filter(bits, lambda bit: F.col("past").bitwiseAND(bit) == 0)
+    judged_next = surviving.withColumn("bit", F.explode(nexts))
+    fails = same_row & (F.col("bit").bitwiseAND(F.col("failing_bit")) != 0)
+    removed = judged_next.join(ids, fails, "left_semi").groupBy(kind("removed"), "part", "past", "bit").agg(*sums)
     sets = F.filter(
-        F.sequence(F.lit(0), F.lit((1 << len(letters)) - 1)),
-        lambda past: ~F.exists(
-            F.array(*[F.struct(F.lit(n).alias("name"), F.lit(b).alias("bit")) for n, b in bit.items()]),
-            lambda f: (f["name"] == F.col("filter")) & (past.bitwiseAND(f["bit"]) != 0),
-        ),
+        F.sequence(F.lit(0), F.lit((1 << len(letters)) - 1)), lambda past: past.bitwiseAND(F.col("bit")) == 0
     )
-    before = failing.select("row", "part", "filter", F.explode(sets).alias("past"))
-    gone = before.join(surviving.select("row", "past").hint("merge"), ["row", "past"], "left_anti")
+    before = failing.select("row", "part", "bit", F.explode(sets).alias("past"))
+    survivors = surviving.select(F.col("row").alias("failing_row"), F.col("past").alias("survived")).hint("merge")
+    still_there = same_row & (F.col("past").bitwiseXOR(F.col("survived")) == 0)
+    gone = before.join(survivors, still_there, "left_anti")
     none = F.lit(0).cast("long")
-    redundant = gone.groupBy(kind("redundant"), "part", "past", "filter").agg(sums[0], F.max(none).alias("good"), F.max(none).alias("toxic"))
+    redundant = gone.groupBy(kind("redundant"), "part", "past", "bit").agg(
+        sums[0], F.max(none).alias("good"), F.max(none).alias("toxic")
+    )
     return kept.unionByName(removed).unionByName(redundant)
 
 
@@ -196,25 +201,26 @@ def _report(counts: DataFrame, letters: list[str]) -> DataFrame:
                 f"instr('{''.join(letters)}', substring(filter_order, i, 1)) - 1), acc))"
             ),
         )
-        .withColumn("then", F.col("past").bitwiseOR(bit("filter")))
-        .withColumn("others", F.lit((1 << len(letters)) - 1).bitwiseXOR(bit("filter")))
+        .withColumn("bit", bit("filter"))
+        .withColumn("then", F.col("past").bitwiseOR(F.col("bit")))
+        .withColumn("others", F.lit((1 << len(letters)) - 1).bitwiseXOR(F.col("bit")))
     )
     of = lambda what: counts.where(F.col("what") == what)
     zero = lambda name: F.coalesce(name, F.lit(0).cast("long")).alias(name)
     kept = of("kept").select("part", F.col("past").alias("then"), F.col("n").alias("kept"))
     removed = of("removed").select(
-        "part", "past", "filter", F.col("n").alias("removed"), F.col("good").alias("good_lost"), F.col("toxic").alias("toxic_lost")
+        "part", "past", "bit", F.col("n").alias("removed"), F.col("good").alias("good_lost"), F.col("toxic").alias("toxic_lost")
     )
-    redundant = of("redundant").select("part", "past", "filter", F.col("n").alias("redundant"))
-    unique = of("removed").select("part", F.col("past").alias("others"), "filter", F.col("n").alias("unique_fails"))
+    redundant = of("redundant").select("part", "past", "bit", F.col("n").alias("redundant"))
+    unique = of("removed").select("part", F.col("past").alias("others"), "bit", F.col("n").alias("unique_fails"))
     looked_up = (
         steps.join(kept, ["part", "then"], "left")
-        .join(removed, ["part", "past", "filter"], "left")
-        .join(redundant, ["part", "past", "filter"], "left")
-        .join(unique, ["part", "others", "filter"], "left")
+        .join(removed, ["part", "past", "bit"], "left")
+        .join(redundant, ["part", "past", "bit"], "left")
+        .join(unique, ["part", "others", "bit"], "left")
     )
-    shares = looked_up.groupBy("part", "filter").agg(F.sum(F.coalesce("removed", F.lit(0))).alias("shapley"))
-    return looked_up.join(shares, ["part", "filter"]).select(
+    shares = looked_up.groupBy("part", "bit").agg(F.sum(F.coalesce("removed", F.lit(0))).alias("shapley"))
+    return looked_up.join(shares, ["part", "bit"]).select(
         "part",
         "filter_order",
         "step",

@@ -86,7 +86,13 @@ def test_other_filters_and_empty_tables(spark):
 
 def test_joins_on_ids_move_no_rows(spark):
     base = buckets.store(spark.range(50).selectExpr("id as row", "'p' as part", "0L as good", "0L as toxic"), "base", ["row"])
-    ids = buckets.store(spark.range(50).selectExpr("id as row", "if(id % 2 = 0, 'a', 'b') as filter"), "ids", ["row"])
-    plan = interactions._survivors(spark.table(base), spark.table(ids), ["a", "b"])._jdf.queryExecution().toString()
+    ids = buckets.store(spark.range(50).selectExpr("id as row", "'p' as part", "if(id % 2 = 0, 'a', 'b') as filter", "1 + id % 2 as bit"), "ids", ["row"])
+    left = interactions._survivors(spark.table(base), spark.table(ids), ["a", "b"])
+    plan = left._jdf.queryExecution().toString()
     assert plan.count("SortMergeJoin") >= 2 and "Exchange" not in plan
+    kept = buckets.store(left, "kept", ["row"])
+    plan = interactions._counts(spark.table(kept), spark.table(ids), ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    # rows leave their bucket as counts only
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning(row") == 0
+    buckets.drop(spark, kept)
     buckets.drop(spark, base, ids)
