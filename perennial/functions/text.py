@@ -48,6 +48,13 @@ def rfc3339(at: Column) -> Column:
     return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
+def deployed_text(at: Column) -> Column:
+    """ISO time with a closing ``Z``; microseconds only where there are any."""
+    seconds = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+    fraction = F.when(F.date_format(at, "SSSSSS") != "000000", F.date_format(at, ".SSSSSS")).otherwise("")
+    return F.concat(seconds, fraction, F.lit("Z"))
+
+
 def percent(ratio: Column) -> Column:
     """Percentage with two places, half to even; an absent ratio is 0."""
     return F.coalesce(F.bround(ratio * 100, 2), F.lit(0.0))

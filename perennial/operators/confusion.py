@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from perennial.operators.joins import join_groups
+
 
 def build(log: DataFrame, by: list[str]) -> DataFrame:
     return log.groupBy(*by, "actual", "predicted").agg(F.count("*").alias("n"))
@@ -18,8 +20,29 @@ def pack(matrix: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+# Entries of one chunk, about.
+CHUNK_ENTRIES = 100_000
+
+
+def pack_chunks(matrix: DataFrame, by: list[str], entries: int = CHUNK_ENTRIES) -> DataFrame:
+    """The same in chunks, for groups with very many classes: ``chunk`` numbers them from 0.
+
+    A chunk holds whole matrix rows, in the order of the true labels, up to
+    ``entries`` entries and those of one more label. Only the labels' entry
+    counts, one row for each true label, are put in order.
+    """
+    counts = matrix.groupBy(*by, "actual").agg(F.count("*").alias("k_"))
+    before = Window.partitionBy(*by).orderBy("actual").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.select(
+        *by,
+        "actual",
+        F.floor(F.coalesce(F.sum("k_").over(before), F.lit(0)) / entries).cast("int").alias("chunk"),
+    )
+    return pack(join_groups(matrix, placed, [*by, "actual"]), [*by, "chunk"])
+
+
 def unpack(packed: DataFrame, by: list[str], lenient: bool = False) -> DataFrame:
-    """Rows of packed matrices. A broken entry fails the query unless ``lenient``."""
+    """Rows of packed matrices, whole or in chunks. A broken entry fails the query unless ``lenient``."""
     entries = packed.select(*by, F.explode(F.split("confusion_matrix", "[|]")).alias("entry"))
     parts = entries.select(*by, F.split("entry", ":").alias("parts"))
     if lenient:

@@ -6,24 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perennial.functions import paths, text
+from perennial.sources import buckets
 
 
 def pair(images: DataFrame, labels: DataFrame, how: str = "inner") -> DataFrame:
     """Join images with label documents ``(label_path, value)`` on the derived label path.
 
     Object paths are unique on both sides, so the join keys spread evenly.
+    Images may bring their ``label_path``: tables of :func:`store_for_pairing`
+    are joined without a shuffle.
     """
-    wanted = images.withColumn("label_path", paths.label_path(F.col("path")))
+    stored = "label_path" in images.columns
+    wanted = images if stored else images.withColumn("label_path", paths.label_path(F.col("path")))
     parsed = labels.select("label_path", text.parse_label_json(F.col("value")).alias("doc"))
     return wanted.join(parsed, "label_path", how).select(
         "label_path",
-        *images.columns,
+        *[c for c in images.columns if c != "label_path"],
         F.col("doc.valid").alias("valid_json"),
         "doc.model_label",
         "doc.api_label",
     )
 
 
+def store_for_pairing(images: DataFrame, labels: DataFrame, buckets_: int | None = None) -> tuple[str, str]:
+    """Images and label documents as tables in buckets of the label path, for repeated pairing."""
+    keyed = images.withColumn("label_path", paths.label_path(F.col("path")))
+    return (
+        buckets.store(keyed, "images", ["label_path"], buckets_),
+        buckets.store(labels.select("label_path", "value"), "label-documents", ["label_path"], buckets_),
+    )
+
+
 def examples(pairs: DataFrame, label_map: DataFrame) -> DataFrame:
     """Pairs whose label is in the vocabulary, with file name and label id.
 

@@ -68,8 +68,8 @@ def evaluate(scores: DataFrame, k: int = 5) -> DataFrame:
 
 
 def centroids(vectors_: DataFrame, vector: str = "embedding", label: str = "label") -> DataFrame:
-    """Mean vector per label: one small row per label and dimension leaves each task."""
-    cells = vectors_.select(
+    """Mean vector per label: one small row per label and dimension leaves each task. No label, no class."""
+    cells = vectors_.where(F.col(label).isNotNull()).select(
         F.col(label).alias("label"), F.posexplode(F.col(vector)).alias("pos", "x")
     )
     means = cells.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
@@ -89,25 +89,23 @@ def nearest_centroid(
     A row's own length is the same for all centroids, so ``|c|^2 - 2 v.c`` ranks
     them: one matrix product for each Arrow batch. Rows are neither joined nor
     shuffled. The centroids, classes x dimensions numbers, go to every task in
-    blocks of labels of ``limit`` bytes, one centroid at least. Beyond one block
-    the rows are stored after each with their best label so far, so that the
-    driver holds one block at a time.
+    blocks of about ``limit`` bytes, dealt by a hash of the label. Beyond one
+    block the rows are stored after each with their best label so far: the
+    driver holds one block at a time and never a list of the labels. Centroids
+    without a label are no class; without any centroid no row has a label.
     """
-    stored = stage(centers.select("label", "centroid"), "centroids")
-    sizes = sorted((r["label"], r["n"]) for r in stored.select("label", (F.size("centroid") * 8).alias("n")).collect())
-    blocks: list[list] = [[]]
-    held = 0
-    for label, size in sizes:
-        if blocks[-1] and held + size > limit:
-            blocks.append([])
-            held = 0
-        blocks[-1].append(label)
-        held += size
+    known = centers.where(F.col("label").isNotNull() & F.col("centroid").isNotNull())
+    stored = stage(known.select("label", "centroid"), "centroids")
+    total, n = stored.agg(F.coalesce(F.sum(F.size("centroid") * 8), F.lit(0)), F.count("*")).first()
+    blocks = max(1, min(n, -(-total // limit)))
     out, low = rows.drop(name), "_low"
-    for number, block in enumerate(blocks):
-        part = stored.where(F.col("label").between(block[0], block[-1])) if len(blocks) > 1 else stored
-        out = _nearest_of(out, sorted((r["label"], r["centroid"]) for r in part.collect()), vector, name, low, number)
-        if number < len(blocks) - 1:
+    for number in range(blocks):
+        part = stored.where(F.pmod(F.xxhash64("label"), F.lit(blocks)) == number) if blocks > 1 else stored
+        block = sorted((r["label"], r["centroid"]) for r in part.collect())
+        if number and not block:
+            continue
+        out = _nearest_of(out, block, vector, name, low, number)
+        if number < blocks - 1:
             out = stage(out, "nearest")
     return out.drop(low)
 
@@ -115,7 +113,7 @@ def nearest_centroid(
 def _nearest_of(rows: DataFrame, known: list[tuple], vector: str, name: str, low: str, number: int) -> DataFrame:
     """Set label and rank value of the closest of these centroids where it is closer than the one the row has."""
     labels = np.array([label for label, _ in known])
-    matrix = np.array([center for _, center in known], dtype=float)
+    matrix = np.array([center for _, center in known], dtype=float).reshape(len(known), -1) if known else np.zeros((0, 1))
     norms = (matrix**2).sum(axis=1)
     kept = rows.drop(name, low) if number == 0 else rows
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name not in (name, low)]
@@ -131,7 +129,9 @@ def _nearest_of(rows: DataFrame, known: list[tuple], vector: str, name: str, low
                 ranks = norms - 2 * points @ matrix.T
                 at = ranks.argmin(axis=1)
                 least = ranks[np.arange(len(at)), at]
-                closer = least < value[there].to_numpy() if number else np.ones(len(at), bool)
+                before, best = value[there].to_numpy(), labels[at]
+                held = found[there].fillna(np.iinfo(np.int32).max).to_numpy(np.int64)
+                closer = (least < before) | ((least == before) & (best < held))
                 places = np.flatnonzero(there.to_numpy())[closer]
                 found.iloc[places] = labels[at[closer]]
                 value.iloc[places] = least[closer]

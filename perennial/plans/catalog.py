@@ -107,6 +107,15 @@ def pair_image_label(spark, sf_dir):
     return _pairs(spark, sf_dir).select("path", "label_path", "api_label")
 
 
+@query
+def pair_stored(spark, sf_dir):
+    """The same from tables in buckets of the label path: the join moves nothing."""
+    images_, labels = curation.store_for_pairing(
+        replay.images_of(views.image_objects(spark, sf_dir)), views.label_objects(spark, sf_dir)
+    )
+    return curation.pair(spark.table(images_), spark.table(labels)).select("path", "label_path", "api_label")
+
+
 @query
 def label_json_parse(spark, sf_dir):
     docs = views.label_objects(spark, sf_dir)
@@ -363,6 +372,14 @@ def confusion_pack(spark, sf_dir):
     return views.model_metrics(spark, sf_dir)
 
 
+@query
+def confusion_chunks(spark, sf_dir):
+    """Matrices by version and day in chunks of three entries, about."""
+    log = views.prediction_metrics(spark, sf_dir).withColumn("ts", F.date_trunc("day", F.col("ts")).cast("timestamp_ntz"))
+    by = ["model_version", "ts"]
+    return confusion.pack_chunks(confusion.build(log, by), by, 3)
+
+
 @query
 def confusion_unpack(spark, sf_dir):
     low = F.lit("2024-01-05").cast("timestamp_ntz")
@@ -400,13 +417,11 @@ def routed_predictions(spark, sf_dir):
 
 @query
 def describe_table(spark, sf_dir):
-    """The stored class statistics: types as read, modes and descriptions as declared."""
-    target = fresh_path(spark, "distribution")
+    """The class statistics as they are stored: their types, modes and descriptions as declared."""
     rows = views.class_distribution(spark, sf_dir).withColumn(
         "run_timestamp", paths.as_utc(F.col("run_timestamp"))
     )
-    sinks.append_distribution(rows, target)
-    return metrics.describe(tables.read_distribution(spark, target), schemas.CLASS_DISTRIBUTION)
+    return metrics.describe(schemas.conform(rows, schemas.CLASS_DISTRIBUTION), schemas.CLASS_DISTRIBUTION)
 
 
 # --- functions ------------------------------------------------------------------------
@@ -461,6 +476,13 @@ def whole_numbers(spark, sf_dir):
     return stated.union(keys).withColumn("ok", versions.is_whole_number(F.col("value")))
 
 
+@query
+def deployed_texts(spark, sf_dir):
+    """Times as the promotion state holds them, whole seconds and others."""
+    at = F.timestamp_micros(F.unix_micros(paths.as_utc(F.col("ts"))) + F.col("event_id") % 3 * 250)
+    return views.table(spark, sf_dir, "events").select("event_id", text.deployed_text(at).alias("deployed_at"))
+
+
 @query
 def time_texts(spark, sf_dir):
     at = paths.as_utc(F.col("ts"))
@@ -579,6 +601,21 @@ def scale_pixels(spark, sf_dir):
 # --- sinks: written, read back -----------------------------------------------------------
 
 
+@query
+def write_distribution_once(spark, sf_dir):
+    """A run that is appended again replaces its own rows."""
+    target = fresh_path(spark, "distribution")
+    delete_on_exit(spark, target)
+    rows = views.class_distribution(spark, sf_dir).withColumn(
+        "run_timestamp", paths.as_utc(F.col("run_timestamp"))
+    )
+    for _ in range(2):
+        sinks.append_distribution(rows, target, RUN_AT)
+    return tables.read_distribution(spark, target).withColumn(
+        "run_timestamp", F.col("run_timestamp").cast("timestamp_ntz")
+    )
+
+
 @query
 def write_distribution(spark, sf_dir):
     """A retried append stores every row twice; the newest row per class is still right."""

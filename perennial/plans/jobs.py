@@ -107,7 +107,7 @@ def preprocess(
     )
     metadata = sinks.write_dataset_size(curation.dataset_size(counted), root, version)
     sinks.append_distribution(
-        curation.class_distribution(counted, version, run_timestamp), distribution_path
+        curation.class_distribution(counted, version, run_timestamp), distribution_path, run_timestamp
     )
     return Preprocessed(data, metadata, quarantined)
 

@@ -235,6 +235,7 @@ def oracle_sql() -> dict[str, str]:
         "image_objects",
     )
     add("pair_image_label", "select path, label_path, api_label from paired", "paired")
+    sql["pair_stored"] = sql["pair_image_label"]
     add(
         "label_json_parse",
         """select label_path, case when json_valid(value) then value->>'$.model_label' end as model_label,
@@ -412,6 +413,18 @@ def oracle_sql() -> dict[str, str]:
         "prediction_metrics",
     )
     add("confusion_pack", "select model_version, ts, confusion_matrix from model_metrics", "model_metrics")
+    add(
+        "confusion_chunks",
+        """, cells as (select model_version, date_trunc('day', ts)::timestamp as ts, actual, predicted, count(*) as n
+ from prediction_metrics group by all),
+labels_ as (select model_version, ts, actual, count(*) as k from cells group by all),
+placed as (select *, cast(floor(coalesce(sum(k) over (partition by model_version, ts order by actual
+  rows between unbounded preceding and 1 preceding), 0) / 3) as int) as chunk from labels_)
+select model_version, ts, chunk, string_agg(concat(actual,':',predicted,':',cast(n as varchar)), '|'
+  order by concat(actual,':',predicted,':',cast(n as varchar))) as confusion_matrix
+from cells join placed using (model_version, ts, actual) group by model_version, ts, chunk""",
+        "prediction_metrics",
+    )
     add(
         "confusion_unpack",
         """select model_version, ts, split_part(e,':',1) as true_label, split_part(e,':',2) as predicted_label,
@@ -617,6 +630,11 @@ def oracle_sql() -> dict[str, str]:
         """select model_version, class_label, label_id::bigint as label_id, example_count, run_timestamp from newest""",
         "newest",
     )
+    add(
+        "write_distribution_once",
+        "select model_version, class_label, label_id::bigint as label_id, example_count, run_timestamp from class_distribution",
+        "class_distribution",
+    )
     add(
         "write_predictions",
         """select ts as timestamp, actual, predicted, is_correct, round(latency, 6) as latency,
@@ -703,6 +721,12 @@ from judged group by 1, 2""",
  from prediction_metrics group by model_version""",
         "prediction_metrics",
     )
+    add(
+        "deployed_texts",
+        """select event_id, concat(strftime(moment, '%Y-%m-%dT%H:%M:%S'), case when strftime(moment, '%f') <> '000000'
+ then concat('.', strftime(moment, '%f')) else '' end, 'Z') as deployed_at
+ from (select event_id, ts + to_microseconds(event_id % 3 * 250) as moment from events)""",
+    )
     # stored objects
     add(
         "list_stored_objects",

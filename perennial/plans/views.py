@@ -159,8 +159,10 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten classes: softmax of the sums of every tenth dimension, so that all dimensions count."""
 
     def summed(c):
-        own = F.filter("embedding", lambda x, i: i % 10 == c)
-        return F.exp(F.aggregate(own, F.lit(0.0), lambda acc, x: acc + x.cast("double")))
+        # every tenth place from c on; a row of fewer places has an empty sum
+        places = F.when(F.size("embedding") > c, F.sequence(c, F.size("embedding") - 1, F.lit(10)))
+        total = F.aggregate(places, F.lit(0.0), lambda acc, i: acc + F.get("embedding", i).cast("double"))
+        return F.exp(F.coalesce(total, F.lit(0.0)))
 
     weights = F.transform(F.sequence(F.lit(0), F.lit(9)), summed)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,10 +64,22 @@ def write_quarantine(rows: DataFrame, path: str) -> None:
     )
 
 
-def append_distribution(rows: DataFrame, path: str) -> None:
-    """Append class statistics; a null in any column stops the write."""
+def append_distribution(rows: DataFrame, path: str, run: str | None = None) -> None:
+    """Append class statistics; a null in any column stops the write.
+
+    They lie in folders by version and run: a run written again under its name
+    replaces its own rows of each version it has, so a retry doubles nothing.
+    Without a name rows are added as they are.
+    """
     checked = schemas.conform(rows, schemas.CLASS_DISTRIBUTION)
-    checked.write.mode("append").partitionBy("model_version").parquet(path)
+    name = re.sub(r"\W+", "_", run) if run else uuid.uuid4().hex
+    (
+        checked.withColumn("batch", F.lit(name))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("model_version", "batch")
+        .parquet(path)
+    )
 
 
 def append_predictions(rows: DataFrame, path: str, batch: str | None = None) -> None:

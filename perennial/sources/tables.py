@@ -92,4 +92,4 @@ def compact_metrics(spark: SparkSession, path: str) -> int:
 
 
 def read_distribution(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.CLASS_DISTRIBUTION).parquet(path)
+    return spark.read.schema(schemas.CLASS_DISTRIBUTION).parquet(path).select(schemas.CLASS_DISTRIBUTION.fieldNames())

@@ -97,17 +97,46 @@ def test_percentiles_with_a_hot_group(spark):
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("hot", None)]
     df = spark.createDataFrame(rows, "g string, x double").repartition(6)
     points = {"p5": 0.05, "p50": 0.5, "p95": 0.95, "p100": 1.0}
-    got = {r.g: r for r in quantiles.exact_percentiles(df, ["g"], "x", points).collect()}
-    for g, values in groups.items():
-        for name, p in points.items():
-            assert got[g][name] == pytest.approx(expected_percentile(values, p), abs=1e-9), (g, name)
+    for held in (0, 300, quantiles.HELD):
+        got = {r.g: r for r in quantiles.exact_percentiles(df, ["g"], "x", points, held=held).collect()}
+        for g, values in groups.items():
+            for name, p in points.items():
+                assert got[g][name] == pytest.approx(expected_percentile(values, p), abs=1e-9), (g, name, held)
 
 
 def test_percentiles_of_tiny_groups(spark):
     rows = [("a", 1.0), ("b", 1.0), ("b", 2.0), ("c", 3.0), ("c", 1.0), ("c", 2.0), ("d", None)]
     df = spark.createDataFrame(rows, "g string, x double")
-    got = quantiles.exact_percentiles(df, ["g"], "x", {"p": 0.95}).collect()
-    assert {r.g: round(r.p, 9) for r in got} == {"a": 1.0, "b": 1.95, "c": 2.9}
+    for held in (0, quantiles.HELD):
+        got = quantiles.exact_percentiles(df, ["g"], "x", {"p": 0.95}, held=held).collect()
+        assert {r.g: round(r.p, 9) for r in got} == {"a": 1.0, "b": 1.95, "c": 2.9}
+
+
+def test_a_hot_group_is_sorted_by_ranges(spark, monkeypatch):
+    # a third of the rows in one hour, heavily tied and with far outliers
+    df = spark.range(90_000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('g', id % 50)) as g",
+        "case when id % 1000 = 3 then 1e9 when id % 7 = 0 then 5.0 else pmod(hash(id), 10000) / 100 end as x",
+    )
+    staged = []
+    keep = quantiles.stage
+    monkeypatch.setattr(quantiles, "stage", lambda rows, name: staged.append((name, out := keep(rows, name))) or out)
+    got = {r.g: (r.p50, r.p95) for r in quantiles.exact_percentiles(df, ["g"], "x", {"p50": 0.5, "p95": 0.95}, held=5_000).collect()}
+    rows = df.groupBy("g").agg(F.expr("percentile(x, 0.5)"), F.expr("percentile(x, 0.95)")).collect()
+    for r in rows:
+        assert got[r[0]] == pytest.approx((r[1], r[2]), abs=1e-9), r[0]
+    cells = dict(staged)["percentile-cells"]
+    assert {r.g for r in cells.collect()} == {"hot"} and cells.count() <= 4
+
+
+def test_chunks_of_a_large_matrix(spark):
+    df = spark.range(40_000).selectExpr("'v' as model_version", "concat('c', id % 2000) as actual", "concat('c', hash(id) % 5) as predicted")
+    matrix = confusion.build(df, ["model_version"])
+    packed = confusion.pack_chunks(matrix, ["model_version"], 500)
+    sizes = [len(r.confusion_matrix.split("|")) for r in packed.collect()]
+    assert len(sizes) > 10 and max(sizes) <= 500 + 9
+    back = confusion.unpack(packed, ["model_version"]).toDF("model_version", "actual", "predicted", "n")
+    assert back.exceptAll(matrix).isEmpty() and matrix.exceptAll(back).isEmpty()
 
 
 def test_hourly_keeps_groups_without_latency(spark):
@@ -154,7 +183,7 @@ def test_percentiles_of_small_large_and_hot_groups(spark):
         "select case when id % 3 = 0 then 'hot' when id < 9 then concat('one', id) else concat('g', id % 40) end as k, "
         "cast(pmod(xxhash64(id), 5000) as double) as v from range(90000)"
     )
-    got = {r.k: (r.p50, r.p95) for r in quantiles.exact_percentiles(rows, ["k"], "v", {"p50": 0.5, "p95": 0.95}).collect()}
+    got = {r.k: (r.p50, r.p95) for r in quantiles.exact_percentiles(rows, ["k"], "v", {"p50": 0.5, "p95": 0.95}, held=3000).collect()}
     exact = rows.groupBy("k").agg(F.percentile("v", F.lit(0.5)).alias("a"), F.percentile("v", F.lit(0.95)).alias("b"))
     for r in exact.collect():
         assert got[r.k] == pytest.approx((r.a, r.b), abs=1e-9)
@@ -229,6 +258,23 @@ def test_nearest_centroid_ties_go_to_the_lowest_label(spark):
     assert means == {3: [0.0, 0.625], 2: [0.0, -0.5]}
 
 
+def test_rows_without_a_label_are_no_class(spark):
+    rows = spark.createDataFrame([(1, [1.0], None), (2, [3.0], 4), (3, None, None)], "id int, embedding array<double>, label int")
+    centers = scoring.centroids(rows)
+    assert [r.label for r in centers.collect()] == [4]
+    nulls = spark.createDataFrame([(None, [9.0])], "label int, centroid array<double>")
+    got = scoring.nearest_centroid(rows, centers.unionByName(nulls)).collect()
+    assert {r.id: r.predicted_id for r in got} == {1: 4, 2: 4, 3: None}
+    assert {r.predicted_id for r in scoring.nearest_centroid(rows, nulls).collect()} == {None}
+
+
+def test_many_labels_and_dimensions(spark):
+    centers = spark.range(20_000).selectExpr("cast(id as int) as label", "transform(sequence(1, 512), i -> cast(pmod(hash(id, i), 100) as double)) as centroid")
+    rows = centers.where("label % 4000 = 7").selectExpr("label as id", "centroid as embedding")
+    got = {r.id: r.predicted_id for r in scoring.nearest_centroid(rows, centers, limit=32 << 20).collect()}
+    assert got == {i: i for i in range(7, 20_000, 4000)}
+
+
 def test_centroids_beyond_one_block(spark):
     import random
 

@@ -32,6 +32,16 @@ def test_only_needed_columns_are_read(spark, sf_dir):
     assert "text" not in re.findall(r"ReadSchema: struct<([^>]*)>", text)[0]
 
 
+def test_stored_pairs_meet_in_their_buckets(spark, sf_dir):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = plan(catalog.queries()["pair_stored"](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
 def test_top_lists_are_not_sorted_globally(spark, sf_dir):
     for key in ("top_breeds", "top_classes", "list_json_capped"):
         assert "TakeOrderedAndProject" in plan(catalog.queries()[key](spark, sf_dir))
