@@ -31,20 +31,21 @@ def append(
     function: Callable[[pa.RecordBatch], list],
     fields: list[T.StructField],
     drop: tuple[str, ...] = (),
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
-    """``df`` without ``drop`` and with new columns, one value per row, computed from its batches.
+    """``df`` without ``drop`` and with new columns, one value per row, computed from slices of its batches.
 
-    Columns of ``df`` that bear a new column's name are replaced.
+    Columns of ``df`` that bear a new column's name, in any case, are replaced.
     """
-    names = {f.name for f in fields}
-    kept = [f for f in df.schema.fields if f.name not in names and f.name not in drop]
+    names = {f.name.lower() for f in fields}
+    kept = [f for f in df.schema.fields if f.name.lower() not in names and f.name not in drop]
     schema = T.StructType(kept + fields)
     keep = [f.name for f in kept]
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, limit):
                 added = function(batch)
                 columns = [batch.column(batch.schema.get_field_index(n)) for n in keep]
                 columns += [
@@ -60,13 +61,14 @@ def flat_map(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], dict | None],
     schema: T.StructType,
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
-    """Rows made from batches: ``function`` returns columns by name, or None for no rows."""
+    """Rows made from slices of batches: ``function`` returns columns by name, or None for no rows."""
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, limit):
                 made = function(batch)
                 if made is None:
                     continue

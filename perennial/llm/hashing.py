@@ -8,8 +8,8 @@ from perennial.llm import worker
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
-# Bytes hashed at once; eight bytes a position are held for each of a few arrays.
-CHUNK = 4 << 20
+# Bytes hashed at once; eight bytes a position are held for each of about a dozen arrays, some 100 MB.
+CHUNK = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

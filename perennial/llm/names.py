@@ -23,3 +23,11 @@ def without(df: DataFrame, made: Iterable[str]) -> DataFrame:
     """``df`` without the columns that made ones replace."""
     gone = {name.lower() for name in made}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
+
+
+def aside(df: DataFrame, internal: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns that bear an internal name renamed, and how to rename them back."""
+    used = {name.lower() for name in internal}
+    spare = fresh([*df.columns, *used])
+    back = {next(spare): c for c in df.columns if c.lower() in used}
+    return df.withColumnsRenamed({own: name for name, own in back.items()}), back

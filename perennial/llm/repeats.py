@@ -26,10 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perennial.llm import arrow, hashing
-from perennial.llm.cleanup import stage_and_release
+from perennial.llm import arrow, hashing, names
+from perennial.llm.cleanup import discard, stage_and_release
 from perennial.llm.suffixes import common_prefix, deep_shallow_order
-from perennial.session import stage
 
 LENGTH = 200
 ANCHOR = 32
@@ -38,6 +37,9 @@ GATHERED = 256
 # Ranges into which the places of a string around its anchor are split.
 RANGES = 13
 
+# Bytes of a batch, compressed texts often, that a task works on at once: what they unpack to is several times that.
+SLICE = 1 << 20
+
 _POSITION_BITS = 28
 _PLACE = (1 << _POSITION_BITS) - 1
 
@@ -175,7 +177,7 @@ def _packed(keyed: DataFrame, text: str, drop: tuple[str, ...] = ()) -> DataFram
         values = batch.column(batch.schema.get_field_index(text)).to_pylist()
         return [[press.compress((v or "").encode("utf-8")) for v in values]]
 
-    return arrow.append(keyed, run, [T.StructField("blob", T.BinaryType())], (text, *drop))
+    return arrow.append(keyed, run, [T.StructField("blob", T.BinaryType())], (text, *drop), SLICE)
 
 
 def _surroundings(wanted: DataFrame, keyed: DataFrame, text: str, length: int, anchor: int) -> DataFrame:
@@ -199,10 +201,10 @@ def _surroundings(wanted: DataFrame, keyed: DataFrame, text: str, length: int, a
     long = keyed.where(F.octet_length(text) >= length).select("key", F.col(text).alias("text"))
     texts = _packed(long, "text").dropDuplicates(["key"])
     places = wanted.groupBy("key").agg(F.collect_list(F.struct("h", "around", "n", "at")).alias("places"))
-    return arrow.flat_map(texts.join(places, "key").select("blob", "places"), run, _SURROUNDINGS)
+    return arrow.flat_map(texts.join(places, "key").select("blob", "places"), run, _SURROUNDINGS, SLICE)
 
 
-def extents(members: list[tuple[bytes, bytes]], length: int) -> list[tuple[int, int] | None]:
+def extents(members: list[tuple[bytes, bytes]], length: int, anchor: int = 0) -> list[tuple[int, int] | None]:
     """How far around the anchor each member's repeated strings reach, before and after; None without any.
 
     A member is the reversed bytes before the anchor and those from it on. A
@@ -210,17 +212,13 @@ def extents(members: list[tuple[bytes, bytes]], length: int) -> list[tuple[int,
     they agree on ``d`` bytes to the left and ``length - d`` to the right.
     Sorting both sides makes members that agree on a depth neighbours, so for
     each ``d`` that can matter they are numbered by one pass over each order.
+    All members agree on the anchor, so their right sides are sorted from behind it.
     """
     n = len(members)
-    if n == 2:
-        (left, right), (other_left, other_right) = members
-        before, after = common_prefix(left, other_left), common_prefix(right, other_right)
-        both = (min(before, length), after) if before + after >= length else None
-        return [both, both]
     sides = []
-    for side in (0, 1):
+    for side, agreed in ((0, 0), (1, anchor)):
         strings = [m[side] for m in members]
-        order = deep_shallow_order(strings)
+        order = deep_shallow_order(strings, agreed)
         shared = [common_prefix(strings[a], strings[b]) for a, b in zip(order, order[1:], strict=False)]
         sides.append((order, shared))
     (left_order, left_shared), (right_order, right_shared) = sides
@@ -251,11 +249,11 @@ def extents(members: list[tuple[bytes, bytes]], length: int) -> list[tuple[int,
     return [None if r is None else (r[1], length - r[0]) for r in reach]
 
 
-def _sorted_extents(groups: DataFrame, length: int) -> DataFrame:
+def _sorted_extents(groups: DataFrame, length: int, anchor: int) -> DataFrame:
     """Extents within the gathered groups, which arrive one after the other."""
 
     def close(h: int, rows: list, made: dict) -> None:
-        for (around, n, _, _), found in zip(rows, extents([(l, r) for _, _, l, r in rows], length), strict=True):
+        for (around, n, _, _), found in zip(rows, extents([(l, r) for _, _, l, r in rows], length, anchor), strict=True):
             if found and n == 1:
                 for name, value in (("h", h), ("around", around), ("before", found[0]), ("after", found[1])):
                     made[name].append(value)
@@ -332,8 +330,8 @@ def _counted_extents(rows: DataFrame, length: int, anchor: int, n_ranges: int =
         return made
 
     longs = lambda *names: T.StructType([T.StructField(n, T.LongType()) for n in names])
-    made = stage(
-        arrow.flat_map(rows, ranges, longs("h", "around", "n", "low", "start", "stop", "core", "hull")), "ranges"
+    made = stage_and_release(
+        arrow.flat_map(rows, ranges, longs("h", "around", "n", "low", "start", "stop", "core", "hull"), SLICE), "ranges"
     )
     cores = made.groupBy("h", "low", "core").agg(F.sum("n").alias("n_core")).where("n_core > 1")
     hulls = (
@@ -350,8 +348,8 @@ def _counted_extents(rows: DataFrame, length: int, anchor: int, n_ranges: int =
         .groupBy("h", "around")
         .agg(F.collect_list(F.struct("start", "stop")).alias("opened"))
     )
-    single = stage(
-        arrow.flat_map(rows.join(opened, ["h", "around"]), strings, longs("h", "around", "n", "d", "string")), "strings"
+    single = stage_and_release(
+        arrow.flat_map(rows.join(opened, ["h", "around"]), strings, longs("h", "around", "n", "d", "string"), SLICE), "strings"
     )
     twice = single.groupBy("h", "d", "string").agg(F.sum("n").alias("n_string")).where("n_string > 1")
     found = single.join(twice, ["h", "d", "string"]).select("h", "around", F.col("d").alias("a"), F.col("d").alias("b"))
@@ -365,10 +363,10 @@ def _counted_extents(rows: DataFrame, length: int, anchor: int, n_ranges: int =
 def spans(keyed: DataFrame, text: str, length: int = LENGTH, anchor: int = ANCHOR, gathered: int = GATHERED) -> DataFrame:
     """``(key, spans)``: for texts with repeated strings the byte ranges these cover, unmerged."""
     long = keyed.where(F.octet_length(text) >= length).select("key", F.col(text).alias("text"))
-    found = stage(arrow.flat_map(long, _anchor_rows(length, anchor), _ANCHORS), "anchors")
+    found = stage_and_release(arrow.flat_map(long, _anchor_rows(length, anchor), _ANCHORS, SLICE), "anchors")
     # counts are stored before rows are joined to them: adaptive execution splits a hot anchor of
     # a join whose sides are plain shuffles
-    several = stage(
+    several = stage_and_release(
         found.groupBy("h")
         .agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("low"), F.max("around").alias("high"))
         .where("n > 1")
@@ -376,6 +374,7 @@ def spans(keyed: DataFrame, text: str, length: int = LENGTH, anchor: int = ANCHO
         "several",
     )
     met = stage_and_release(found.join(several, "h"), "met")
+    discard(found, several)
     reach = length - anchor
     whole = [(F.col("at") - reach).alias("start"), (F.col("at") + length).alias("end")]
     alike = met.where("alike").select("key", *whole)
@@ -387,18 +386,20 @@ def spans(keyed: DataFrame, text: str, length: int = LENGTH, anchor: int = ANCHO
         "distinct",
     )
     sizes = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("size"))
-    around = stage_and_release(_surroundings(distinct, keyed, text, length, anchor), "surroundings").join(sizes, "h")
+    surroundings = stage_and_release(_surroundings(distinct, keyed, text, length, anchor), "surroundings")
+    around = surroundings.join(sizes, "h")
     small = around.where(F.col("size") <= gathered).drop("size")
     large = around.where(F.col("size") > gathered).drop("size")
     settled = distinct.where("n > 1").select(
         "h", "around", F.lit(reach).cast("long").alias("before"), F.lit(length).cast("long").alias("after")
     )
-    reached = _sorted_extents(small, length).union(settled)
+    reached = _sorted_extents(small, length, anchor).union(settled)
     if not large.isEmpty():
         reached = reached.union(_counted_extents(large, length, anchor))
-    reached = stage(
+    reached = stage_and_release(
         reached.groupBy("h", "around").agg(F.max("before").alias("before"), F.max("after").alias("after")), "reached"
     )
+    discard(distinct, surroundings)
     partly = different.join(reached, ["h", "around"]).select(
         "key", (F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("end")
     )
@@ -417,7 +418,8 @@ def remove_repeats(
     Very long texts are read in chunks. The text column goes; columns that bear
     a new name are replaced; the others stay.
     """
-    rows = _keyed(docs.drop("key", "blob", "spans", "n_bytes", "n_removed", "n_spans", "kept"), text)
+    own, back = names.aside(names.without(docs, ("n_bytes", "n_removed", "n_spans", "kept")), ("key", "blob", "spans"))
+    rows = _keyed(own, text)
 
     def run(batch: pa.RecordBatch) -> list:
         unpack = zstandard.ZstdDecompressor()
@@ -442,4 +444,4 @@ def remove_repeats(
 
     joined = _packed(rows, text).join(spans(rows, text, length, anchor, gathered), "key", "left")
     fields = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
-    return arrow.append(joined, run, [*fields, T.StructField("kept", T.BinaryType())], ("key", "blob", "spans"))
+    return arrow.append(joined, run, [*fields, T.StructField("kept", T.BinaryType())], ("key", "blob", "spans"), SLICE).withColumnsRenamed(back)
