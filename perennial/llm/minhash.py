@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perennial.llm import arrow, hashing
+from perennial.llm import arrow, hashing, names
 from perennial.llm.cleanup import stage_and_release
 from perennial.llm.components import components
 from perennial.session import stage
@@ -256,18 +256,41 @@ def _rest(members: DataFrame, labels: DataFrame, docs: DataFrame, id_col: str, t
     rare = ordered.select(
         "id", "label", "n", alone.alias("alone"), F.posexplode(F.slice("items", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int")))
     ).where("col.open").select("id", "label", "n", "col.item", (F.col("n") - F.col("alone") - F.col("pos")).alias("left"))
-    left = rare.select("item", *[F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "left")])
-    right = rare.select("item", *[F.col(c).alias(f"{c}_b") for c in ("id", "label", "n", "left")])
-    near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
+    near = F.col("n_b") * 100 >= F.col("n_a") * PERCENT
     enough = F.least("left_a", "left_b") * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT
     return (
-        left.join(right, "item")
-        .where((F.col("label_a") < F.col("label_b")) & near & enough)
+        _meeting(rare)
+        .where((F.col("label_a") != F.col("label_b")) & near & enough)
         .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
         .distinct()
     )
 
 
+# Sizes of one class differ by five per cent at most.
+_CLASSES = 20
+
+
+def _meeting(rare: DataFrame) -> DataFrame:
+    """Pairs of sets that share a rare item and whose sizes leave room for a link.
+
+    From an item on, a set has ``left`` items that another can share, so a link
+    to a set that is not larger needs one of at most ``left * 175 / 75 - n``
+    items. Sets meet by item and class of size: those of one template that share
+    too little for their size never meet, however many there are.
+    """
+    size_class = lambda n: F.floor(F.ln(n) * _CLASSES).cast("int")
+    low = F.ceil(F.col("n") * F.lit(PERCENT) / F.lit(100))
+    high = F.least(F.col("n"), F.floor(F.col("left") * F.lit(100 + PERCENT) / F.lit(PERCENT)) - F.col("n"))
+    columns = ("id", "label", "n", "left")
+    larger = rare.where(high >= low).select(
+        "item",
+        *[F.col(c).alias(f"{c}_a") for c in columns],
+        F.explode(F.sequence(size_class(low), size_class(high))).alias("class"),
+    )
+    other = rare.select("item", *[F.col(c).alias(f"{c}_b") for c in columns], size_class(F.col("n")).alias("class"))
+    return larger.join(other, ["item", "class"]).where(F.col("n_b") <= F.col("n_a"))
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` of every document.
 
@@ -307,5 +330,6 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those linked to one with a smaller id."""
-    dropped = link(docs, id_col, text).where(~F.col("kept")).select(F.col("id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs[id_col].cast("long") == F.col("_dropped"), "left_anti")
+    own_id = next(names.fresh(docs.columns))
+    dropped = link(docs, id_col, text).where(~F.col("kept")).select(F.col("id").alias(own_id)).distinct()
+    return docs.join(dropped, docs[id_col].cast("long") == F.col(own_id), "left_anti")

@@ -90,3 +90,16 @@ def test_components_of_chains_stars_and_loops(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     out = components.components(spark.createDataFrame(edges, "u long, v long"))
     assert sorted(map(tuple, out.collect())) == sorted((x, root[x]) for x in linked)
+
+
+def test_sets_of_one_template_never_meet(spark):
+    # sets of 100 with 80 shingles of a template: 0.67 alike, of which the rarest six shared ones are looked up
+    rare = spark.range(3000).selectExpr("id", "id as label", "100L as n", "explode(sequence(0, 5)) as pos").selectExpr(
+        "id", "label", "n", "cast(pos as long) as item", "80L - pos as left"
+    )
+    assert minhash._meeting(rare).count() == 0
+    # sets that may be links still meet, once from the larger one
+    three = [(1, 1, 100, 7, 90), (2, 2, 90, 7, 90), (3, 3, 70, 7, 70)]
+    pair = spark.createDataFrame(three, "id long, label long, n long, item long, left long")
+    met = {(r["id_a"], r["id_b"]) for r in minhash._meeting(pair).where("id_a <> id_b").collect()}
+    assert met == {(1, 2), (2, 3)}
