@@ -10,9 +10,12 @@ import html
 import re
 from dataclasses import dataclass, field
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_ANY_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?|\"[^\"]*\"|'[^']*'")
+# An attribute: a quote opens a value only after an equals sign, elsewhere it is a character like others.
+_ATTRIBUTE = r"(?:=?[^\s/>=]++|=)(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+"
+_TAG = re.compile(rf"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE})*+)>")
+_NAME_AND_VALUE = re.compile(r"(=?[^\s/>=]++|=)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+")
+_COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))", re.S)
+_NAMING = ("class", "id", "role", "aria-label", "itemprop")
 _MAY_HIDE = re.compile(r"hidden|display", re.I)
 _DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -61,19 +64,23 @@ class Tree:
     runs: list[tuple[int, str]] = field(default_factory=list)
 
 
-def _names(attributes: str) -> tuple[str, ...]:
+def _attributes(text: str) -> dict[str, str]:
+    """Values by name; the first attribute of a name counts."""
+    found: dict[str, str] = {}
+    for name, value in _NAME_AND_VALUE.findall(text):
+        plain = value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1 else value
+        found.setdefault(name.lower(), html.unescape(plain))
+    return found
+
+
+def _names(found: dict[str, str]) -> tuple[str, ...]:
     return tuple(
-        part.lower()
-        for _, value in _ATTRIBUTE.findall(attributes)
-        for part in _NAME_PART.findall(html.unescape(value))
+        part.lower() for name, value in found.items() if name in _NAMING for part in _NAME_PART.findall(value)
     )
 
 
-def _hidden(attributes: str) -> bool:
-    """Whether an element is hidden by its hidden attribute, its own style or ``aria-hidden``. The first attribute of a name counts."""
-    found: dict[str, str] = {}
-    for name, value in _ANY_ATTRIBUTE.findall(attributes):
-        found.setdefault(name.lower(), html.unescape(value.strip("\"'")))
+def _hidden(found: dict[str, str]) -> bool:
+    """Whether an element is hidden by its hidden attribute, its own style or ``aria-hidden``."""
     shown = _DISPLAY.findall(found.get("style", ""))
     return (
         "hidden" in found
@@ -83,11 +90,19 @@ def _hidden(attributes: str) -> bool:
 
 
 def read(page: str) -> Tree:
-    """The block tree of a page. Unclosed and stray tags are borne with; nothing fails."""
+    """The block tree of a page. Unclosed and stray tags are borne with; nothing fails.
+
+    Time grows with the page's length: every character is passed once, and
+    open elements are looked up by name, not along the stack. A tag that the
+    page ends in gives nothing.
+    """
     tree = Tree()
     # open elements: tag, its block, whether it is a block of its own
     stack: list[tuple[str, int]] = [("#page", 0)]
     block, anchors, foreign = 0, 0, 0
+    # depths on the stack of the open elements of a name, and of those that are blocks
+    depths: dict[str, list[int]] = {}
+    block_depths: list[int] = []
     # elements without an end tag in the rest of the page
     endless: set[str] = set()
     parts: list[str] = []
@@ -110,45 +125,67 @@ def read(page: str) -> Tree:
         nonlocal block, anchors, foreign
         while len(stack) > depth:
             tag, own = stack.pop()
+            if tag != "#ended":
+                depths[tag].pop()
             if tag == "a":
                 anchors -= 1
             foreign -= tag in FOREIGN
             if own >= 0:
                 flush()
+                block_depths.pop()
                 block = tree.parents[own]
 
+    def push(tag: str, own: int) -> None:
+        depths.setdefault(tag, []).append(len(stack))
+        if own >= 0:
+            block_depths.append(len(stack))
+        stack.append((tag, own))
+
     def find(tags, stops=()) -> int | None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] in tags:
-                return depth
-            if stack[depth][0] in stops:
-                return None
-        return None
+        """The innermost open element of these names, if none of ``stops`` is open within it."""
+        nearest = lambda names: max((d[-1] for n in names if (d := depths.get(n))), default=0)
+        depth = nearest(tags)
+        return depth if depth > nearest(stops) else None
 
     while at < size:
-        match = _TOKEN.search(page, at)
-        text = page[at : match.start() if match else size]
+        # the next tag, comment or declaration; any other < is text
+        start = page.find("<", at)
+        match, skipped = None, 0
+        while start >= 0:
+            after = page[start + 1 : start + 3]
+            if after[:1].isascii() and (after[:1].isalpha() or (after[:1] == "/" and after[1:].isascii() and after[1:].isalpha())):
+                match = _TAG.match(page, start)
+                skipped = match.end() if match else size
+                break
+            if after[:1] in ("!", "?", "/") and after[1:]:
+                comment = _COMMENT.match(page, start)
+                end = comment.end() - 1 if comment else page.find(">", start)
+                skipped = end + 1 if end >= 0 else size
+                break
+            start = page.find("<", start + 1)
+        text = page[at : start if start >= 0 else size]
         if text:
             text = html.unescape(text) if "&" in text else text
             parts.append(text)
             if anchors:
                 linked += len(text.strip())
-        if not match:
+        if start < 0:
             break
-        at = match.end()
-        closing, tag, attributes = match.group(1), match.group(2), match.group(3)
-        if tag is None:
+        at = skipped
+        if not match:
             continue
+        closing, tag, attributes = match.group(1), match.group(2), match.group(3)
         tag = tag.lower()
         if closing:
             if tag == "br":
                 parts.append(" ")
             depth = find((tag,), () if tag not in INLINE else ("td", "th", "table"))
             if depth is not None:
-                # an inline end tag doesn't end the blocks it happens to hold
-                if tag not in INLINE or all(own < 0 for _, own in stack[depth:]):
+                # an inline end tag doesn't end the blocks it happens to hold, unless it is one itself
+                if tag not in INLINE or stack[depth][1] >= 0 or not block_depths or block_depths[-1] < depth:
                     pop(depth)
                 else:
+                    depths[tag].pop()
                     stack[depth] = ("#ended", -1)
                     anchors -= tag == "a"
                     foreign -= tag in FOREIGN
@@ -156,8 +193,9 @@ def read(page: str) -> Tree:
                 flush()
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            if not attributes.endswith("/"):
+            # only in svg and math a slash ends such an element
+            if not (foreign and attributes.endswith("/")):
+                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*+>", re.I).search(page, at)
                 at = end.end() if end else size
             if tag not in INLINE and not foreign:
                 flush()
@@ -194,7 +232,7 @@ def read(page: str) -> Tree:
         if tag in INLINE and tag not in SHUT or foreign and tag not in BLOCKS:
             if foreign and tag == "text":
                 parts.append(" ")
-            stack.append((tag, -1))
+            push(tag, -1)
             anchors += tag == "a"
             foreign += tag in FOREIGN
             continue
@@ -202,11 +240,14 @@ def read(page: str) -> Tree:
         tree.tags.append(tag)
         tree.parents.append(block)
         tree.depths.append(tree.depths[block] + 1)
-        tree.names.append(_names(attributes) if attributes else ())
-        tree.shut.append(tree.shut[block] or tag in SHUT or bool(_MAY_HIDE.search(attributes) and _hidden(attributes)))
+        own_attributes = _attributes(attributes) if attributes else {}
+        tree.names.append(_names(own_attributes))
+        tree.shut.append(
+            tree.shut[block] or tag in SHUT or bool(_MAY_HIDE.search(attributes) and _hidden(own_attributes))
+        )
         tree.links.append(0)
         block = len(tree.tags) - 1
-        stack.append((tag, block))
+        push(tag, block)
     flush()
     # text beside blocks becomes a block of its own, so that it can differ from what surrounds it
     mixed = set(tree.parents)

@@ -366,21 +366,32 @@ def _from_table(page: str) -> tuple[dom.Tree, np.ndarray] | None:
     return tree, labels_of(tree, inside)
 
 
-def train(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES, n_composed: int = COMPOSED_PAGES) -> Model:
+def train(
+    pages: DataFrame,
+    html_col: str = "html",
+    sample: int = SAMPLE_PAGES,
+    n_composed: int = COMPOSED_PAGES,
+    longest: int = 100_000,
+    most_words: int = 5_000,
+) -> Model:
     """Fit the model on a sample of at most ``sample`` pages and on composed layouts.
 
+    Only pages of less than ``longest`` characters are fitted, and the layouts
+    are composed of at most ``most_words`` words of theirs: both bound what the
+    driver holds, neither what is extracted.
+
     The sample are the distinct pages of the smallest hashes, which any
     partitioning yields alike; hashes are compared first, and pages leave their
     task only when chosen. An empty table leaves the composed layouts.
     """
     rows = pages.select(F.col(html_col).alias("page"), F.xxhash64(html_col).alias("h")).where(
-        "page is not null and length(page) < 100000"
+        F.col("page").isNotNull() & (F.char_length("page") < longest)
     )
     cut = rows.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     found = rows.where(F.col("h") <= F.lit(cut)).dropDuplicates(["h"]).collect() if cut is not None else []
     chosen = [r["page"] for r in sorted(found, key=lambda r: r["h"])]
     own = [labelled for page in chosen if (labelled := _from_table(page))]
-    words = sorted({w for tree, _ in own for _, text in tree.runs for w in text.split() if len(w) < 20})[:5000]
+    words = sorted({w for tree, _ in own for _, text in tree.runs for w in text.split() if len(w) < 20})[:most_words]
     words = words or "the of and to in is that for it was on are as with they at be this from have".split()
     return fit(own + [read_labelled(page) for page in composed(words, n_composed)])
 

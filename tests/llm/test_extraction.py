@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -83,6 +84,51 @@ def test_reader(page, runs):
     assert [text for _, text in dom.read(page).runs] == runs
 
 
+@pytest.mark.parametrize(
+    "page, runs",
+    [
+        ("<div data-x=it's><p>Text of the article.</p><p>They don't...", ["Text of the article.", "They don't..."]),
+        ('<p title=5"tall>First sentence', ["First sentence"]),
+        ("<p>a</p><script src=/js/app/>var x=1;</script><p>b", ["a", "b"]),
+        ('<p>a</p><script src="a.js"/>var x=1;</script><p>b', ["a", "b"]),
+        ("<svg><style/><text>in a picture</text></svg>", ["in a picture"]),
+        ('<a href="x>y" title=\'>\'>z</a> <!--> 1 <!-- > -- > --> 2 <!doctype html> <3 </3> 4', ["z 1 2 <3 4"]),
+        ("<p>a <button>b</button> c</p>", ["a", "b", "c"]),
+        ("<p>kept</p><p class='cut off", ["kept"]),
+        ("<b>bold<div>in it</b> more</div>after", ["bold", "in it more", "after"]),
+    ],
+)
+def test_reader_takes_tags_as_browsers_do(page, runs):
+    assert [text for _, text in dom.read(page).runs] == runs
+
+
+HOSTILE = {
+    "quotes": lambda n: '<a "' * n,
+    "nested blocks": lambda n: "<div>" * n,
+    "inline over blocks": lambda n: "<b>" * n + "<div>" + "</b>" * n,
+    "one open tag": lambda n: "<p>" + "<a y" * n + ' z=">"',
+    "in a button": lambda n: "<p><button>" + "<div>" * n,
+    "open comments": lambda n: "<!--" * n + "<!x" * n,
+    "lists": lambda n: "<ul><li>" * n,
+    "no tags": lambda n: "<" * n + "</template" * n + "<template>" * n,
+}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_time_grows_with_the_page(kind):
+    def least(n):
+        page = HOSTILE[kind](n)
+        times = []
+        for _ in range(3):
+            start = time.process_time()
+            dom.read(page)
+            times.append(time.process_time() - start)
+        return min(times)
+
+    # twice the page takes twice the time; 3.2 leaves room for the clock
+    assert least(24_000) <= 3.2 * least(12_000) + 0.02
+
+
 def test_marginals_are_those_of_all_labellings(model):
     """Sum-product against the sum over every labelling of a small tree."""
     import itertools
