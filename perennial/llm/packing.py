@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -27,8 +27,10 @@ LENGTH = 2048
 END_ID = 0
 # Pieces packed together by one task.
 GROUP = 20_000
-# Bins that a group passes on to the next round: its emptiest.
-PASSED_ON = 32
+# Bins filled less than this share are passed on to meet those of other groups ...
+FULL = 0.98
+# ... as long as a round empties at least this share of the bins that met.
+LEAST_GAIN = 0.002
 
 PIECES = T.StructType(
     [
@@ -144,12 +146,20 @@ class Bins:
                 self.fill[b] += size
 
     def improve(self) -> None:
-        """Raise the squared fill until no move or exchange does.
+        """Raise the squared fill until no move or exchange into a bin that is at least as full does.
 
-        The fullest bin with a gap is served first, from bins that are less
-        full: what moves up raises the sum of squares.
+        The fullest bin with a gap is served first, from bins that are no
+        fuller at that moment: whatever moves up raises the sum of squares.
+        Rounds follow each other until one finds no step.
         """
-        order = sorted((b for b in range(len(self.fill)) if self.fill[b] < self.length), key=lambda b: -self.fill[b])
+        while self._serve_all():
+            pass
+        kept = [b for b in range(len(self.fill)) if self.fill[b]]
+        self.items, self.fill = [self.items[b] for b in kept], [self.fill[b] for b in kept]
+
+    def _serve_all(self) -> int:
+        """Serve every bin with a gap once, by current fill; the number of steps taken."""
+        order = [b for b in range(len(self.fill)) if 0 < self.fill[b] < self.length]
         # who holds a piece of a size, and two pieces of a sum
         holders, pairs = Index(), Index()
 
@@ -159,7 +169,14 @@ class Bins:
 
         for b in order:
             offer(b)
-        for target in order:
+        steps = 0
+        waiting = [(-self.fill[b], b) for b in order]
+        heapify(waiting)
+        while waiting:
+            fill, target = heappop(waiting)
+            # a bin that has given since then waits with its new fill, too
+            if -fill != self.fill[target] or target not in holders.values:
+                continue
             holders.forget(target)
             pairs.forget(target)
             while 0 < self.fill[target] < self.length:
@@ -170,9 +187,11 @@ class Bins:
                 holders.forget(source)
                 pairs.forget(source)
                 self._shift(source, target, given, taken)
-                offer(source)
-        kept = [b for b in range(len(self.fill)) if self.fill[b]]
-        self.items, self.fill = [self.items[b] for b in kept], [self.fill[b] for b in kept]
+                steps += 1
+                if self.fill[source]:
+                    offer(source)
+                    heappush(waiting, (-self.fill[source], source))
+        return steps
 
     def _pair_sums(self, b: int) -> list[int]:
         """The sums of two pieces of a bin."""
@@ -224,7 +243,7 @@ def assign(lengths: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.nd
 
 
 def _packed_groups(rows: DataFrame, n_groups: int, number: int, last: bool, length: int) -> DataFrame:
-    """Pack each group; ``open`` marks the pieces of its emptiest bins unless this is the last round."""
+    """Pack each group; ``open`` marks the pieces of its underfilled bins unless one group has all."""
     schema = T.StructType(
         PIECES.fields
         + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("open", T.BooleanType())]
@@ -232,7 +251,7 @@ def _packed_groups(rows: DataFrame, n_groups: int, number: int, last: bool, leng
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         where, offset, fill = assign(pdf["length"].to_numpy(), length)
-        passed = [] if last else [b for b in sorted(range(len(fill)), key=lambda b: fill[b])[:PASSED_ON] if fill[b] < length]
+        passed = [] if last else [b for b in range(len(fill)) if fill[b] < FULL * length]
         # odd numbers: round, group and bin; even ones are the full pieces
         ids = (((number << 24) + int(key[0])) << 32) + where
         out = pdf[PIECES.names].copy()
@@ -259,7 +278,9 @@ def pack(
     null id stays null, an empty table gives no rows, other columns play no
     part. Which of several pieces of one length goes where is arbitrary.
     Nothing but counts reaches the driver; a group holds about ``group``
-    pieces, dealt by row number, so hot ids do not meet.
+    pieces, dealt by row number, so hot ids do not meet. Bins filled less than
+    ``FULL`` meet those of other groups in further rounds, until one group holds
+    them all or a round empties less than ``LEAST_GAIN`` of them.
     """
     rows = stage(pieces(docs, id_col, text, length, tokenizer), "pieces")
     full = rows.where(F.col("length") == length).select(
@@ -268,14 +289,15 @@ def pack(
         F.lit(0).cast("long").alias("offset"),
     )
     out, rest, number = full, rows.where(F.col("length") < length), 0
-    n = rest.count()
+    n, met = rest.count(), None
     while n:
         n_groups = -(-n // group)
         packed = stage(_packed_groups(rest, n_groups, number, n_groups == 1, length), "packed")
+        # every bin has one piece at its beginning
+        begins = F.col("offset") == 0
+        bins, n, open_bins = packed.agg(F.count_if(begins), F.count_if("open"), F.count_if(begins & F.col("open"))).first()
         out = out.union(packed.where(~F.col("open")).select(out.columns))
-        rest, before, number = packed.where("open").select(*PIECES.names), n, number + 1
-        n = rest.count()
-        if 2 * n > before:  # nothing gained by meeting again
-            out = out.union(packed.where("open").select(out.columns))
-            break
+        if met is not None and bins > (1 - LEAST_GAIN) * met:
+            return out.union(packed.where("open").select(out.columns))
+        rest, met, number = packed.where("open").select(*PIECES.names), open_bins, number + 1
     return out
