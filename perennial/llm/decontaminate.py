@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perennial.llm import arrow
+from perennial.llm import arrow, names
 
 WINDOW = 10
 MADE = ("n_words", "n_hit", "n_items", "items", "spans", "contaminated")
@@ -142,7 +142,7 @@ def find(
         T.StructField("spans", T.ArrayType(T.IntegerType())),
         T.StructField("items", T.ArrayType(T.StringType())),
     ]
-    out = docs.drop(*[c for c in MADE if c in docs.columns])
+    out = names.without(docs, MADE)
     for number, (last, block) in enumerate(_blocks(benchmark, item_id, item_text, block_bytes)):
         sent = context.broadcast(block)
         out = arrow.append(out, _searching(sent, text, window, number > 0), fields, drop if last else ())
@@ -191,7 +191,6 @@ def _searching(sent, text: str, window: int, later: bool):
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents that hold no window of the benchmark, with their own columns only."""
-    aside = {c: f"_own_{c}" for c in docs.columns if c in MADE}
-    found = find(docs.withColumnsRenamed(aside), benchmark, text, **options)
-    own = [F.col(aside.get(c, c)).alias(c) for c in docs.columns]
-    return found.where(~F.col("contaminated")).select(*own)
+    renamed, back = names.aside(docs, MADE)
+    found = find(renamed, benchmark, text, **options)
+    return found.where(~F.col("contaminated")).drop(*MADE).withColumnsRenamed(back)

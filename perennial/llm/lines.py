@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perennial.llm import names
 from perennial.session import stage
 
 # A line is boilerplate of its site when more than this share of the site's pages carry it ...
@@ -22,6 +23,16 @@ def _line_keys(text: Column) -> Column:
     )
 
 
+def site_of(url: Column) -> Column:
+    """The host of a page's address in lower case; null without one."""
+    return F.lower(F.try_parse_url(url, F.lit("HOST")))
+
+
+def between_tags(html: Column) -> Column:
+    """A page's source with each tag replaced by a line break, so that what stands between tags is a line."""
+    return F.regexp_replace(html, "<[^>]*>", "\n")
+
+
 def boilerplate(
     docs: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES
 ) -> DataFrame:
@@ -30,7 +41,9 @@ def boilerplate(
     A page counts once for each line it has. Counting is partial in each task,
     so a site with a third of all pages meets as counts, not as pages. Lines
     above the ratio number at most (lines per page) / ratio for a site, which
-    bounds the array whatever the number of pages.
+    bounds the array whatever the number of pages. A null site is a site of its
+    own, null and empty texts have no lines, repeated rows are pages each, and
+    other columns play no part.
     """
     pages = docs.groupBy(F.col(site).alias("_site")).agg(F.count(F.lit(1)).alias("n_pages"))
     lines = (
@@ -62,6 +75,9 @@ def drop_boilerplate(
     is stored first, so its size is known: Catalyst broadcasts it when small
     and otherwise shuffles, where adaptive execution splits a hot site.
     """
+    own = names.without(docs, ("n_lines", "n_dropped"))
+    if not {site, text} <= set(docs.columns):
+        raise ValueError("site and text must be columns, spelled as they are")
     found = stage(
         boilerplate(docs, site, text, ratio, min_pages).select(
             F.coalesce(F.concat(F.lit("s"), F.col("_site").cast("string")), F.lit("n")).alias("_key"),
@@ -69,7 +85,8 @@ def drop_boilerplate(
         ),
         "boilerplate",
     )
-    keyed = docs.drop("n_lines", "n_dropped").withColumn(
+    own, back = names.aside(own, ("_key", "_drop", "_keys", "_kept"))
+    keyed = own.withColumn(
         "_key", F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("n"))
     )
     joined = keyed.join(found, "_key", "left")
@@ -86,4 +103,4 @@ def drop_boilerplate(
     )
     return counted.withColumn(
         text, F.when(F.col("_kept").isNotNull(), F.array_join("_kept", "\n")).otherwise(F.col(text))
-    ).drop("_key", "_drop", "_keys", "_kept")
+    ).drop("_key", "_drop", "_keys", "_kept").withColumnsRenamed(back)

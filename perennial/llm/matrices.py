@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,8 @@ MATRICES = T.StructType(
         T.StructField("positions", T.BinaryType()),
         T.StructField("cu_seqlens", T.ArrayType(T.IntegerType())),
         T.StructField("row_segments", T.ArrayType(T.IntegerType())),
+        T.StructField("doc_ids", T.ArrayType(T.LongType())),
+        T.StructField("doc_starts", T.ArrayType(T.LongType())),
     ]
 )
 
@@ -162,13 +164,16 @@ def pack(
 def matrices(sequences: DataFrame, length: int = LENGTH, rows: int = MATRIX_ROWS) -> DataFrame:
     """Sequences stacked to matrices of at most ``rows`` rows, with segment lengths cumulated over the matrix.
 
-    ``row_segments`` has the number of segments of each row. Matrices are
+    ``row_segments`` has the number of segments of each row, ``doc_ids`` and
+    ``doc_starts`` the document and place of every segment. Matrices are
     stacked where the sequences lie; the last one of a batch may be smaller.
+    ``sequences`` takes them apart again.
     """
+    kept = ["sequence_id", "cu_seqlens", "doc_ids", "doc_starts", "ids", "positions"]
 
     def run(batch: pa.RecordBatch) -> dict:
         made: dict[str, list] = {n: [] for n in MATRICES.names}
-        named = {n: batch.column(batch.schema.get_field_index(n)) for n in ("sequence_id", "cu_seqlens", "ids", "positions")}
+        named = {n: batch.column(batch.schema.get_field_index(n)) for n in kept}
         for start in range(0, batch.num_rows, rows):
             part = {n: c.slice(start, rows).to_pylist() for n, c in named.items()}
             segments = [np.diff(edges) for edges in part["cu_seqlens"]]
@@ -180,19 +185,50 @@ def matrices(sequences: DataFrame, length: int = LENGTH, rows: int = MATRIX_ROWS
                 b"".join(part["positions"]),
                 np.cumsum([0, *np.concatenate(segments)]).tolist(),
                 [len(s) for s in segments],
+                [i for row_ids in part["doc_ids"] for i in row_ids],
+                [i for row_starts in part["doc_starts"] for i in row_starts],
             )
             for name, value in zip(made, row, strict=True):
                 made[name].append(value)
         return made
 
-    return arrow.flat_map(sequences.select("sequence_id", "cu_seqlens", "ids", "positions"), run, MATRICES)
+    return arrow.flat_map(sequences.select(*kept), run, MATRICES)
 
 
 def write(sequences: DataFrame, path: str, length: int = LENGTH, rows: int = MATRIX_ROWS) -> None:
-    """Write the matrices as Parquet files of binary rows, one file for each task's sequences."""
+    """Write the matrices as Parquet files of binary rows, one file for each task's sequences.
+
+    Tasks write what they pack, so a retried task writes its own file again.
+    Existing files are an error; no sequences leave an empty table.
+    """
     matrices(sequences, length, rows).write.parquet(path)
 
 
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """Written matrices."""
+    return spark.read.schema(MATRICES).parquet(path)
+
+
+def sequences(stacked: DataFrame) -> DataFrame:
+    """The rows of matrices as ``pack`` made them: one row per sequence, its segments counted from 0."""
+    rows = stacked.select("*", F.posexplode("row_segments").alias("row", "n"))
+    before = F.aggregate(F.slice("row_segments", F.lit(1), F.col("row")), F.lit(0), lambda a, b: a + b)
+    placed = rows.withColumn("before", before)
+    edges = F.slice("cu_seqlens", F.col("before") + 1, F.col("n") + 1)
+    width = lambda name: (F.octet_length(name) / F.col("n_rows")).cast("int")
+    row_of = lambda name: F.substring(name, F.col("row") * width(name) + 1, width(name)).alias(name)
+    of_segments = lambda name: F.slice(name, F.col("before") + 1, F.col("n")).alias(name)
+    return placed.withColumn("edges", edges).select(
+        (F.col("matrix_id") + F.col("row")).alias("sequence_id"),
+        (F.element_at("edges", -1) - F.element_at("edges", 1)).alias("n_tokens"),
+        of_segments("doc_ids"),
+        of_segments("doc_starts"),
+        F.transform("edges", lambda x: x - F.element_at("edges", 1)).alias("cu_seqlens"),
+        row_of("ids"),
+        row_of("positions"),
+    )
+
+
 def matrix(data: bytes, n_rows: int, length: int) -> np.ndarray:
     """A written matrix as an array of ids or positions."""
     kind = "<u2" if len(data) == 2 * n_rows * length else "<u4"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from perennial.llm import licenses, lines, preferences, quality
+from perennial.llm import licenses, preferences, quality
 
 _WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -34,26 +34,28 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 from judged
 """
 
-OP4 = rf"""
-with split as (
-  select doc_id, source, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos
-  from documents where text is not null),
-pages as (select source, count(*) as n_pages from documents group by source),
+OP4 = r"""
+with texts as (
+  select row_number() over () as r, page_id, nullif(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)', 1)), '') as host,
+    regexp_replace(html, '<[^>]*>', chr(10), 'g') as text from pages),
+split as (
+  select r, host, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos
+  from texts where text is not null),
+totals as (select host, count(*) as n_pages from texts group by host),
 counted as (
-  select source, trim(line, ' ' || chr(9) || chr(13)) as key, count(distinct doc_id) as n from split
+  select host, trim(line, ' ' || chr(9) || chr(13)) as key, count(distinct r) as n from split
   where trim(line, ' ' || chr(9) || chr(13)) <> '' group by 1, 2),
 boiler as (
-  select c.source, key from counted c join pages p on c.source is not distinct from p.source
-  where n >= {lines.MIN_PAGES} and n > n_pages * cast({lines.RATIO} as double)),
+  select c.host, key from counted c join totals p on c.host is not distinct from p.host where n >= 5 and n > n_pages * 0.1::double),
 marked as (
   select s.*, b.key is not null as boilerplate from split s left join boiler b
-  on s.source is not distinct from b.source and trim(s.line, ' ' || chr(9) || chr(13)) = b.key),
+  on s.host is not distinct from b.host and trim(s.line, ' ' || chr(9) || chr(13)) = b.key),
 cleaned as (
-  select doc_id, count(*) as n_lines, count(*) filter (where boilerplate) as n_dropped,
+  select r, count(*) as n_lines, count(*) filter (where boilerplate) as n_dropped,
     coalesce(string_agg(line, chr(10) order by pos) filter (where not boilerplate), '') as text
-  from marked group by doc_id)
-select d.doc_id, cast(coalesce(n_lines, 0) as bigint) as n_lines, cast(coalesce(n_dropped, 0) as bigint) as n_dropped, md5(c.text) as text_md5
-from documents d left join cleaned c using (doc_id)
+  from marked group by r)
+select page_id, host, cast(coalesce(n_lines, 0) as bigint) as n_lines, cast(coalesce(n_dropped, 0) as bigint) as n_dropped, md5(c.text) as text_md5
+from texts left join cleaned c using (r)
 """
 
 _FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -131,18 +133,18 @@ _MASK = (
 OP6 = f"""
 with whole as (
   select conv_id, list({{'turn': turn, 'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn, role, text) as ts
-  from conversations where conv_id is not null group by conv_id),
+  from conversations group by conv_id),
 placed as (
   select conv_id, ts, list_max(list_filter(range(1, len(ts) + 1), lambda i: ts[i].role = '{_ROLE}')) as last from whole),
 answered as (select * from placed where last is not null),
 pairs as (
   select a.conv_id as pair_id, a.ts as c, a.last, b.ts[b.last].text as other
-  from answered a join answered b on xor(a.conv_id, 1) = b.conv_id),
+  from answered a left join answered b on xor(a.conv_id, 1) = b.conv_id),
 replaced as (
-  select pair_id, c, list_transform(c, lambda t, i: case when i = last
-    then {{'turn': t.turn, 'role': t.role, 'text': other}} else t end) as r from pairs),
+  select pair_id, c, case when other is null then c[1:last - 1] else list_transform(c, lambda t, i: case when i = last
+    then {{'turn': t.turn, 'role': t.role, 'text': other}} else t end) end as r from pairs),
 cut as (
-  select *, coalesce(list_min(list_filter(range(1, len(c) + 1), lambda i: c[i].role <> r[i].role or c[i].text <> r[i].text)) - 1, len(c)) as n
+  select *, coalesce(list_min(list_filter(range(1, len(c) + 1), lambda i: i > len(r) or c[i].role <> r[i].role or c[i].text <> r[i].text)) - 1, len(c)) as n
   from replaced)
 select pair_id, cast(n as integer) as n_prompt_turns, {_TEXT.format("c[1:n]")} as prompt,
   {_TEXT.format("c[n + 1:]")} as chosen, {_MASK.format("c[n + 1:]")} as chosen_mask,

@@ -29,16 +29,17 @@ def conversations(turns: DataFrame, key: list[str]) -> DataFrame:
     return turns.groupBy(*key).agg(F.sort_array(F.collect_list(one)).alias("turns"))
 
 
-def swapped_answers(turns: DataFrame, id_col: str = "conv_id", unpaired: bool = False) -> DataFrame:
+def swapped_answers(turns: DataFrame, id_col: str = "conv_id", unpaired: bool = True) -> DataFrame:
     """Pairs from single conversations: the rejected side ends with the answer of a neighbour.
 
     The last trained turn of a conversation is replaced by that of its
     neighbour, the conversation with the other parity of the same half id.
-    Conversations without an answer give no pair. Those whose neighbour has
-    none, or is missing, and those without an id give none either unless
-    ``unpaired`` is set: then their rejected side ends before the answer, so
-    its completion is empty. The turns without an id are one conversation.
-    One row per conversation: ``(pair_id, chosen, rejected)``.
+    Conversations without an answer give no pair. Where the neighbour has none
+    or is missing, or the id is, the rejected side ends before the answer, so
+    its completion is empty; without ``unpaired`` such conversations give no
+    pair. The turns without an id are one conversation. Repeated turns stay.
+    One row per conversation: ``(pair_id, chosen, rejected)``; other columns
+    of the turns play no part.
     """
     whole = conversations(turns.select(F.col(id_col).alias("pair_id"), "turn", "role", "text"), ["pair_id"])
     place = F.array_position(F.reverse(F.transform("turns", lambda t: t["role"] == TRAINED_ROLE)), True)

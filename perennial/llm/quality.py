@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perennial.llm import names
+
 # White space of the word rule: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -85,7 +87,9 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     body = F.coalesce(F.col(text), F.lit(""))
     at = F.lit((1 << POSITION_BITS) - 1)
-    base = docs.withColumns(
+    internal = ("_words", "_lines", "_hashes", "_windows", "_packed", "_meeting")
+    own, back = names.aside(docs, internal)
+    base = own.withColumns(
         {
             "_words": F.regexp_extract_all(body, F.lit(WORD), F.lit(0)),
             "_lines": F.filter(F.split(body, "\n", -1), lambda line: line.rlike(WORD)),
@@ -135,7 +139,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     return meeting.withColumn(
         "n_repeat_words", F.coalesce(_covered(starts), F.lit(0)).cast("long")
-    ).drop("_words", "_lines", "_hashes", "_windows", "_packed", "_meeting")
+    ).drop(*internal).withColumnsRenamed(back)
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -168,7 +172,8 @@ def ablation(rows: DataFrame, policy: str = "v2") -> DataFrame:
     """What each rule of a policy does: texts that fail it, that only it rejects, kept without it.
 
     Texts are counted per distinct bit mask first (2^rules rows at most), so
-    the ledger is read once and never shuffled by text.
+    the ledger is read once and never shuffled by text. Repeated rows count
+    each; an empty ledger gives no rows; other columns play no part.
     """
     rejecting = mask(POLICIES[policy])
     masks = rows.groupBy(F.col("fail_bits").bitwiseAND(F.lit(rejecting)).alias("bits")).agg(

@@ -23,6 +23,8 @@ from perennial.llm import (
     sharding,
 )
 
+from perennial.session import delete_on_exit, fresh_path
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 POLICY = "v2"
@@ -80,8 +82,12 @@ def op3_decontamination(spark, sf_dir):
 
 @query
 def op4_line_dedup(spark, sf_dir):
-    cleaned = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", "n_lines", "n_dropped", F.md5(F.col("text")).alias("text_md5"))
+    """Pages by their host; what stands between two tags is a line."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", lines.site_of(F.col("url")).alias("host"), lines.between_tags(F.col("html")).alias("text")
+    )
+    cleaned = lines.drop_boilerplate(pages, site="host")
+    return cleaned.select("page_id", "host", "n_lines", "n_dropped", F.md5(F.col("text")).alias("text_md5"))
 
 
 @query
@@ -125,8 +131,11 @@ def op9_best_fit_packing(spark, sf_dir):
 
 @query
 def op10_token_matrices(spark, sf_dir):
-    packed = matrices.pack(table(spark, sf_dir, "documents"))
-    return packed.select(
+    """Written as matrices and read again; the digests are those of the matrices' rows."""
+    path = fresh_path(spark, "token-matrices")
+    delete_on_exit(spark, path)
+    matrices.write(matrices.pack(table(spark, sf_dir, "documents")), path)
+    return matrices.sequences(matrices.read(spark, path)).select(
         "sequence_id",
         "n_tokens",
         F.size("doc_ids").alias("n_segments"),

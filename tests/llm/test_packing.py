@@ -133,6 +133,8 @@ def test_matrices_round_trip(spark, documents, tmp_path):
                 found[sequence["doc_ids"][k]].append((sequence["doc_starts"][k], ids[row, place : place + n].tolist()))
                 place += n
             assert place == sequence["n_tokens"] and (ids[row, place:] == matrices.PAD_ID).all()
+    apart = {r["sequence_id"]: r for r in matrices.sequences(matrices.read(spark, path)).collect()}
+    assert apart == {i: r for i, r in sequences.items()}
     encoder = tokens.encoder()
     wanted = defaultdict(list)
     for doc_id, text in rows:
@@ -158,6 +160,50 @@ def test_segment_tree_finds_the_smallest_capacity():
                 there.remove(found[0])
 
 
+def test_best_fit_decreasing_is_the_plain_one():
+    rng = random.Random(8)
+    for length in (10, 97, 2048):
+        sizes = [rng.randint(1, length) for _ in range(rng.randint(0, 300))]
+        bins, room = [], []
+        for item in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+            fitting = [(r, b) for b, r in enumerate(room) if r >= sizes[item]]
+            if fitting:
+                least = min(fitting)[0]
+                b = next(b for r, b in fitting if r == least)
+            else:
+                b = len(bins)
+                bins.append([])
+                room.append(length)
+            bins[b].append(item)
+            room[b] -= sizes[item]
+        found = matrices.best_fit_decreasing(sizes, length)
+        # among bins of one capacity either may be taken, so sizes and capacities are compared
+        assert sorted(i for b in found for i in b) == list(range(len(sizes)))
+        assert sorted(sum(sizes[i] for i in b) for b in found) == sorted(length - r for r in room)
+
+
+def test_the_search_ends_in_a_local_optimum():
+    rng = random.Random(11)
+    for low, high, n in ((300, 700, 1500), (550, 900, 1500), (20, 400, 800)):
+        bins = packing.Bins([rng.randint(low, high) for _ in range(n)])
+        lowering, steps = [], 0
+        shift = bins._shift
+
+        def counted(source, target, given, taken):
+            nonlocal steps
+            before = sum(f * f for f in bins.fill)
+            shift(source, target, given, taken)
+            steps += 1
+            lowering.append(sum(f * f for f in bins.fill) <= before)
+
+        bins._shift = counted
+        bins.improve()
+        assert steps and not any(lowering)
+        steps = 0
+        bins.improve()
+        assert steps == 0
+
+
 def test_two_for_one_looks_at_every_bin():
     bins = packing.Bins([1], 100)
     # the pairs that fill the first bin lie before thirty emptier bins that have none

@@ -35,9 +35,13 @@ def test_swapped_answers_pair_neighbours(spark):
     rows += [(4, 0, "assistant", "same"), (5, 0, "assistant", "same"), (5, 0, "assistant", "same"), (None, 0, "assistant", "n")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     out = {r["pair_id"]: r for r in preferences.format_pairs(preferences.swapped_answers(turns)).collect()}
-    assert set(out) == {0, 1, 4, 5}
+    # every answered conversation gives a row, also without a neighbour or an id
+    assert set(out) == {0, 1, 3, 4, 5, None}
+    assert out[3]["rejected"] == "" and out[None]["rejected"] == "" and out[3]["differs"]
     assert out[0]["prompt"].startswith("<|user|>\nq") and "a1" in out[0]["rejected"] and out[0]["rejected"].endswith("end\n<|end|>\n")
     assert not out[4]["differs"]
+    paired = preferences.format_pairs(preferences.swapped_answers(turns, unpaired=False))
+    assert {r["pair_id"] for r in paired.collect()} == {0, 1, 4, 5}
     assert preferences.format_pairs(preferences.swapped_answers(turns.limit(0))).count() == 0
 
 
@@ -47,11 +51,11 @@ def test_native_plan(spark, sf_dir):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def test_every_answered_conversation_gives_a_row_on_demand(spark):
+def test_every_answered_conversation_gives_a_row(spark):
     rows = [(2 * i, n, role, f"{role} {i}") for i in range(20) for n, role in enumerate(("user", "assistant", "user"))]
     rows += [(1, 0, "assistant", "a1"), (3, 0, "user", "no answer"), (None, 0, "user", "q"), (None, 1, "assistant", "n")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    out = {r["pair_id"]: r for r in preferences.format_pairs(preferences.swapped_answers(turns, unpaired=True)).collect()}
+    out = {r["pair_id"]: r for r in preferences.format_pairs(preferences.swapped_answers(turns)).collect()}
     assert set(out) == {*range(0, 40, 2), 1, None}
     assert "a1" in out[0]["rejected"] and "assistant 0" in out[1]["rejected"]
     for i in (2, 38, None):
