@@ -17,12 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perennial.llm import arrow, names
+from perennial.session import stage
 
 WINDOW = 10
 MADE = ("n_words", "n_hit", "n_items", "items", "spans", "contaminated")
 # Text of the items sent to the tasks at once.
 BLOCK_BYTES = 8 << 20
 
+# Blocks searched in one pass over the documents; their tables are held side by side.
+CHAINED = 4
+
 # Bytes of words with A-Z in lower case; every other byte parts words. A character
 # beyond ASCII is a word character, and so is each of its bytes in UTF-8.
 _FOLD = bytes(
@@ -134,7 +138,8 @@ def find(
     have no words and no hits; null items and items without words occur
     nowhere; a null item id counts as the empty string; repeated rows are
     judged alike; an empty benchmark hits nothing. A benchmark beyond
-    ``block_bytes`` is searched in several passes over the documents.
+    ``block_bytes`` is searched block by block, and the documents with what was
+    found so far are stored after every few blocks.
     """
     context = docs.sparkSession.sparkContext
     fields = [
@@ -144,6 +149,9 @@ def find(
     ]
     out = names.without(docs, MADE)
     for number, (last, block) in enumerate(_blocks(benchmark, item_id, item_text, block_bytes)):
+        if number and number % CHAINED == 0:
+            # the tables of the blocks so far leave the workers
+            out = stage(out, "searched")
         sent = context.broadcast(block)
         out = arrow.append(out, _searching(sent, text, window, number > 0), fields, drop if last else ())
     # e2 - (s2 - (e1 - s1)): over pairs of start and end the signs leave the summed lengths

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from perennial.llm import arrow
 from perennial.llm.license_texts import TEXTS
+from perennial.session import stage
 
 # Lowest cosine of a match.
 THRESHOLD = 0.8
@@ -254,7 +255,8 @@ def inherit(directories: DataFrame, licensed: DataFrame) -> DataFrame:
     """``(directory, license, origin)``: each directory's nearest licensed one, itself or above it.
 
     Works on distinct directories, so one that holds a third of all files is
-    one row; a directory gives one row for each level above it.
+    one row; a directory gives one row for each level above it. A null directory
+    has none above it and gives no row; an empty table gives none either.
     """
     distinct = directories.select("directory").distinct()
     parts = F.split("directory", "/")
@@ -281,10 +283,12 @@ def scan(
     A file's own header comes before what it inherits. A directory's licence is
     the best match among its licence files, told by their name. Paths part by
     ``/``; a null path is the top directory's nameless file. Rows that repeat a
-    path are one file with the best of their matches; each row comes back.
+    path are one file with the best of their matches; each row comes back. Other
+    columns are left out.
     """
     rows = files.select(F.coalesce(F.col(path), F.lit("")).alias("path"), F.col(text).alias("text"))
-    found = _detect(rows, "path", "text", templates)
+    # read twice, so the files are scored once
+    found = stage(_detect(rows, "path", "text", templates), "found-licenses")
     directory = parent(F.col("path"))
     name = F.regexp_extract("path", "[^/]*$", 0)
     licensed = (
