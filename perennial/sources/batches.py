@@ -37,11 +37,14 @@ def number(batch: Column) -> Column:
     return F.regexp_extract(batch, r"(\d+)$", 1).cast("long")
 
 
-def _manifest(spark: SparkSession, path: str) -> dict:
-    """The newest manifest; a table never compacted has none."""
+_NONE = {"serial": 0, "merged": [], "replaced": []}
+
+
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    """The newest manifest; a table that no compaction has begun on has none."""
     found = _matched(spark, f"{path}/{_MANIFEST}/*.json")
     if not found:
-        return {"serial": 0, "merged": [], "replaced": []}
+        return None
     newest = max(found, key=lambda p: int(re.search(r"(\d+)\.json$", p).group(1)))
     return json.loads(spark.read.text(newest, wholetext=True).first()[0])
 
@@ -49,6 +52,8 @@ def _manifest(spark: SparkSession, path: str) -> dict:
 def live(spark: SparkSession, path: str) -> Column:
     """Which rows count, as a condition on ``batch`` that leaves whole folders unread."""
     manifest = _manifest(spark, path)
+    if manifest is None:
+        return F.lit(True)
     merged = F.startswith(F.col("batch"), F.lit(_MERGED))
     kept = ~merged | F.col("batch").isin(manifest["merged"])
     return kept & ~F.col("batch").isin(manifest["replaced"]) if manifest["replaced"] else kept
@@ -56,7 +61,7 @@ def live(spark: SparkSession, path: str) -> Column:
 
 def names(spark: SparkSession, path: str, depth: int = 0) -> list[str]:
     """Names of the batches in force; ``depth`` folders lie above the batches."""
-    manifest = _manifest(spark, path)
+    manifest = _manifest(spark, path) or _NONE
     found = {p.rsplit("/batch=", 1)[1] for p in _matched(spark, path + "/*" * depth + "/batch=*")}
     return sorted(
         b for b in found if b not in manifest["replaced"] and (not b.startswith(_MERGED) or b in manifest["merged"])
@@ -102,6 +107,10 @@ def compact(
     before has replaced is deleted now, so readers that began earlier are done.
     """
     manifest = _manifest(spark, path)
+    if manifest is None:
+        # from now on merged batches count by manifest only
+        manifest = _NONE
+        _commit(spark, path, manifest)
     store, _ = _store(spark, path)
     for name in manifest["replaced"]:
         for folder in _matched(spark, path + "/*" * len(by) + f"/batch={name}"):

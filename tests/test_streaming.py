@@ -147,6 +147,7 @@ def test_a_merged_batch_counts_by_its_manifest_only(spark, tmp_path):
         spark.range(number + 1).write.parquet(f"{path}/batch={number}")
     read = lambda: spark.read.schema("id bigint, batch string").parquet(path).where(batches.live(spark, path))
     # rows of a merge whose driver was lost before its manifest was written
+    batches._commit(spark, path, batches._NONE)
     spark.range(3).write.parquet(f"{path}/batch=merged-1-1")
     assert read().count() == 6 and batches.names(spark, path) == ["0", "1", "2"]
     assert batches.compact(spark, path, read, newest=1) == 2
