@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -210,22 +210,38 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sequences(stacked: DataFrame) -> DataFrame:
-    """The rows of matrices as ``pack`` made them: one row per sequence, its segments counted from 0."""
-    rows = stacked.select("*", F.posexplode("row_segments").alias("row", "n"))
-    before = F.aggregate(F.slice("row_segments", F.lit(1), F.col("row")), F.lit(0), lambda a, b: a + b)
-    placed = rows.withColumn("before", before)
-    edges = F.slice("cu_seqlens", F.col("before") + 1, F.col("n") + 1)
+    """The rows of matrices as ``pack`` made them: one row per sequence, its segments counted from 0.
+
+    A matrix is cut to rows as one list, so that only a row's own bytes go on.
+    """
+    sums = lambda values: F.aggregate(values, F.lit(0), lambda a, b: a + b)
     width = lambda name: (F.octet_length(name) / F.col("n_rows")).cast("int")
-    row_of = lambda name: F.substring(name, F.col("row") * width(name) + 1, width(name)).alias(name)
-    of_segments = lambda name: F.slice(name, F.col("before") + 1, F.col("n")).alias(name)
-    return placed.withColumn("edges", edges).select(
-        (F.col("matrix_id") + F.col("row")).alias("sequence_id"),
-        (F.element_at("edges", -1) - F.element_at("edges", 1)).alias("n_tokens"),
-        of_segments("doc_ids"),
-        of_segments("doc_starts"),
+
+    def row(at: Column) -> Column:
+        n = F.get("row_segments", at)
+        before = sums(F.slice("row_segments", F.lit(1), at))
+        edges = F.slice("cu_seqlens", before + 1, n + 1)
+        bytes_of = lambda name: F.substring(name, at * width(name) + 1, width(name)).alias(name)
+        of_segments = lambda name: F.slice(name, before + 1, n).alias(name)
+        return F.struct(
+            (F.col("matrix_id") + at).alias("sequence_id"),
+            (F.element_at(edges, -1) - F.element_at(edges, 1)).alias("n_tokens"),
+            of_segments("doc_ids"),
+            of_segments("doc_starts"),
+            edges.alias("edges"),
+            bytes_of("ids"),
+            bytes_of("positions"),
+        )
+
+    rows = stacked.select(F.inline(F.transform(F.sequence(F.lit(0), F.col("n_rows") - 1), row)))
+    return rows.select(
+        "sequence_id",
+        "n_tokens",
+        "doc_ids",
+        "doc_starts",
         F.transform("edges", lambda x: x - F.element_at("edges", 1)).alias("cu_seqlens"),
-        row_of("ids"),
-        row_of("positions"),
+        "ids",
+        "positions",
     )
 
 
