@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from perennial.llm import arrow, tokens
 
@@ -23,7 +24,7 @@ PAD_ID = 50256
 # Tokens packed together; what this run cannot fill stays padded.
 RUN_TOKENS = 2 << 20
 # Sequences of one matrix of the binary output.
-MATRIX_ROWS = 256
+MATRIX_ROWS = 64
 
 SEQUENCES = T.StructType(
     [
@@ -117,6 +118,33 @@ def pack(
     token, a null id stays null, repeated rows are packed each, an empty table
     gives no rows, and other columns play no part.
     """
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return source.mapInArrow(_packing(length, tokenizer, run_tokens), SEQUENCES)
+
+
+def pack_matrices(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    length: int = LENGTH,
+    tokenizer: str | None = None,
+    run_tokens: int = RUN_TOKENS,
+    rows: int = MATRIX_ROWS,
+) -> DataFrame:
+    """``matrices`` of what ``pack`` makes, stacked where it is made: sequences leave their worker as matrices only."""
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    pack_, stack = _packing(length, tokenizer, run_tokens), _stacking(length, rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pack_(batches):
+            yield pa.RecordBatch.from_pydict(stack(batch), schema)
+
+    schema = to_arrow_schema(MATRICES)
+    return source.mapInArrow(run, MATRICES)
+
+
+def _packing(length: int, tokenizer: str | None, run_tokens: int):
+    """Over the documents of a task: batches of packed sequences."""
     fields = SEQUENCES.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +186,7 @@ def pack(
             yield close()
 
     kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SEQUENCES)
+    return run
 
 
 def matrices(sequences: DataFrame, length: int = LENGTH, rows: int = MATRIX_ROWS) -> DataFrame:
@@ -169,11 +197,18 @@ def matrices(sequences: DataFrame, length: int = LENGTH, rows: int = MATRIX_ROWS
     stacked where the sequences lie; the last one of a batch may be smaller.
     ``sequences`` takes them apart again.
     """
-    kept = ["sequence_id", "cu_seqlens", "doc_ids", "doc_starts", "ids", "positions"]
+    return arrow.flat_map(sequences.select(*_STACKED), _stacking(length, rows), MATRICES)
+
+
+_STACKED = ["sequence_id", "cu_seqlens", "doc_ids", "doc_starts", "ids", "positions"]
+
+
+def _stacking(length: int, rows: int):
+    """The matrices of a batch of sequences, as columns."""
 
     def run(batch: pa.RecordBatch) -> dict:
         made: dict[str, list] = {n: [] for n in MATRICES.names}
-        named = {n: batch.column(batch.schema.get_field_index(n)) for n in kept}
+        named = {n: batch.column(batch.schema.get_field_index(n)) for n in _STACKED}
         for start in range(0, batch.num_rows, rows):
             part = {n: c.slice(start, rows).to_pylist() for n, c in named.items()}
             segments = [np.diff(edges) for edges in part["cu_seqlens"]]
@@ -192,16 +227,16 @@ def matrices(sequences: DataFrame, length: int = LENGTH, rows: int = MATRIX_ROWS
                 made[name].append(value)
         return made
 
-    return arrow.flat_map(sequences.select(*kept), run, MATRICES)
+    return run
 
 
-def write(sequences: DataFrame, path: str, length: int = LENGTH, rows: int = MATRIX_ROWS) -> None:
-    """Write the matrices as Parquet files of binary rows, one file for each task's sequences.
+def write(stacked: DataFrame, path: str) -> None:
+    """Write matrices as Parquet files of binary rows, one file for each task's sequences.
 
     Tasks write what they pack, so a retried task writes its own file again.
     Existing files are an error; no sequences leave an empty table.
     """
-    matrices(sequences, length, rows).write.parquet(path)
+    stacked.write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -131,17 +131,18 @@ def op9_best_fit_packing(spark, sf_dir):
 
 @query
 def op10_token_matrices(spark, sf_dir):
-    """Written as matrices and read again; the digests are those of the matrices' rows."""
+    """Matrices as they are read after they were written."""
     path = fresh_path(spark, "token-matrices")
     delete_on_exit(spark, path)
-    matrices.write(matrices.pack(table(spark, sf_dir, "documents")), path)
-    return matrices.sequences(matrices.read(spark, path)).select(
-        "sequence_id",
-        "n_tokens",
-        F.size("doc_ids").alias("n_segments"),
+    matrices.write(matrices.pack_matrices(table(spark, sf_dir, "documents")), path)
+    return matrices.read(spark, path).select(
+        "matrix_id",
+        "n_rows",
+        F.element_at("cu_seqlens", -1).alias("n_tokens"),
         "doc_ids",
         "doc_starts",
         "cu_seqlens",
+        "row_segments",
         F.crc32("ids").alias("ids_crc32"),
         F.crc32("positions").alias("positions_crc32"),
     )

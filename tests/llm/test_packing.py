@@ -117,7 +117,7 @@ def test_matrices_round_trip(spark, documents, tmp_path):
     rows, df = documents
     packed = matrices.pack(df, run_tokens=30_000)
     path = str(tmp_path / "matrices")
-    matrices.write(packed, path, rows=4)
+    matrices.write(matrices.pack_matrices(df, run_tokens=30_000, rows=4), path)
     sequences = {r["sequence_id"]: r for r in packed.collect()}
     found = defaultdict(list)
     for m in spark.read.parquet(path).collect():
@@ -133,6 +133,8 @@ def test_matrices_round_trip(spark, documents, tmp_path):
                 found[sequence["doc_ids"][k]].append((sequence["doc_starts"][k], ids[row, place : place + n].tolist()))
                 place += n
             assert place == sequence["n_tokens"] and (ids[row, place:] == matrices.PAD_ID).all()
+    stacked = matrices.matrices(packed, rows=4)
+    assert {r["sequence_id"] for r in matrices.sequences(stacked).collect()} == set(sequences)
     apart = {r["sequence_id"]: r for r in matrices.sequences(matrices.read(spark, path)).collect()}
     assert apart == {i: r for i, r in sequences.items()}
     encoder = tokens.encoder()
