@@ -46,7 +46,8 @@ def shared_folder(spark: SparkSession) -> str:
     would not see that, so there the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not spark.conf.get("spark.master", "local").startswith("local["):
+    master = spark.conf.get("spark.master", "local")
+    if not named and master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
 
