@@ -35,6 +35,8 @@ SIGNATURE = 256
 ESTIMATE = 0.55
 # Buckets up to this size give all their pairs, larger ones one leader for each band.
 SMALL = 16
+# Bytes of a batch that a task works on at once; minima and unpacked texts are a few times that.
+SLICE = 2 << 20
 
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _FACTORS = (hashing.seeded(BANDS * ROWS, 1) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -110,6 +112,7 @@ def describe(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
             T.StructField("signature", T.BinaryType()),
         ],
         drop=("text",),
+        limit=SLICE,
     )
 
 
@@ -124,7 +127,7 @@ def _packed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where(
         "id is not null and text is not null"
     )
-    return arrow.append(rows, run, [T.StructField("blob", T.BinaryType())], drop=("text",))
+    return arrow.append(rows, run, [T.StructField("blob", T.BinaryType())], drop=("text",), limit=SLICE)
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -149,7 +152,7 @@ def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
         .select("a", "b", "sa", "sb")
     )
-    checked = arrow.append(joined, run, [T.StructField("agree", T.BooleanType())], drop=("sa", "sb"))
+    checked = arrow.append(joined, run, [T.StructField("agree", T.BooleanType())], drop=("sa", "sb"), limit=SLICE)
     return checked.where("agree").select("a", "b")
 
 
@@ -172,7 +175,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         texts.select(F.col("id").alias("a"), F.col("blob").alias("xa")), "a"
     )
     checked = arrow.append(
-        joined.select("a", "b", "xa", "xb"), run, [T.StructField("linked", T.BooleanType())], drop=("xa", "xb")
+        joined.select("a", "b", "xa", "xb"), run, [T.StructField("linked", T.BooleanType())], drop=("xa", "xb"), limit=SLICE
     )
     return checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -238,7 +241,7 @@ def _rest(members: DataFrame, labels: DataFrame, docs: DataFrame, id_col: str, t
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null")
     sets = arrow.append(
-        texts.join(open_classes, "id"), run, [T.StructField("set", T.ArrayType(T.LongType()))], drop=("text",)
+        texts.join(open_classes, "id"), run, [T.StructField("set", T.ArrayType(T.LongType()))], drop=("text",), limit=SLICE
     )
     sets = stage_and_release(sets, "open-sets")
     items = sets.select("id", "label", F.size("set").alias("n"), F.explode("set").alias("item"))
