@@ -38,6 +38,12 @@ def build_session(app: str = "perennial", cores: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def on_one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process."""
+    master = spark.conf.get("spark.master", "local")
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for staged tables and stream checkpoints.
 
@@ -46,8 +52,7 @@ def shared_folder(spark: SparkSession) -> str:
     would not see that, so there the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    master = spark.conf.get("spark.master", "local")
-    if not named and master != "local" and not master.startswith("local["):
+    if not named and not on_one_machine(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
 

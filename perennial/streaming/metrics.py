@@ -6,12 +6,16 @@ Results that batches keep up to date lie in ``batch=`` folders, see
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from perennial.functions import paths
+from perennial.session import on_one_machine
 from perennial.sources import batches
 
 
@@ -22,11 +26,26 @@ def read_stream(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def require_state_on_disk(spark: SparkSession) -> None:
-    """On a cluster keyed state belongs into RocksDB; the default store keeps it on the heap."""
-    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
-    if not spark.conf.get("spark.master", "").startswith("local") and "RocksDB" not in provider:
-        raise RuntimeError("set spark.sql.streaming.stateStore.providerClass to the RocksDB provider")
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their keyed state in RocksDB on a cluster.
+
+    The default store keeps it on the heap. A provider that the session names is
+    left as it is, and so is that of a checkpoint, which Spark remembers. A
+    stream runs in a copy of the session, so the setting need not outlast its start.
+    """
+    if on_one_machine(spark) or spark.conf.get(_PROVIDER, None):
+        yield
+        return
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_PROVIDER)
 
 
 def event_time(log: DataFrame, at: str = "ts") -> DataFrame:
@@ -38,7 +57,6 @@ def event_time(log: DataFrame, at: str = "ts") -> DataFrame:
 
 def deduplicated(log: DataFrame, key: str, at: str = "ts", delay: str = "1 hour") -> DataFrame:
     """Drop repeats of a row that arrive within the delay; state is dropped behind it."""
-    require_state_on_disk(log.sparkSession)
     return event_time(log, at).withWatermark(at, delay).dropDuplicatesWithinWatermark([key])
 
 
@@ -70,14 +88,15 @@ def running_accuracy(log: DataFrame) -> DataFrame:
 
 def append_to(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append what has arrived to a Parquet folder, each row exactly once."""
-    return (
-        rows.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    with state_on_disk(rows.sparkSession):
+        return (
+            rows.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 # Batches after which finished ones are merged.

@@ -83,6 +83,24 @@ def test_a_second_delivery_adds_nothing(spark, arriving, tmp_path):
     assert spark.read.parquet(folder).count() == 2 * kept.count()
 
 
+def test_on_a_cluster_repeats_are_dropped_with_state_on_disk(spark, arriving, tmp_path):
+    log, folder, deliver = arriving
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "state")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set("spark.master", "spark://elsewhere:7077")
+    try:
+        for _ in range(2):
+            deliver(True)
+            once = streams.deduplicated(streams.read_stream(spark, folder, log.schema), "event_id", delay="60 days")
+            streams.append_to(once, target, checkpoint).awaitTermination()
+    finally:
+        spark.conf.unset("spark.master")
+    kept = spark.read.parquet(target)
+    assert 2 * kept.count() == 2 * kept.select("event_id").distinct().count() == spark.read.parquet(folder).count()
+    assert "RocksDB" in spark.read.text(f"{checkpoint}/offsets/0", wholetext=True).first()[0]
+    assert spark.conf.get(provider, None) is None
+
+
 def test_ingest_resumes_from_its_checkpoint(spark, arriving, tmp_path):
     log, folder, deliver = arriving
     target, checkpoint = str(tmp_path / "out"), str(tmp_path / "state")
