@@ -875,7 +875,9 @@ def _stored_tree(spark, sf_dir) -> str:
     """The object tree as single objects below the shared folder."""
     root = fresh_path(spark, "object-tree")
     delete_on_exit(spark, root)
-    object_store.write_objects(views.stored_objects(spark, sf_dir), root)
+    # dealt out by path: rows are small, so their number in a task counts, not their bytes
+    dealt = views.stored_objects(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
+    object_store.write_objects(dealt, root)
     return root
 
 

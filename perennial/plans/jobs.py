@@ -24,7 +24,7 @@ from perennial.operators import (
     vocabulary,
 )
 from perennial.operators.ranking import DEFAULT_SEED
-from perennial.session import delete_on_exit, released, stage
+from perennial.session import delete_on_exit, many_files, released, stage
 from perennial.sources import objects, sinks, tables
 
 
@@ -98,7 +98,8 @@ def preprocess(
     blocks = -(-settled.count() // block)
     for number in range(blocks):
         part = settled.where(F.pmod(F.xxhash64("path"), F.lit(blocks)) == number)
-        sinks.write_tagged(_with_pixels(spark, root, part), staged)
+        with many_files(spark):
+            sinks.write_tagged(_with_pixels(spark, root, part), staged)
     data, quarantined = sinks.publish_tagged(spark, staged, root, version)
     counted = (
         tables.read_stored_examples(spark, data, ["class_name", "label"])

@@ -86,6 +86,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def many_files(spark: SparkSession) -> Iterator[None]:
+    """Reads that are planned inside open many small files in a task.
+
+    Spark counts a file as 4 MB at least, and looks named files up in a task
+    each: with tens of thousands of images it starts tasks that do next to
+    nothing. Large files are dealt out as before.
+    """
+    wanted = {
+        "spark.sql.files.openCostInBytes": "64k",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism),
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 @contextmanager
 def released(spark: SparkSession) -> Iterator[None]:
     """Delete what is staged inside when the block ends, e.g. after each batch of a stream."""

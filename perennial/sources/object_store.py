@@ -24,6 +24,8 @@ from pyspark.sql.types import StructType
 LISTING = "path string, length bigint, modificationTime timestamp"
 # Entries sent together.
 BATCH = 10_000
+# Bytes of contents sent together.
+READ_BYTES = 16_000_000
 _ARROW = pa.schema([("path", pa.string()), ("length", pa.int64()), ("modificationTime", pa.timestamp("us", "UTC"))])
 
 
@@ -182,6 +184,45 @@ def list_below(spark: SparkSession, pattern: str, name_filter: str | None = None
     return (reader.option("nameFilter", name_filter) if name_filter else reader).load()
 
 
+def contents(listed: DataFrame) -> DataFrame:
+    """The bytes of objects of any size that a listing names: ``path, content``.
+
+    Paths are dealt out by hash, so that one folder's objects are read by many
+    tasks, each of which reads many.
+    """
+    spark = listed.sparkSession
+    dealt = listed.select("path").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, size = [], 0
+            for path in batch.column(0).to_pylist():
+                content = _content(path)
+                rows.append((path, content))
+                size += len(content)
+                if size > READ_BYTES:
+                    yield _read_batch(rows)
+                    rows, size = [], 0
+            yield _read_batch(rows)
+
+    return dealt.mapInArrow(read, "path string, content binary")
+
+
+def _content(uri: str) -> bytes:
+    local = local_path(uri)
+    if local is not None:
+        with open(local, "rb") as stored:
+            return stored.read()
+    store, path = arrow_fs.FileSystem.from_uri(uri)
+    with store.open_input_stream(path) as stored:
+        return stored.read()
+
+
+def _read_batch(rows: list[tuple[str, bytes]]) -> pa.RecordBatch:
+    columns = [pa.array([path for path, _ in rows], pa.string()), pa.array([content for _, content in rows], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["path", "content"])
+
+
 def write_objects(rows: DataFrame, root: str) -> None:
     """Store rows ``(path, content)`` as objects below ``root``; a retried task writes the same objects again."""
     rows.sparkSession.dataSource.register(ObjectStore)

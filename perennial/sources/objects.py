@@ -1,7 +1,7 @@
 """Object trees ``root/{version}/{outcome}/...``: listings, label documents and images.
 
-Tasks list the objects (see ``object_store``); the driver holds folder names.
-Label documents and images are read through Spark's file sources, images for
+Tasks list the objects and read label documents (see ``object_store``); the
+driver holds folder names. Images are read through Spark's image source, for
 named paths only.
 """
 
@@ -77,22 +77,12 @@ def read_label_files(
     family: str = "*",
     outcomes: Iterable[str] = (paths.CORRECT, paths.INCORRECT),
 ) -> DataFrame:
-    """Label documents as ``(label_path, value)``."""
+    """Label documents as ``(label_path, value)``, listed and read by tasks."""
     found = None
     for outcome in outcomes:
-        reader = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*" + paths.LABEL_SUFFIX)
-        )
-        try:
-            part = reader.load(f"{root}/{family}/{outcome}").select("path", "content")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            part = spark.createDataFrame([], "path string, content binary")
+        part = discover(spark, f"{root}/{family}/{outcome}", "*" + paths.LABEL_SUFFIX)
         found = part if found is None else found.unionByName(part)
-    return found.select(
+    return object_store.contents(found.select("path")).select(
         relative(F.col("path")).alias("label_path"), F.decode("content", "UTF-8").alias("value")
     )
 

@@ -122,6 +122,38 @@ def test_label_files(spark, tree):
     assert objects.read_label_files(spark, tree, "v9_*").count() == 0
 
 
+def test_tasks_of_the_job_do_not_grow_with_small_files(spark, tmp_path):
+    folder = tmp_path / "v3_1/incorrect_predictions"
+    folder.mkdir(parents=True)
+    for i in range(80):
+        (folder / f"pug_{i}.jpg").write_bytes(png(3, 2, (10, 20, i)))
+        (folder / f"pug_{i}_labels.json").write_text('{"model_label": "x", "api_label": "pug"}')
+    (tmp_path / "processed/metadata").mkdir(parents=True)
+    (tmp_path / "processed/metadata/label_map.json").write_text('{"pug": 0}')
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("small-files", "small files")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        done = jobs.preprocess(spark, str(tmp_path), "v3_1", "2024-02-01 00:00:00", str(tmp_path / "distribution"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tables.read_stored_examples(spark, done.examples).count() == 80
+    stages = [s for j in tracker.getJobIdsForGroup("small-files") for s in tracker.getJobInfo(j).stageIds]
+    tasks = [found.numTasks for s in stages if (found := tracker.getStageInfo(s))]
+    assert tasks and max(tasks) < 80
+    assert spark.conf.get("spark.sql.files.openCostInBytes", None) is None
+
+
+def test_bytes_of_listed_objects(spark, tmp_path):
+    stored = {f"{tmp_path}/a b+{i}.json": bytes([i]) * i for i in range(40)}
+    for path, content in stored.items():
+        with open(path, "wb") as out:
+            out.write(content)
+    listed = object_store.list_below(spark, str(tmp_path), "*.json")
+    assert {r.path: bytes(r.content) for r in object_store.contents(listed).collect()} == stored
+
+
 def test_decoded_images(spark, tree):
     raw = objects.read_images(spark, tree, "v3_2")
     assert {r.path for r in raw.select("path").collect()} == {
