@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from perennial.functions import paths
-from perennial.session import on_one_machine
 from perennial.sources import batches
 
 
@@ -38,7 +37,8 @@ def state_on_disk(spark: SparkSession) -> Iterator[None]:
     left as it is, and so is that of a checkpoint, which Spark remembers. A
     stream runs in a copy of the session, so the setting need not outlast its start.
     """
-    if on_one_machine(spark) or spark.conf.get(_PROVIDER, None):
+    # masters that start with "local", local-cluster too, run on one machine and keep Spark's default
+    if spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get(_PROVIDER, None):
         yield
         return
     spark.conf.set(_PROVIDER, _ROCKSDB)
